@@ -10,8 +10,8 @@ MODULES = [
     "q_cleaning",
     "q_dimensions",
     "q_facts",
-    # "q_measures",
-    # "q_dashboard",
+    "q_measures",
+    "q_dashboard",
     # "q_kpi",
     # "q_questions",
     # "q_scenario",

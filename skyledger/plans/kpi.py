@@ -183,25 +183,29 @@ def kpi_lookup(model: Model, metric: str, period: Period | None = None) -> DataF
     )
 
 
+PERIOD_COLUMNS = ["label", "start_date", "end_date"]
+
+
 def _by_period(model: Model, periods: DataFrame) -> Model:
-    """The model with its calendar joined to the days of (period_no, start_date, end_date).
+    """The model with its calendar joined to the days of the periods.
 
     A day of several periods appears once per period, so overlapping periods each get their rows.
+    A period query needs no other dimension.
     """
-    days = periods.select("period_no", F.explode(F.sequence("start_date", "end_date")).alias("date"))
+    days = periods.select(*PERIOD_COLUMNS).distinct().withColumn("date", F.explode(F.sequence("start_date", "end_date")))
     calendar = model.dimensions["dim_date"].join(days, "date")
-    return replace(model, dimensions={**model.dimensions, "dim_date": calendar})
+    return replace(model, dimensions={"dim_date": calendar})
 
 
 def kpi_by_period(model: Model, metrics: Sequence[str], periods: DataFrame, filters: Sequence[Filter] = ()) -> DataFrame:
-    """Metrics per row of a table of periods (period_no, label, start_date, end_date), in long form.
+    """Metrics per row of a table of periods (label, start_date, end_date), in long form.
 
     A period without facts keeps its row with a null value.
     """
-    values = evaluate(_by_period(model, periods), metrics, by=[("dim_date", "period_no")], filters=filters)
-    wide = periods.join(values, "period_no", "left")
-    keys = ["period_no", "label", "start_date", "end_date"]
-    return long_form(wide, keys, metrics).drop("text_value")
+    by = [("dim_date", column) for column in PERIOD_COLUMNS]
+    values = evaluate(_by_period(model, periods), metrics, by=by, filters=filters)
+    wide = periods.join(values, PERIOD_COLUMNS, "left")
+    return long_form(wide, periods.columns, metrics).drop("text_value")
 
 
 def period_rows(spark: SparkSession, periods: Sequence[Period]) -> DataFrame:
