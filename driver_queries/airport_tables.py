@@ -155,7 +155,7 @@ LANDED: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
             (
                 "feedback_date",
                 "CASE WHEN conv_id % 9 = 0 THEN 'bad-date' "
-                "ELSE CAST(DATE '1996-01-01' + CAST(conv_id % 700 AS INT) AS STRING) END",
+                "ELSE CAST(DATE '1996-01-01' + CAST(conv_id * 7 % 700 AS INT) AS STRING) END",
             ),
             ("feedback_text", "CASE WHEN turn % 5 = 4 THEN '   ' ELSE text END"),
         ],

@@ -12,9 +12,9 @@ MODULES = [
     "q_facts",
     "q_measures",
     "q_dashboard",
-    # "q_kpi",
-    # "q_questions",
-    # "q_scenario",
+    "q_kpi",
+    "q_questions",
+    "q_scenario",
 ]
 
 for module in MODULES:

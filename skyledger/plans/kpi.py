@@ -115,21 +115,22 @@ def alias_rows(spark: SparkSession) -> DataFrame:
     )
 
 
-def _lookup_column(key: Column, entries: dict[str, str]) -> Column:
+def lookup_column(key: Column, entries: dict[str, str]) -> Column:
+    """The entry of a fixed dictionary; null for another key."""
     pairs = [F.lit(part) for pair in entries.items() for part in pair]
     return F.try_element_at(F.create_map(*pairs), key)
 
 
 def validate_metric(name: Column) -> Column:
     """The approved spelling of a metric name, case-insensitive; null if it is not approved."""
-    return _lookup_column(F.lower(F.trim(name)), {row[0].lower(): row[0] for row in KPI_REGISTRY})
+    return lookup_column(F.lower(F.trim(name)), {row[0].lower(): row[0] for row in KPI_REGISTRY})
 
 
 def resolve_dimension(name: Column) -> Column:
     """struct<dimension, column> of an accepted spelling; null otherwise."""
     key = F.lower(F.trim(name))
-    table = _lookup_column(key, {spelling: target[0] for spelling, target in DIMENSION_SPELLINGS.items()})
-    column = _lookup_column(key, {spelling: target[1] for spelling, target in DIMENSION_SPELLINGS.items()})
+    table = lookup_column(key, {spelling: target[0] for spelling, target in DIMENSION_SPELLINGS.items()})
+    column = lookup_column(key, {spelling: target[1] for spelling, target in DIMENSION_SPELLINGS.items()})
     return F.when(table.isNotNull(), F.struct(table.alias("dimension"), column.alias("column")))
 
 
@@ -285,6 +286,6 @@ def alias_conflicts(aliases: DataFrame, alias: str = "alias", metric: str = "met
 def metric_attributes(metric: Column) -> dict[str, Column]:
     """Page, unit and kind of an approved metric as lookup columns."""
     return {
-        name: _lookup_column(metric, {row[0]: row[position] for row in KPI_REGISTRY})
+        name: lookup_column(metric, {row[0]: row[position] for row in KPI_REGISTRY})
         for name, position in (("page", 1), ("unit", 2), ("kind", 3))
     }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import normalize_text
 from skyledger.operators.joins import keyed_join
-from skyledger.plans.kpi import KPI_REGISTRY, metric_attributes
+from skyledger.plans.kpi import KPI_REGISTRY, lookup_column, metric_attributes
 
 # The kinds of adjustment and the largest number of them in one request.
 OPERATIONS = ("percentage_change", "absolute_change", "set_target", "percentage_point_change")
@@ -20,12 +22,11 @@ def _is_finite(value: Column) -> Column:
 
 def approved_label(label: Column) -> Column:
     """The approved metric of a text label by its normalised name or alias; null if unknown."""
-    entries = {}
+    known = {}
     for name, _, _, _, aliases in KPI_REGISTRY:
         for text in (name, *aliases):
-            entries[text] = name
-    keys = [part for text, name in entries.items() for part in (normalize_text(F.lit(text)), F.lit(name))]
-    return F.try_element_at(F.create_map(*keys), normalize_text(label))
+            known[re.sub("[^a-z0-9]+", " ", text.lower()).strip()] = name
+    return lookup_column(normalize_text(label), known)
 
 
 def validate_assumptions(assumptions: DataFrame) -> DataFrame:
