@@ -7,7 +7,17 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from driver_queries.airport_tables import model, with_tables
-from driver_queries.q_measures import FACT_SQL, STATUS_DIRECTION, _ratio0, grouped_sql, totals_sql
+from driver_queries.q_measures import (
+    AIRLINE_MEMBERS,
+    DATE_COLUMN,
+    DATE_JOIN,
+    DATE_MEMBERS,
+    FACT_SQL,
+    STATUS_DIRECTION,
+    _ratio0,
+    grouped_sql,
+    totals_sql,
+)
 from driver_queries.registry import f, n, query, t, table
 from skyledger.plans import dashboard as D
 from skyledger.plans.context import (
@@ -26,8 +36,7 @@ START, END = date(1996, 3, 1), date(1997, 9, 16)
 SLICER_SQL = "d >= DATE '1996-03-01' AND d < DATE '1997-09-16'"
 SLICER_KEYS = """date_key IN (SELECT date_key FROM dim_date
     WHERE "date" >= DATE '1996-03-01' AND "date" < DATE '1997-09-16')"""
-DATE_JOIN = "LEFT JOIN dim_date USING (date_key)"
-DATE_COLUMN = f"""{t('dim_date."date"')} AS "date" """
+MEMBERS_IN_RANGE = f"{DATE_MEMBERS} WHERE {SLICER_KEYS}"
 
 
 def slicer():
@@ -194,7 +203,9 @@ BAG_TREND = ["Total Bags Processed", "Mishandled Bags", "Mishandled Baggage Rate
 
 @query(
     "trend_by_date",
-    grouped_sql("fact_baggage_operations", BAG_TREND, DATE_COLUMN, DATE_JOIN, where=SLICER_KEYS),
+    grouped_sql(
+        "fact_baggage_operations", BAG_TREND, DATE_COLUMN, DATE_JOIN, where=SLICER_KEYS, members=MEMBERS_IN_RANGE
+    ),
     digits=4,
 )
 def _(spark, sf):
@@ -208,7 +219,7 @@ def _(spark, sf):
             {f(_ratio0('electricity', 'passengers'), 4)} AS "Energy per Passenger"
             FROM (SELECT date_key, sum(electricity_kwh) AS electricity FROM fact_sustainability_daily GROUP BY ALL)
             FULL OUTER JOIN (SELECT date_key, sum(passengers_processed) AS passengers FROM fact_passenger_flow GROUP BY ALL)
-            USING (date_key) JOIN dim_date USING (date_key) WHERE {SLICER_KEYS}"""
+            USING (date_key) RIGHT JOIN dim_date USING (date_key) WHERE {SLICER_KEYS}"""
     ),
     digits=4,
 )
@@ -238,6 +249,7 @@ BY_AIRLINE = ["On-Time Performance %", "Average Delay Minutes", "Total Flights",
         "airline_name",
         "LEFT JOIN dim_airline USING (airline_key)",
         where=SLICER_KEYS,
+        members=AIRLINE_MEMBERS,
     ),
     digits=4,
 )
@@ -328,14 +340,15 @@ def _visual_sql(item: D.Visual) -> str | None:
             + SLICER_KEYS
             + ") WHERE word <> '' GROUP BY ALL"
         )
-    key, joins = DATE_COLUMN, DATE_JOIN
+    key, joins, members = DATE_COLUMN, DATE_JOIN, MEMBERS_IN_RANGE
     if item.shape == "trend_by_date_series":
         key = f"{DATE_COLUMN}, {item.by[1]}"
     elif item.shape == "breakdown_by_attribute":
         key, joins = f'"{item.by[1]}"', JOINS.get(item.by[0], "")
+        members = f"{item.by[1]} FROM {item.by[0]}" if item.by[0] in JOINS else ""
     facts = {MEASURE_FACT.get(name) for name in names}
     if len(facts) == 1 and None not in facts:
-        return grouped_sql(facts.pop(), names, key, joins, where=SLICER_KEYS)
+        return grouped_sql(facts.pop(), names, key, joins, where=SLICER_KEYS, members=members)
     # The two trends with energy per passenger beside a measure of another fact.
     first = names[0]
     fact = MEASURE_FACT[first]
@@ -346,7 +359,7 @@ def _visual_sql(item: D.Visual) -> str | None:
             FULL OUTER JOIN (SELECT date_key, sum(electricity_kwh) AS electricity FROM fact_sustainability_daily GROUP BY ALL)
             USING (date_key)
             FULL OUTER JOIN (SELECT date_key, sum(passengers_processed) AS passengers FROM fact_passenger_flow GROUP BY ALL)
-            USING (date_key) JOIN dim_date USING (date_key) WHERE {SLICER_KEYS}"""
+            USING (date_key) RIGHT JOIN dim_date USING (date_key) WHERE {SLICER_KEYS}"""
     )
 
 

@@ -74,8 +74,9 @@ K = "TRY_CAST(regexp_extract(props, '\"k\": (\\d+)', 1) AS BIGINT)"
 @query(
     "aggregate_to_grain",
     f"""SELECT {t('CAST(ts AS DATE)')} AS "date", {n('hour(ts)')} AS "hour", event_type, CAST(sum(k) AS BIGINT) AS k,
-        {f('sum(value * k) / nullif(sum(k), 0)')} AS mean_value
+        {f('sum(value * k) / nullif(sum(k), 0)', 9)} AS mean_value
         FROM (SELECT *, {K} AS k FROM {dirty_sql('events_null_value')}) GROUP BY ALL""",
+    digits=9,
 )
 def _(spark, sf):
     events = dirty(spark, sf, "events_null_value").select(

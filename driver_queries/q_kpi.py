@@ -68,7 +68,7 @@ def _flights(measure: str) -> str:
     "kpi_breakdown",
     with_tables(
         f"""SELECT gate_id AS member, {f(_flights('Load Factor %'))} AS value FROM fact_flight_operations
-            LEFT JOIN dim_gate USING (gate_key) GROUP BY ALL HAVING value IS NOT NULL"""
+            RIGHT JOIN dim_gate USING (gate_key) GROUP BY ALL HAVING value IS NOT NULL"""
     ),
 )
 def _(spark, sf):
@@ -78,8 +78,10 @@ def _(spark, sf):
 @query(
     "kpi_breakdown_period",
     with_tables(
-        f"""SELECT airline_name AS member, {f(_flights('On-Time Performance %'))} AS value FROM fact_flight_operations
-            LEFT JOIN dim_airline USING (airline_key) WHERE {_keys(MONTH)} GROUP BY ALL HAVING value IS NOT NULL"""
+        f"""SELECT airline_name AS member, CASE WHEN count(flight_key) = 0 THEN 0.0
+                ELSE {f(_flights('On-Time Performance %'))} END AS value
+            FROM (SELECT * FROM fact_flight_operations WHERE {_keys(MONTH)})
+            RIGHT JOIN dim_airline USING (airline_key) GROUP BY ALL HAVING value IS NOT NULL"""
     ),
 )
 def _(spark, sf):
@@ -132,7 +134,7 @@ def _(spark, sf):
 @query(
     "kpi_ranking_lowest",
     _ranking_sql(
-        "ASC", "gate_id", "LEFT JOIN dim_gate USING (gate_key)",
+        "ASC", "gate_id", "RIGHT JOIN dim_gate USING (gate_key)",
         _flights("Load Factor %"), "fact_flight_operations", 3,
     ),
 )

@@ -395,13 +395,39 @@ def _(spark, sf):
     return long_form(evaluate(model(spark, sf), names), [], names)
 
 
-def grouped_sql(fact: str, measures: list[str], key: str, joins: str = "", digits: int = 4, where: str = "TRUE") -> str:
+RATIOS = {"Load Factor %", "On-Time Performance %", "Cancellation Rate %", "Mishandled Baggage Rate %",
+          "Refund Adjustment Rate %", "Dated Feedback Rate %"}
+
+
+def grouped_sql(
+    fact: str, measures: list[str], key: str, joins: str = "", digits: int = 4, where: str = "TRUE", members: str = ""
+) -> str:
+    """Measures per ``key``. ``members`` selects the key of every member of its dimension; where a
+    ratio with alternate 0 is asked for, members without a fact row have 0 for it."""
     columns = ", ".join(f"{f(FACT_SQL[fact][name], digits)} AS \"{name}\"" for name in measures)
-    return with_tables(f"SELECT {key}, {columns} FROM {fact} {joins} WHERE {where} GROUP BY ALL")
+    alias = key.split(" AS ")[-1] if " AS " in key and "(" not in key.split(" AS ")[-1] else key
+    if not members or not RATIOS.intersection(measures):
+        groups = f"SELECT {key}, {columns} FROM {fact} {joins} WHERE {where} GROUP BY ALL"
+        return with_tables(f"SELECT * FROM ({groups}) WHERE {_any_value(measures)}")
+    groups = f"SELECT {key}, TRUE AS present, {columns} FROM {fact} {joins} WHERE {where} GROUP BY ALL"
+    filled = ", ".join(
+        f'CASE WHEN present IS NULL THEN 0.0 ELSE "{name}" END AS "{name}"' if name in RATIOS else f'"{name}"'
+        for name in measures
+    )
+    return with_tables(
+        f"""SELECT * FROM (SELECT coalesce(g.{alias}, m.{alias}) AS {alias}, {filled} FROM ({groups}) g
+            FULL OUTER JOIN (SELECT DISTINCT {members}) m ON g.{alias} = m.{alias}) WHERE {_any_value(measures)}"""
+    )
+
+
+def _any_value(measures: list[str]) -> str:
+    return " OR ".join(f'"{name}" IS NOT NULL' for name in measures)
 
 
+DATE_MEMBERS = f"""{t('"date"')} AS "date" FROM dim_date"""
+AIRLINE_MEMBERS = "airline_name FROM dim_airline"
 DATE_JOIN = "LEFT JOIN dim_date USING (date_key)"
-DATE_COLUMN = f"""{t('dim_date."date"')} AS "date" """
+DATE_COLUMN = f"""{t('dim_date."date"')} AS "date\""""
 
 for _name, _fact in [
     ("measures_flights_by_date", "fact_flight_operations"),
@@ -417,7 +443,9 @@ for _name, _fact in [
         result = evaluate(model(spark, sf), names, by=[("dim_date", "date")])
         return result.select("date", *[F.col(f"`{name}`").cast("double").alias(name) for name in names])
 
-    query(_name, grouped_sql(_fact, list(FACT_SQL[_fact]), DATE_COLUMN, DATE_JOIN), digits=4)(_by_date)
+    query(
+        _name, grouped_sql(_fact, list(FACT_SQL[_fact]), DATE_COLUMN, DATE_JOIN, members=DATE_MEMBERS), digits=4
+    )(_by_date)
 
 
 @query(
@@ -427,6 +455,7 @@ for _name, _fact in [
         list(FACT_SQL["fact_flight_operations"]),
         "airline_name",
         "LEFT JOIN dim_airline USING (airline_key)",
+        members=AIRLINE_MEMBERS,
     ),
     digits=4,
 )

@@ -87,19 +87,19 @@ CTES = {
             WHEN count(metric) > count(DISTINCT metric) THEN 'several adjustments of one metric' END AS request_reason
             FROM a2 GROUP BY ALL""",
     "validated": "SELECT * FROM a2 JOIN verdict USING (request_id)",
-    "monthly": f"""SELECT * FROM (SELECT strftime("date", '%B %Y') AS period, sum(passengers_processed) AS passengers
-                FROM fact_passenger_flow JOIN dim_date USING (date_key) GROUP BY ALL)
-            FULL JOIN (SELECT strftime("date", '%B %Y') AS period,
-                {_ratio0("nullif(count(*) FILTER (WHERE status = 'On Time'), 0)", "count(*)")} AS otp,
+    "monthly": f"""SELECT * FROM (SELECT DISTINCT period FROM a0) LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(passengers_processed) AS passengers
+                FROM fact_passenger_flow JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)
+            LEFT JOIN (SELECT strftime("date", '%B %Y') AS period,
+                {_ratio0("nullif(count(*) FILTER (WHERE status = 'On Time'), 0)", "count(*)")} AS otp, count(*) AS flights,
                 {_ratio0('sum(passenger_count)', 'sum(seat_capacity)')} AS load_factor
                 FROM fact_flight_operations JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)
-            FULL JOIN (SELECT strftime("date", '%B %Y') AS period, sum(amount_cad) AS revenue
+            LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(amount_cad) AS revenue
                 FROM fact_commercial_transactions JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)
-            FULL JOIN (SELECT strftime("date", '%B %Y') AS period, sum(electricity_kwh) AS electricity
+            LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(electricity_kwh) AS electricity
                 FROM fact_sustainability_daily JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)""",
     "base": f"""SELECT 'Total Passengers Processed' AS metric, period, CAST(passengers AS DOUBLE) AS baseline FROM monthly
-            UNION ALL SELECT 'On-Time Performance %', period, otp FROM monthly
-            UNION ALL SELECT 'Load Factor %', period, load_factor FROM monthly
+            UNION ALL SELECT 'On-Time Performance %', period, CASE WHEN flights IS NULL THEN 0 ELSE otp END FROM monthly
+            UNION ALL SELECT 'Load Factor %', period, coalesce(load_factor, 0) FROM monthly
             UNION ALL SELECT 'Total Commercial Revenue', period, revenue FROM monthly
             UNION ALL SELECT 'Total Electricity Consumption', period, electricity FROM monthly
             UNION ALL SELECT 'Energy per Passenger', period, {_ratio0('electricity', 'passengers')} FROM monthly""",

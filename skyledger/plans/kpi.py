@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import normalize_text
 from skyledger.plans.context import Filter, Model, filter_date_between
-from skyledger.plans.measures import evaluate, long_form
+from skyledger.plans.measures import derive, evaluate, evaluate_base, long_form
 
 # Metric, page, unit, kind (nonnegative, rate or signed), aliases.
 KPI_REGISTRY = [
@@ -201,11 +201,11 @@ def _by_period(model: Model, periods: DataFrame) -> Model:
 def kpi_by_period(model: Model, metrics: Sequence[str], periods: DataFrame, filters: Sequence[Filter] = ()) -> DataFrame:
     """Metrics per row of a table of periods (label, start_date, end_date), in long form.
 
-    A period without facts keeps its row with a null value.
+    A period without facts keeps its row: blank, or 0 for a ratio with alternate 0.
     """
     by = [("dim_date", column) for column in PERIOD_COLUMNS]
-    values = evaluate(_by_period(model, periods), metrics, by=by, filters=filters)
-    wide = periods.join(values, PERIOD_COLUMNS, "left")
+    base = evaluate_base(_by_period(model, periods), metrics, by=by, filters=filters)
+    wide = derive(periods.join(base, PERIOD_COLUMNS, "left"), metrics)
     return long_form(wide, periods.columns, metrics).drop("text_value")
 
 

@@ -40,10 +40,14 @@ class GroupMean:
 
 @dataclass(frozen=True)
 class Derived:
-    """Computed from other measures of the same result row, possibly of several facts."""
+    """Computed from other measures of the same result row, possibly of several facts.
+
+    ``zero_on_blank`` marks a ratio with alternate 0: it has a value even where no fact row is.
+    """
 
     inputs: tuple[str, ...]
     build: Callable[..., Column]
+    zero_on_blank: bool = False
 
 
 @dataclass(frozen=True)
@@ -73,7 +77,7 @@ def _rows_where(fact: str, column: str, condition: Callable[[Column], Column]) -
 
 
 def _ratio0(numerator: str, denominator: str) -> Derived:
-    return Derived((numerator, denominator), div0)
+    return Derived((numerator, denominator), div0, zero_on_blank=True)
 
 
 def _variance(actual: str, target: str) -> Derived:
@@ -216,6 +220,8 @@ def drill_across(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     values = [name for name in stacked.columns if name not in keys]
+    if not values:
+        return stacked.distinct()
     return stacked.groupBy(*keys).agg(*[F.max(f"`{name}`").alias(name) for name in values])
 
 
@@ -250,18 +256,19 @@ def _target_part(model: Model, targets: dict[str, str], by: Sequence[tuple[str,
     return latest.join(columns, "__as_of", "left").drop("__as_of")
 
 
-def evaluate(
+def evaluate_base(
     model: Model,
     measures: Sequence[str],
     by: Sequence[tuple[str, str]] = (),
     filters: Sequence[Filter] = (),
     registry: dict[str, Measure] = MEASURES,
 ) -> DataFrame:
-    """One row per group of the (table, column) attributes in ``by``, one column per measure.
+    """The aggregates and targets that the measures need, one row per group of ``by``.
 
     Measures are grouped by fact, so every fact is scanned once, aggregated to the groups, and
     only then brought together. A fact without a relationship to an attribute gives the same
-    total to each member of it.
+    total to each member of it. Where a ratio with alternate 0 is asked for, the members of the
+    dimension without any fact row are groups too.
     """
     keys = [column for _, column in by]
     needed = with_inputs(measures, registry)
@@ -271,7 +278,8 @@ def evaluate(
         if isinstance(measure, (Aggregate, GroupMean)):
             base.setdefault(measure.fact, {})[name] = measure
     targets = {m.kpi_code: name for name in needed if isinstance(m := registry[name], AsOfTarget)}
-    tables = {*base, *(table for table, _ in by), *(item.table for item in filters)}
+    by_tables = {table for table, _ in by}
+    tables = {*base, *by_tables, *(item.table for item in filters)}
     if targets:
         tables.add(model.date_dimension)
     model = propagate_filters(restrict(model, tables), filters)
@@ -294,31 +302,48 @@ def evaluate(
         related.append(target_part)
         target_part = None
 
-    if related:
-        result = drill_across(related, keys)
-    elif by:
-        sources = {table for table, _ in by}
-        if len(sources) > 1:
-            raise ValueError("no fact is related to these attributes")
-        source = sources.pop()
-        members = model.dimensions.get(source, model.facts.get(source))
-        result = members.select(*keys).distinct()
-    else:
-        raise ValueError("no measure to evaluate")
+    zero_on_blank = any(isinstance(m := registry[name], Derived) and m.zero_on_blank for name in needed)
+    if by and (not related or (zero_on_blank and by_tables <= set(model.dimensions))) and len(by_tables) == 1:
+        (source,) = by_tables
+        members = model.dimensions[source] if source in model.dimensions else model.facts[source]
+        related.append(members.select(*keys).distinct())
+    if not related:
+        raise ValueError(f"no measure to evaluate by {by}")
+    result = drill_across(related, keys)
     for part in totals:
         result = result.select("*", *[part.select(f"`{name}`").scalar().alias(name) for name in part.columns])
-    if target_part is not None:
-        if date_axis:
-            result = result.join(target_part, date_axis, "left")
-        else:
-            result = result.select(
-                "*", *[target_part.select(f"`{name}`").scalar().alias(name) for name in target_part.columns]
-            )
-    for name in needed:
+    if target_part is not None and date_axis:
+        result = result.join(target_part, date_axis, "left")
+    elif target_part is not None:
+        result = result.select(
+            "*", *[target_part.select(f"`{name}`").scalar().alias(name) for name in target_part.columns]
+        )
+    return result
+
+
+def derive(base: DataFrame, measures: Sequence[str], registry: dict[str, Measure] = MEASURES) -> DataFrame:
+    """Add the derived measures to a row of aggregates and targets."""
+    for name in with_inputs(measures, registry):
         measure = registry[name]
         if isinstance(measure, Derived):
-            result = result.withColumn(name, measure.build(*[F.col(f"`{source}`") for source in measure.inputs]))
-    return result.select(*keys, *[f"`{name}`" for name in measures])
+            base = base.withColumn(name, measure.build(*[F.col(f"`{source}`") for source in measure.inputs]))
+    return base
+
+
+def evaluate(
+    model: Model,
+    measures: Sequence[str],
+    by: Sequence[tuple[str, str]] = (),
+    filters: Sequence[Filter] = (),
+    registry: dict[str, Measure] = MEASURES,
+) -> DataFrame:
+    """One row per group of the (table, column) attributes in ``by``, one column per measure.
+
+    Groups in which every measure is blank are left out; without ``by`` there is always one row.
+    """
+    derived = derive(evaluate_base(model, measures, by, filters, registry), measures, registry)
+    result = derived.select(*[column for _, column in by], *[f"`{name}`" for name in measures])
+    return result.dropna(how="all", subset=list(measures)) if by else result
 
 
 def long_form(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
