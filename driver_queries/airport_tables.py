@@ -264,8 +264,12 @@ def cleaned(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return airport.clean_tables({name: landed(spark, sf_dir, name)})[name]
 
 
+# Cleaned tables that wrote an intermediate table, by application, input and name.
+_CLEANED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class CleanTables(Mapping):
-    """Cleaned tables by name, built when asked for."""
+    """Cleaned tables by name, built when first asked for."""
 
     NAMES = [*LANDED, *LANDED_EVENTS, "operational_targets"]
 
@@ -273,7 +277,10 @@ class CleanTables(Mapping):
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getitem__(self, name: str) -> DataFrame:
-        return cleaned(self.spark, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _CLEANED:
+            _CLEANED[key] = cleaned(self.spark, self.sf_dir, name)
+        return _CLEANED[key]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.NAMES)

@@ -471,8 +471,9 @@ def _(spark, sf):
         f"""SELECT {n('y')} AS "year", {n('m')} AS "month", {f('delay', 4)} AS "Average Delay Minutes", {f('goal', 4)} AS "Average Delay Target",
             {f('delay - goal', 4)} AS "Average Delay Variance",
             CASE WHEN delay <= goal THEN 'Met' WHEN delay > goal THEN 'Not Met' END AS "Average Delay Target Status"
-            FROM (SELECT "year" AS y, "month" AS m, avg(delay_minutes) AS delay FROM fact_flight_operations
-                  JOIN dim_date USING (date_key) GROUP BY ALL)
+            FROM (SELECT DISTINCT "year" AS y, "month" AS m FROM dim_date)
+            LEFT JOIN (SELECT "year" AS y, "month" AS m, avg(delay_minutes) AS delay FROM fact_flight_operations
+                  JOIN dim_date USING (date_key) GROUP BY ALL) USING (y, m)
             LEFT JOIN (SELECT "year" AS y, "month" AS m, max(target_value) AS goal FROM
                   (SELECT "year", "month", max("date") AS as_of FROM dim_date GROUP BY ALL) JOIN c_operational_targets
                   ON effective_start_date <= as_of AND (effective_end_date IS NULL OR effective_end_date >= as_of)

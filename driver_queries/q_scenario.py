@@ -8,7 +8,6 @@ from driver_queries.airport_tables import model, with_tables
 from driver_queries.q_measures import _ratio0
 from driver_queries.registry import f, query, table
 from skyledger.plans import scenario as S
-from skyledger.plans.kpi import kpi_by_period
 from skyledger.plans.questions import extract_periods
 
 # A tenth of all assumptions belongs to one request.
@@ -56,8 +55,7 @@ def baselines(spark, sf):
     """The metrics per month that any assumption names, in long form."""
     named = assumptions(spark, sf).select("period").distinct()
     periods = extract_periods(named, "period").select("label", "start_date", "end_date")
-    values = kpi_by_period(model(spark, sf), METRICS, periods)
-    return values.select(F.col("measure").alias("metric"), F.col("label").alias("period"), "value")
+    return S.scenario_baselines(model(spark, sf), METRICS, periods)
 
 
 def accepted(spark, sf):

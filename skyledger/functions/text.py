@@ -25,8 +25,8 @@ def contains_any(text: Column, phrases: list[str] | tuple[str, ...]) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The lower-case words of a text; letters, digits and inner apostrophes belong to a word."""
-    return F.filter(
-        F.split(F.lower(text), r"[^\p{L}\p{N}']+"),
-        lambda word: F.length(F.trim(word)) > 0,
-    )
+    """The lower-case words of a text: letters, digits and inner apostrophes belong to a word.
+
+    A text that starts or ends with another character gives an empty word there.
+    """
+    return F.split(F.lower(text), r"[^\p{L}\p{N}']+")

@@ -15,12 +15,16 @@ from skyledger.operators.joins import keyed_join
 
 @dataclass(frozen=True)
 class Lookup:
-    """Replace ``business_key`` of a fact by ``surrogate`` of a dimension."""
+    """Replace ``business_key`` of a fact by ``surrogate`` of a dimension.
+
+    ``unique`` says that the fact has one row per business key, so that no key can be hot.
+    """
 
     dimension: DataFrame
     business_key: str
     surrogate: str
     dimension_key: str | None = None
+    unique: bool = False
 
 
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
@@ -28,11 +32,15 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
     The business key must be unique in its dimension; check with duplicate_keys.
     """
+    measured = fact  # a lookup adds columns and keeps the rows, so the keys are measured once, before all joins
     for lookup in lookups:
         keys = lookup.dimension.select(
             F.col(lookup.dimension_key or lookup.business_key).alias(lookup.business_key), lookup.surrogate
         )
-        fact = keyed_join(fact, keys, [lookup.business_key], "left")
+        if lookup.unique:
+            fact = fact.join(keys, lookup.business_key, "left")
+        else:
+            fact = keyed_join(fact, keys, [lookup.business_key], "left", measured)
     return fact
 
 
@@ -61,8 +69,17 @@ def aggregate_to_grain(
 
 
 def borrow_parent_date(
-    child: DataFrame, parent: DataFrame, key: str, parent_time: str, name: str, parent_key: str | None = None
+    child: DataFrame,
+    parent: DataFrame,
+    key: str,
+    parent_time: str,
+    name: str,
+    parent_key: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Give a child row the date of its parent; a child without a parent keeps a null date."""
-    dates = parent.select(F.col(parent_key or key).alias(key), F.to_date(parent_time).alias(name))
+    """Give a child row the date of its parent, and the parent's columns in ``carry``.
+
+    A child without a parent keeps nulls.
+    """
+    dates = parent.select(F.col(parent_key or key).alias(key), F.to_date(parent_time).alias(name), *carry)
     return keyed_join(child, dates, [key], "left")

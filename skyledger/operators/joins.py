@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.005
 SALTS = 64
 
+# Size of the heavy-hitter sketch and number of slices it is merged in.
+TRACKED_KEYS = 2000
+SLICES = 256
+
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True if the optimizer's size estimate of ``df`` is below spark.sql.autoBroadcastJoinThreshold.
@@ -23,7 +27,35 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(size) <= limit
 
 
-def keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Hashes (``__hash``) of the keys that hold more than ``share`` of the rows: 1 / share rows at most.
+
+    One scan of the key columns with a heavy-hitter sketch per slice of the tasks; no key is
+    shuffled, and what leaves a slice is its top keys. The counts are approximate, which can
+    only cost balance: the joins are right for any set of hot keys.
+    """
+    limit = int(1 / share)
+    slices = (
+        df.select(F.xxhash64(*on).alias("__hash"), (F.spark_partition_id() % SLICES).alias("__slice"))
+        .groupBy("__slice")
+        .agg(
+            F.expr(f"approx_top_k(__hash, {limit}, {TRACKED_KEYS})").alias("__top"),
+            F.count(F.lit(1)).alias("__rows"),
+        )
+    )
+    total = slices.agg(F.sum("__rows")).scalar()
+    counts = slices.select(F.inline("__top")).groupBy("item").agg(F.sum("count").alias("__rows"))
+    hot = counts.filter(F.col("__rows") > total * share)
+    return hot.orderBy(F.desc("__rows")).limit(limit).select(F.col("item").alias("__hash"))
+
+
+def keyed_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    measured: DataFrame | None = None,
+) -> DataFrame:
     """Join a possibly skewed ``left`` to keyed rows.
 
     A right side that fits a broadcast is left to Catalyst, which then moves no left row at
@@ -31,7 +63,7 @@ def keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """
     if fits_broadcast(right):
         return left.join(right, list(on), how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, measured)
 
 
 def salted_join(
@@ -39,6 +71,7 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    measured: DataFrame | None = None,
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -47,25 +80,31 @@ def salted_join(
     The rows of hot keys, and the rows with a null key, are spread over ``salts`` tasks. Only
     the right rows of the hot keys are repeated, so the right side hardly grows. ``how`` is
     inner, left, left_semi or left_anti, each of which visits every left row once.
+
+    ``measured`` has the same keys as ``left`` but is cheaper to scan, for instance the fact
+    before its earlier lookups. The salt is a hash of the row, so a task that runs again deals
+    its rows to the same places; exact copies of a row are left to adaptive skew splitting.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows")).scalar()
-    hot = counts.filter(F.col("__rows") > total * hot_share).select(*on, F.lit(True).alias("__hot"))
-
     # At most 1 / hot_share rows (200 by default), whatever the size of the tables.
-    spread = F.coalesce(F.col("__hot"), F.lit(False)) | reduce(
-        lambda a, b: a | b, [F.col(key).isNull() for key in on]
-    )
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__salt",
-        F.when(spread, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
+    hot = F.broadcast(hot_keys(left if measured is None else measured, on, hot_share).withColumn("__hot", F.lit(True)))
+    key_hash = F.xxhash64(*on)
+    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in on])
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    salted_left = (
+        left.withColumn("__hash", key_hash)
+        .join(hot, "__hash", "left")
+        .withColumn("__salt", F.when(is_hot | no_key, salt).otherwise(F.lit(0)))
+        .drop("__hash", "__hot")
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.join(F.broadcast(hot), on, "left").withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), every_salt).otherwise(F.array(F.lit(0))))
+    salted_right = (
+        right.withColumn("__hash", key_hash)
+        .join(hot, "__hash", "left")
+        .withColumn("__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+        .drop("__hash", "__hot")
     )
-    joined = salted_left.drop("__hot").join(salted_right.drop("__hot"), [*on, "__salt"], how)
-    return joined.drop("__salt")
+    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")

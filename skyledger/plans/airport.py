@@ -215,7 +215,7 @@ def build_fact_flight(
     keyed = lookup_keys(
         flights,
         [
-            Lookup(dim_flight, "flight_id", "flight_key"),
+            Lookup(dim_flight, "flight_id", "flight_key", unique=True),
             Lookup(dim_airline, "airline_code", "airline_key"),
             Lookup(dim_gate, "gate_id", "gate_key"),
         ],
@@ -258,9 +258,13 @@ def build_fact_passenger_flow(flow: DataFrame, dim_terminal_zone: DataFrame) ->
 
 
 def build_fact_baggage(baggage: DataFrame, flights: DataFrame, dim_flight: DataFrame) -> DataFrame:
-    dated = borrow_parent_date(baggage, flights, "flight_id", "scheduled_time", "flight_date")
-    keyed = with_date_key(lookup_keys(dated, [Lookup(dim_flight, "flight_id", "flight_key")]), "flight_date")
-    return keyed.select(
+    """Date and key of the flight come through one join: flights and their dimension meet first."""
+    keyed_flights = lookup_keys(
+        flights.select("flight_id", "scheduled_time"),
+        [Lookup(dim_flight, "flight_id", "flight_key", unique=True)],
+    )
+    dated = borrow_parent_date(baggage, keyed_flights, "flight_id", "scheduled_time", "flight_date", carry=["flight_key"])
+    return with_date_key(dated, "flight_date").select(
         "bag_event_id",
         "flight_key",
         "date_key",

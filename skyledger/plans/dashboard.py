@@ -63,18 +63,21 @@ def breakdown_by_attribute(
 def detail_table(
     model: Model, fact: str, columns: Sequence[str], attributes: Sequence[tuple[str, str]], filters: Sequence[Filter] = ()
 ) -> DataFrame:
-    """Fact rows with dimension attributes, sorted by the first fact column."""
+    """Fact rows with dimension attributes, sorted by the fact columns.
+
+    The first column of the fact, its key, ends the order: equal texts then still split over tasks.
+    """
     tables = {fact, *(table for table, _ in attributes), *(item.table for item in filters)}
     model = propagate_filters(restrict(model, tables), filters)
-    joined = star_join(model, fact, attributes, columns)
-    return joined.select(*[column for _, column in attributes], *columns).orderBy(*columns)
+    key = model.facts[fact].columns[0]
+    joined = star_join(model, fact, attributes, [*columns, key]).orderBy(*columns, key)
+    return joined.select(*[column for _, column in attributes], *columns)
 
 
 def word_frequency(df: DataFrame, text: str) -> DataFrame:
     """How often each word occurs; counted per task before the shuffle, so a frequent word is no hot key."""
-    return df.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("frequency")
-    )
+    found = df.select(F.explode(words(F.col(text))).alias("word")).filter(F.col("word") != "")
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def slicer_domain(model: Model, attribute: tuple[str, str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.text import normalize_text
 from skyledger.plans.context import Filter, Model, filter_date_between
 from skyledger.plans.measures import derive, evaluate, evaluate_base, long_form
+from skyledger.session import materialize
 
 # Metric, page, unit, kind (nonnegative, rate or signed), aliases.
 KPI_REGISTRY = [
@@ -191,10 +192,11 @@ def _by_period(model: Model, periods: DataFrame) -> Model:
     """The model with its calendar joined to the days of the periods.
 
     A day of several periods appears once per period, so overlapping periods each get their rows.
-    A period query needs no other dimension.
+    A period query needs no other dimension. The calendar serves every fact and the targets, so
+    it is written once; its size is then known, and the joins to it can be broadcast.
     """
     days = periods.select(*PERIOD_COLUMNS).distinct().withColumn("date", F.explode(F.sequence("start_date", "end_date")))
-    calendar = model.dimensions["dim_date"].join(days, "date")
+    calendar = materialize(model.dimensions["dim_date"].join(days, "date"), "period_calendar")
     return replace(model, dimensions={"dim_date": calendar})
 
 

@@ -297,11 +297,12 @@ def evaluate_base(
             totals += _aggregate_fact(model, fact, wanted, [])
 
     date_axis = [column for table, column in by if table == model.date_dimension]
-    target_part = _target_part(model, targets, by) if targets else None
-    if target_part is not None and len(date_axis) == len(by) and not related:
-        related.append(target_part)
-        target_part = None
-
+    if targets:
+        target_part = _target_part(model, targets, by)
+        if len(date_axis) == len(by):
+            related.append(target_part)
+        elif not date_axis:
+            totals.append(target_part)
     zero_on_blank = any(isinstance(m := registry[name], Derived) and m.zero_on_blank for name in needed)
     if by and (not related or (zero_on_blank and by_tables <= set(model.dimensions))) and len(by_tables) == 1:
         (source,) = by_tables
@@ -311,13 +312,13 @@ def evaluate_base(
         raise ValueError(f"no measure to evaluate by {by}")
     result = drill_across(related, keys)
     for part in totals:
-        result = result.select("*", *[part.select(f"`{name}`").scalar().alias(name) for name in part.columns])
-    if target_part is not None and date_axis:
-        result = result.join(target_part, date_axis, "left")
-    elif target_part is not None:
-        result = result.select(
-            "*", *[target_part.select(f"`{name}`").scalar().alias(name) for name in target_part.columns]
+        # One scalar subquery per part; its fields are unpacked beside every group.
+        row = part.select(F.struct(*[f"`{name}`" for name in part.columns])).scalar()
+        result = result.select("*", row.alias("__total")).select(
+            *[f"`{name}`" for name in result.columns], *[F.col(f"__total.`{name}`") for name in part.columns]
         )
+    if targets and 0 < len(date_axis) < len(by):
+        result = result.join(target_part, date_axis, "left")
     return result
 
 

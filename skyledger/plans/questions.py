@@ -152,15 +152,16 @@ def _position(names: Sequence[str], name: Column) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), name).cast("int")
 
 
-def periods_of(text: Column) -> Column:
-    """array<struct<label, start_date, end_date>> of every 'month yyyy' in a text.
+def extract_periods(df: DataFrame, text: str) -> DataFrame:
+    """One row per period of a text: period_no, label, start_date, end_date. Texts without one give no row.
 
-    The words "first week", "last week" and "end of" anywhere in the text apply to every month
-    and each gives a period; without them the period is the full month. "Last week" and "end
-    of" are the same days, so the second is left out when both occur, and a month that occurs
-    twice gives its periods once.
+    Every 'month yyyy' of the text counts, once. The words "first week", "last week" and "end
+    of" anywhere in the text apply to each of them and give a period each; without these words
+    the period is the full month. "Last week" and "end of" are the same days, so the second is
+    left out when both occur.
     """
-    lowered = F.lower(text)
+    kept = [F.col(name) for name in df.columns]
+    lowered = F.lower(F.col(text))
     months = F.array_distinct(
         F.arrays_zip(
             F.regexp_extract_all(lowered, F.lit(MONTH_YEAR_PATTERN), F.lit(1)).alias("month"),
@@ -168,41 +169,30 @@ def periods_of(text: Column) -> Column:
         )
     )
     first, last, end = (lowered.contains(phrase) for phrase in ("first week", "last week", "end of"))
-    kinds = F.filter(
+    kinds = F.array_compact(
         F.array(
             F.when(first, F.lit("first_week")),
             F.when(last, F.lit("last_week")),
             F.when(end & ~last, F.lit("end_of_month")),
             F.when(~(first | last | end), F.lit("month")),
-        ),
-        lambda kind: kind.isNotNull(),
-    )
-
-    def period(found: Column, kind: Column) -> Column:
-        name = F.concat_ws(" ", F.initcap(found["month"]), found["year"])
-        prefix = (
-            F.when(kind == "first_week", F.lit("First week of "))
-            .when(kind == "last_week", F.lit("Last week of "))
-            .when(kind == "end_of_month", F.lit("End of "))
-            .otherwise(F.lit(""))
-        )
-        return make_period(
-            F.concat(prefix, name), kind, found["year"].cast("int"), _position(MONTH_NAMES, found["month"])
         )
-
-    return F.flatten(F.transform(months, lambda found: F.transform(kinds, lambda kind: period(found, kind))))
-
-
-def extract_periods(df: DataFrame, text: str) -> DataFrame:
-    """One row per period of a text: period_no, label, start_date, end_date. Texts without one give no row."""
-    kept = [F.col(name) for name in df.columns]
-    found = df.select(*kept, F.posexplode(periods_of(F.col(text))).alias("__position", "__period"))
-    return found.select(
-        *kept,
-        (F.col("__position") + 1).alias("period_no"),
-        F.col("__period.label").alias("label"),
-        F.col("__period.start_date").alias("start_date"),
-        F.col("__period.end_date").alias("end_date"),
+    )
+    # The pattern is costly, so texts that cannot match leave before it runs.
+    candidates = df.filter(lowered.rlike(MONTH_YEAR_PATTERN))
+    found = candidates.select(*kept, kinds.alias("__kinds"), F.posexplode(months).alias("__place", "__found"))
+    found = found.select(*kept, "__place", "__found", "__kinds", F.posexplode("__kinds").alias("__order", "__kind"))
+    month, year, kind = F.col("__found.month"), F.col("__found.year"), F.col("__kind")
+    prefix = (
+        F.when(kind == "first_week", F.lit("First week of "))
+        .when(kind == "last_week", F.lit("Last week of "))
+        .when(kind == "end_of_month", F.lit("End of "))
+        .otherwise(F.lit(""))
+    )
+    label = F.concat(prefix, F.initcap(month), F.lit(" "), year)
+    period = make_period(label, kind, year.cast("int"), _position(MONTH_NAMES, month))
+    number = F.col("__place") * F.size("__kinds") + F.col("__order") + 1
+    return found.select(*kept, number.alias("period_no"), period.alias("__period")).select(
+        *kept, "period_no", "__period.label", "__period.start_date", "__period.end_date"
     )
 
 

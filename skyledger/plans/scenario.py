@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import normalize_text
 from skyledger.operators.joins import keyed_join
-from skyledger.plans.kpi import KPI_REGISTRY, lookup_column, metric_attributes
+from skyledger.plans.context import Model
+from skyledger.plans.kpi import KPI_REGISTRY, kpi_by_period, lookup_column, metric_attributes
+from skyledger.session import materialize
 
 # The kinds of adjustment and the largest number of them in one request.
 OPERATIONS = ("percentage_change", "absolute_change", "set_target", "percentage_point_change")
@@ -76,6 +79,17 @@ def split_requests(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.filter(accepted), validated.filter(~accepted)
 
 
+def scenario_baselines(model: Model, metrics: Sequence[str], periods: DataFrame) -> DataFrame:
+    """The baselines (metric, period, value) of the metrics over a table of periods.
+
+    They are written before they are used: one small row per metric and period stands for whole
+    facts, and its size decides how the assumptions are joined to it.
+    """
+    values = kpi_by_period(model, metrics, periods)
+    rows = values.select(F.col("measure").alias("metric"), F.col("label").alias("period"), "value")
+    return materialize(rows, "baselines")
+
+
 def baseline_join(accepted: DataFrame, baselines: DataFrame) -> DataFrame:
     """Add the baseline of (metric, period) and the reason if it cannot be used.
 
