@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries.airport_tables import model, with_tables
-from driver_queries.q_measures import _ratio0
+from driver_queries.q_measures import _ratio0, totals_sql
+from driver_queries.q_questions import QUESTIONS_SQL, questions
 from driver_queries.registry import f, query, table
 from skyledger.plans import scenario as S
-from skyledger.plans.questions import extract_periods
+from skyledger.plans.questions import MONTH_YEAR_PATTERN, extract_periods
 
 # A tenth of all assumptions belongs to one request.
 REQUEST = "CASE WHEN event_id % 10 = 0 THEN -1 ELSE CAST(FLOOR(event_id / 2) AS BIGINT) END"
@@ -26,7 +27,7 @@ VALUE = (
     "CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 59 = 0 THEN CAST('NaN' AS DOUBLE) "
     "WHEN event_id % 61 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(user_id % 200 - 120 AS DOUBLE) END"
 )
-PERIOD = "{month} || ' ' || CAST(1996 + event_id % 7 AS STRING)"
+PERIOD = "CASE WHEN event_id % 23 = 0 THEN 'all available dates' ELSE {month} || ' ' || CAST(1996 + event_id % 7 AS STRING) END"
 SPARK_MONTH = "date_format(make_date(2024, CAST(1 + event_id % 12 AS INT), 1), 'MMMM')"
 SQL_MONTH = "strftime(make_date(2024, CAST(1 + event_id % 12 AS INT), 1), '%B')"
 
@@ -53,7 +54,7 @@ def assumptions(spark, sf):
 
 def baselines(spark, sf):
     """The metrics per month that any assumption names, in long form."""
-    named = assumptions(spark, sf).select("period").distinct()
+    named = assumptions(spark, sf).filter(F.col("period") != S.ALL_DATES).select("period").distinct()
     periods = extract_periods(named, "period").select("label", "start_date", "end_date")
     return S.scenario_baselines(model(spark, sf), METRICS, periods)
 
@@ -85,7 +86,7 @@ CTES = {
             WHEN count(metric) > count(DISTINCT metric) THEN 'several adjustments of one metric' END AS request_reason
             FROM a2 GROUP BY ALL""",
     "validated": "SELECT * FROM a2 JOIN verdict USING (request_id)",
-    "monthly": f"""SELECT * FROM (SELECT DISTINCT period FROM a0) LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(passengers_processed) AS passengers
+    "monthly": f"""SELECT * FROM (SELECT DISTINCT period FROM a0 WHERE period <> 'all available dates') LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(passengers_processed) AS passengers
                 FROM fact_passenger_flow JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)
             LEFT JOIN (SELECT strftime("date", '%B %Y') AS period,
                 {_ratio0("nullif(count(*) FILTER (WHERE status = 'On Time'), 0)", "count(*)")} AS otp, count(*) AS flights,
@@ -95,12 +96,15 @@ CTES = {
                 FROM fact_commercial_transactions JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)
             LEFT JOIN (SELECT strftime("date", '%B %Y') AS period, sum(electricity_kwh) AS electricity
                 FROM fact_sustainability_daily JOIN dim_date USING (date_key) GROUP BY ALL) USING (period)""",
+    "everything": totals_sql(),
     "base": f"""SELECT 'Total Passengers Processed' AS metric, period, CAST(passengers AS DOUBLE) AS baseline FROM monthly
             UNION ALL SELECT 'On-Time Performance %', period, CASE WHEN flights IS NULL THEN 0 ELSE otp END FROM monthly
             UNION ALL SELECT 'Load Factor %', period, coalesce(load_factor, 0) FROM monthly
             UNION ALL SELECT 'Total Commercial Revenue', period, revenue FROM monthly
             UNION ALL SELECT 'Total Electricity Consumption', period, electricity FROM monthly
-            UNION ALL SELECT 'Energy per Passenger', period, {_ratio0('electricity', 'passengers')} FROM monthly""",
+            UNION ALL SELECT 'Energy per Passenger', period, {_ratio0('electricity', 'passengers')} FROM monthly
+            {' '.join(f"""UNION ALL SELECT '{name}', 'all available dates', CAST("{name}" AS DOUBLE) FROM everything"""
+                      for name in METRICS)}""",
     "joined": """SELECT v.*, baseline, CASE WHEN baseline IS NULL THEN 'missing baseline'
             WHEN kind = 'rate' AND (baseline < 0 OR baseline > 1) THEN 'baseline is not a rate between 0 and 1' END AS baseline_reason
             FROM validated v LEFT JOIN base USING (metric, period) WHERE request_reason IS NULL""",
@@ -174,3 +178,26 @@ def _(spark, sf):
 def _(spark, sf):
     results = S.run_scenarios(accepted(spark, sf), baselines(spark, sf))
     return S.scenario_pages(results.filter(F.col("reject_reason").isNull()))
+
+
+TIMED = "CASE WHEN event_id % 10 = 3 THEN NULL WHEN event_id % 10 = 5 THEN '  ' ELSE text END"
+
+
+@query(
+    "scenario_period",
+    f"""WITH q AS (SELECT event_id, {TIMED} AS time_expression, lower({TIMED}) AS s FROM {QUESTIONS_SQL}),
+        c AS (SELECT *, regexp_extract_all(s, '{MONTH_YEAR_PATTERN}') AS found,
+              CAST(contains(s, 'first week') AS INT) + CAST(contains(s, 'last week') OR contains(s, 'end of') AS INT) AS kinds
+              FROM q),
+        p AS (SELECT event_id, CASE WHEN time_expression IS NULL OR trim(time_expression) = '' THEN 'all available dates'
+              WHEN len(list_distinct(found)) = 1 AND kinds <= 1 THEN
+                CASE WHEN contains(s, 'first week') THEN 'First week of ' WHEN contains(s, 'last week') THEN 'Last week of '
+                     WHEN contains(s, 'end of') THEN 'End of ' ELSE '' END
+                || upper(substr(regexp_extract(s, '{MONTH_YEAR_PATTERN}', 1), 1, 1))
+                || substr(regexp_extract(s, '{MONTH_YEAR_PATTERN}', 1), 2) || ' ' || regexp_extract(s, '{MONTH_YEAR_PATTERN}', 2)
+              END AS period FROM c)
+        SELECT event_id, period, CASE WHEN period IS NULL THEN 'one supported period is needed' END AS period_reason FROM p""",
+)
+def _(spark, sf):
+    rows = questions(spark, sf).withColumn("time_expression", F.expr(TIMED))
+    return S.request_period(rows, "time_expression").select("event_id", "period", "period_reason")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 # A key is hot when it holds more than this share of the rows, so there are at most 1 / share of them.
 HOT_SHARE = 0.005
@@ -17,6 +18,12 @@ TRACKED_KEYS = 2000
 SLICES = 256
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row over all columns that can be hashed."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    return F.xxhash64(*hashable)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True if the optimizer's size estimate of ``df`` is below spark.sql.autoBroadcastJoinThreshold.
 
@@ -93,7 +100,7 @@ def salted_join(
     key_hash = F.xxhash64(*on)
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in on])
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(row_hash(left), F.lit(salts)).cast("int")
     salted_left = (
         left.withColumn("__hash", key_hash)
         .join(hot, "__hash", "left")

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
+from skyledger.operators.joins import row_hash
 from skyledger.session import materialize
 
 RANGE = "__range"
@@ -30,8 +30,7 @@ def order_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     different ranges and keep the same place in every run. The result is written to the shared
     folder: range and position depend on the physical layout and must not be computed twice.
     """
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    marked = df.orderBy(*order, F.xxhash64(*hashable)).withColumn("__id", F.monotonically_increasing_id())
+    marked = df.orderBy(*order, row_hash(df)).withColumn("__id", F.monotonically_increasing_id())
     fixed = materialize(marked, "ordered")
     return fixed.select(
         *[f"`{name}`" for name in df.columns],

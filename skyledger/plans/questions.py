@@ -152,16 +152,9 @@ def _position(names: Sequence[str], name: Column) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), name).cast("int")
 
 
-def extract_periods(df: DataFrame, text: str) -> DataFrame:
-    """One row per period of a text: period_no, label, start_date, end_date. Texts without one give no row.
-
-    Every 'month yyyy' of the text counts, once. The words "first week", "last week" and "end
-    of" anywhere in the text apply to each of them and give a period each; without these words
-    the period is the full month. "Last week" and "end of" are the same days, so the second is
-    left out when both occur.
-    """
-    kept = [F.col(name) for name in df.columns]
-    lowered = F.lower(F.col(text))
+def _months_and_kinds(text: Column) -> tuple[Column, Column]:
+    """The distinct (month, year) pairs of a text, and the kinds of period that its words ask for."""
+    lowered = F.lower(text)
     months = F.array_distinct(
         F.arrays_zip(
             F.regexp_extract_all(lowered, F.lit(MONTH_YEAR_PATTERN), F.lit(1)).alias("month"),
@@ -177,11 +170,10 @@ def extract_periods(df: DataFrame, text: str) -> DataFrame:
             F.when(~(first | last | end), F.lit("month")),
         )
     )
-    # The pattern is costly, so texts that cannot match leave before it runs.
-    candidates = df.filter(lowered.rlike(MONTH_YEAR_PATTERN))
-    found = candidates.select(*kept, kinds.alias("__kinds"), F.posexplode(months).alias("__place", "__found"))
-    found = found.select(*kept, "__place", "__found", "__kinds", F.posexplode("__kinds").alias("__order", "__kind"))
-    month, year, kind = F.col("__found.month"), F.col("__found.year"), F.col("__kind")
+    return months, kinds
+
+
+def _period(month: Column, year: Column, kind: Column) -> Column:
     prefix = (
         F.when(kind == "first_week", F.lit("First week of "))
         .when(kind == "last_week", F.lit("Last week of "))
@@ -189,13 +181,38 @@ def extract_periods(df: DataFrame, text: str) -> DataFrame:
         .otherwise(F.lit(""))
     )
     label = F.concat(prefix, F.initcap(month), F.lit(" "), year)
-    period = make_period(label, kind, year.cast("int"), _position(MONTH_NAMES, month))
+    return make_period(label, kind, year.cast("int"), _position(MONTH_NAMES, month))
+
+
+def extract_periods(df: DataFrame, text: str) -> DataFrame:
+    """One row per period of a text: period_no, label, start_date, end_date. Texts without one give no row.
+
+    Every 'month yyyy' of the text counts, once. The words "first week", "last week" and "end
+    of" anywhere in the text apply to each of them and give a period each; without these words
+    the period is the full month. "Last week" and "end of" are the same days, so the second is
+    left out when both occur.
+    """
+    kept = [F.col(name) for name in df.columns]
+    months, kinds = _months_and_kinds(F.col(text))
+    # The patterns are costly, so texts that cannot match leave before the rest runs.
+    candidates = df.filter(F.lower(F.col(text)).rlike(MONTH_YEAR_PATTERN))
+    found = candidates.select(*kept, kinds.alias("__kinds"), F.posexplode(months).alias("__place", "__found"))
+    found = found.select(*kept, "__place", "__found", "__kinds", F.posexplode("__kinds").alias("__order", "__kind"))
+    period = _period(F.col("__found.month"), F.col("__found.year"), F.col("__kind"))
     number = F.col("__place") * F.size("__kinds") + F.col("__order") + 1
     return found.select(*kept, number.alias("period_no"), period.alias("__period")).select(
         *kept, "period_no", "__period.label", "__period.start_date", "__period.end_date"
     )
 
 
+def only_period(text: Column) -> Column:
+    """struct<label, start_date, end_date> of a text with exactly one period; null for none or several."""
+    months, kinds = _months_and_kinds(text)
+    found = F.try_element_at(months, F.lit(1))
+    period = _period(found["month"], found["year"], F.try_element_at(kinds, F.lit(1)))
+    return F.when((F.size(months) == 1) & (F.size(kinds) == 1), period)
+
+
 def extract_single_period(text: Column) -> Column:
     """'Month yyyy' from a month name or 3-letter form with a year, else from yyyy-mm or yyyy/mm; null if none."""
     named = F.lower(F.substring(F.regexp_extract(text, MONTH_FIRST_PATTERN, 1), 1, 3))

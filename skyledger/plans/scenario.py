@@ -12,12 +12,16 @@ from skyledger.functions.text import normalize_text
 from skyledger.operators.joins import keyed_join
 from skyledger.plans.context import Model
 from skyledger.plans.kpi import KPI_REGISTRY, kpi_by_period, lookup_column, metric_attributes
+from skyledger.plans.measures import evaluate, long_form
+from skyledger.plans.questions import only_period
 from skyledger.session import materialize
 
 # The kinds of adjustment and the largest number of them in one request.
 OPERATIONS = ("percentage_change", "absolute_change", "set_target", "percentage_point_change")
 MAX_ASSUMPTIONS = 5
 
+ALL_DATES = "all available dates"
+
 
 def _is_finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
@@ -79,15 +83,30 @@ def split_requests(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.filter(accepted), validated.filter(~accepted)
 
 
+def request_period(df: DataFrame, time_expression: str) -> DataFrame:
+    """Add the ``period`` label of a request and ``period_reason`` if its time cannot be used.
+
+    No time expression means all available dates; any other must name exactly one period.
+    """
+    text = F.col(time_expression)
+    unset = text.isNull() | (F.trim(text) == "")
+    label = F.when(unset, F.lit(ALL_DATES)).otherwise(only_period(text)["label"])
+    return df.withColumn("period", label).withColumn(
+        "period_reason", F.when(F.col("period").isNull(), F.lit("one supported period is needed"))
+    )
+
+
 def scenario_baselines(model: Model, metrics: Sequence[str], periods: DataFrame) -> DataFrame:
-    """The baselines (metric, period, value) of the metrics over a table of periods.
+    """The baselines (metric, period, value) of the metrics over a table of periods and over all dates.
 
     They are written before they are used: one small row per metric and period stands for whole
     facts, and its size decides how the assumptions are joined to it.
     """
     values = kpi_by_period(model, metrics, periods)
     rows = values.select(F.col("measure").alias("metric"), F.col("label").alias("period"), "value")
-    return materialize(rows, "baselines")
+    overall = long_form(evaluate(model, metrics), [], metrics)
+    overall = overall.select(F.col("measure").alias("metric"), F.lit(ALL_DATES).alias("period"), "value")
+    return materialize(rows.unionByName(overall), "baselines")
 
 
 def baseline_join(accepted: DataFrame, baselines: DataFrame) -> DataFrame:

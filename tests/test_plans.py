@@ -9,7 +9,7 @@ from driver_queries.all_queries import QUERIES
 from driver_queries.airport_tables import model
 from skyledger.plans.context import filter_date_between
 from skyledger.plans.measures import evaluate
-from skyledger.session import shared_dir
+from skyledger.session import materialize, shared_dir
 from skyledger.sources import jdbc_options, sink_overwrite
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -71,16 +71,13 @@ def test_jdbc_options_need_the_whole_partitioning():
         jdbc_options("jdbc:x", "flights", partition_column="id")
 
 
-def test_shared_dir_is_read_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/some-shared-folder/")
-    try:
-        assert shared_dir(spark) == "/tmp/some-shared-folder"
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_written_tables_go_to_the_folder_of_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        assert shared_dir(spark) == folder.rstrip("/")
+    written = materialize(spark.range(3))
+    assert written.count() == 3
+    assert all(shared_dir(spark).removeprefix("file:") in path for path in written.inputFiles())
 
 
 def test_overwrite_of_a_table_by_itself(spark, tmp_path):
