@@ -9,7 +9,6 @@ written twice, as DataFrame plans in ``skyledger`` and as SQL here.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -358,10 +357,6 @@ def model(spark: SparkSession, sf_dir: str, revenue_by_zone: bool = False) -> Mo
     )
 
 
-def only(m: Model, *relationships) -> Model:
-    return replace(m, relationships=tuple(relationships))
-
-
 # ---------------------------------------------------------------- SQL side
 
 

@@ -24,16 +24,20 @@ STATUS = "CASE l_returnflag WHEN 'A' THEN 'On Time' WHEN 'R' THEN 'Delayed' ELSE
 )
 def _(spark, sf):
     flights = table(spark, sf, "lineitem").select("l_suppkey", F.expr(STATUS).alias("status"))
-    carriers = table(spark, sf, "supplier").join(
-        table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("carrier")),
-        "s_nationkey",
-        "left",
+    # Counted per supplier first: only the counts are joined to the carriers, not the flights.
+    counts = flights.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("total_flights"), F.count_if(F.col("status") == "On Time").alias("on_time_flights")
+    )
+    keyed = lookup_keys(
+        counts,
+        [
+            Lookup(table(spark, sf, "supplier"), "l_suppkey", "s_nationkey", "s_suppkey", unique=True),
+            Lookup(table(spark, sf, "nation"), "s_nationkey", "n_name", "n_nationkey"),
+        ],
     )
-    keyed = lookup_keys(flights, [Lookup(carriers, "l_suppkey", "carrier", "s_suppkey")])
-    on_time = F.count_if(F.col("status") == "On Time")
     return (
-        keyed.groupBy("carrier")
-        .agg(F.count(F.lit(1)).alias("total_flights"), on_time.alias("on_time_flights"))
+        keyed.groupBy(F.col("n_name").alias("carrier"))
+        .agg(F.sum("total_flights").alias("total_flights"), F.sum("on_time_flights").alias("on_time_flights"))
         .withColumn("on_time_performance", div0(F.col("on_time_flights"), F.col("total_flights")))
         .orderBy(F.desc("on_time_performance"), "carrier")
     )

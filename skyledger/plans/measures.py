@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.numeric import blank_if_zero, div, div0, weighted_avg
+from skyledger.functions.numeric import blank_if_zero, div0, weighted_avg
 from skyledger.plans.context import Filter, Model, propagate_filters, restrict, star_join
 from skyledger.plans.targets import target_columns, target_status, target_variance
 

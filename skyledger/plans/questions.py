@@ -152,9 +152,8 @@ def _position(names: Sequence[str], name: Column) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), name).cast("int")
 
 
-def _months_and_kinds(text: Column) -> tuple[Column, Column]:
-    """The distinct (month, year) pairs of a text, and the kinds of period that its words ask for."""
-    lowered = F.lower(text)
+def _months_and_kinds(lowered: Column) -> tuple[Column, Column]:
+    """The distinct (month, year) pairs of a lower-case text, and the kinds of period that its words ask for."""
     months = F.array_distinct(
         F.arrays_zip(
             F.regexp_extract_all(lowered, F.lit(MONTH_YEAR_PATTERN), F.lit(1)).alias("month"),
@@ -193,9 +192,11 @@ def extract_periods(df: DataFrame, text: str) -> DataFrame:
     left out when both occur.
     """
     kept = [F.col(name) for name in df.columns]
-    months, kinds = _months_and_kinds(F.col(text))
-    # The patterns are costly, so texts that cannot match leave before the rest runs.
-    candidates = df.filter(F.lower(F.col(text)).rlike(MONTH_YEAR_PATTERN))
+    months, kinds = _months_and_kinds(F.col("__lowered"))
+    # The patterns are costly: texts that cannot match leave first, and the text is lowered once.
+    candidates = df.select("*", F.lower(F.col(text)).alias("__lowered")).filter(
+        F.col("__lowered").rlike(MONTH_YEAR_PATTERN)
+    )
     found = candidates.select(*kept, kinds.alias("__kinds"), F.posexplode(months).alias("__place", "__found"))
     found = found.select(*kept, "__place", "__found", "__kinds", F.posexplode("__kinds").alias("__order", "__kind"))
     period = _period(F.col("__found.month"), F.col("__found.year"), F.col("__kind"))
@@ -207,7 +208,7 @@ def extract_periods(df: DataFrame, text: str) -> DataFrame:
 
 def only_period(text: Column) -> Column:
     """struct<label, start_date, end_date> of a text with exactly one period; null for none or several."""
-    months, kinds = _months_and_kinds(text)
+    months, kinds = _months_and_kinds(F.lower(text))
     found = F.try_element_at(months, F.lit(1))
     period = _period(found["month"], found["year"], F.try_element_at(kinds, F.lit(1)))
     return F.when((F.size(months) == 1) & (F.size(kinds) == 1), period)
