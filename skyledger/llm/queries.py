@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import jaccard_join, packing, pii, warc, wavelet
+from skyledger.llm import block_search, decontamination, jaccard_join, licences, nbsvm, packing, pii, warc, wavelet
 from skyledger.llm.oracle import ORACLE
+from skyledger.llm.shared import in_bucket
 from skyledger.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,20 +47,45 @@ def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_licence_scan")
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 @query("op5_cost_packing")
 def cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
 
 
+@query("op6_block_search")
+def block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.top_products(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 @query("op7_warc_index")
 def warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op8_benchmark_items")
+def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "bm25", "question_share", "answer_share", "first_word")
+
+
 @query("op9_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.base_report(table(spark, sf_dir, "documents"))
 
 
+@query("op10_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = nbsvm.train(docs, table(spark, sf_dir, "labels"), ~in_bucket("doc_id", 4, 2))
+    scored = nbsvm.with_quality(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", in_bucket("doc_id", 4, 2).alias("held_out"), "score", predicted)
+
+
 __all__ = ["ORACLE", "QUERIES"]

@@ -16,6 +16,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+# All of ASCII but letters and digits.
+IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,24 +54,26 @@ def batches(texts: Sequence[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[
         yield first, len(texts)
 
 
-def word_bounds(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a buffer that ends in a space."""
-    space = IS_SPACE[buffer]
+def word_bounds(buffer: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a buffer that ends in a break."""
+    space = breaks[buffer]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(space) and not space[0]:
         edges = np.concatenate([np.zeros(1, edges.dtype), edges])
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[bytes], breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the number of words up to its end.
 
+    ``breaks`` says which bytes are not part of a word; line feed and space must be among them.
+
     A word is hashed eight bytes at a time, all words of the batch at once; only the words that
     are longer take part in the next round.
     """
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     buffer = LOWER[np.frombuffer(b"\n".join([*texts, b" " * 8]), dtype=np.uint8)]
-    starts, ends = word_bounds(buffer)
+    starts, ends = word_bounds(buffer, breaks)
     upto = np.searchsorted(starts, np.cumsum(sizes), "left")
     if not len(starts):
         return np.zeros(0, np.uint64), upto
