@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_search, decontamination, jaccard_join, licences, nbsvm, packing, pii, warc, wavelet
+from skyledger.llm import block_search, context_mixing, decontamination, jaccard_join, licences, nbsvm, packing, pii, warc, wavelet
 from skyledger.llm.oracle import ORACLE
 from skyledger.llm.shared import in_bucket
 from skyledger.llm.shipping import ship_package
@@ -52,6 +52,11 @@ def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+@query("op4_context_mixing")
+def mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_texts(table(spark, sf_dir, "documents"), ~in_bucket("doc_id", 5, 1))
+
+
 @query("op5_cost_packing")
 def cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=1)
