@@ -2,7 +2,7 @@
 
 A byte is predicted bit by bit. For each of several orders, a predictor knows how often a 1 and
 a 0 came after the hashed last bytes and the bits of the byte so far. The stretched predictions
-are added with weights that the bits so far select (a gate), squashed, and refined by a table of
+are added with weights that a gate selects (the bit, and how many orders know their context), squashed, and refined by a table of
 what became of such predictions.
 
 Learning is spread over the corpus: counts are summed over all training texts, then each task
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, shuffle_partitions
 from skyledger.llm.words import batches, encoded, mix, word_hashes
 
-ORDERS = (1, 2, 3, 4, 6)
+ORDERS = (2, 3, 4, 6)
 LONGEST = max(ORDERS)
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
@@ -34,13 +34,17 @@ RANGES = 32
 # Stands before and after every text; no UTF-8 text has it.
 END = 0xFF
 
+PRIOR = 0.2
 START_WEIGHT = 0.35
-RATE = 0.5
-SLICES = 8
+RATE = 1.0
+SLICES = 4
 SURE = 13.0
 CELLS = 33
 CELL_TRUST = 16.0
 
+# Bytes of text whose keys are worked out together: more have fewer distinct keys.
+BATCH_BYTES = 1 << 22
+
 # Rows whose words are looked up together.
 LOOKUP_ROWS = 2048
 
@@ -55,7 +59,7 @@ SCORES = (
 
 @dataclass(frozen=True)
 class Mixer:
-    """Stretched predictions by order and slot, weights by gate and order, and the refining table."""
+    """Stretched predictions by order and slot, weights by bit, gate and order, and the refining table."""
 
     stretched: np.ndarray
     weights: np.ndarray
@@ -107,45 +111,72 @@ def count_bits(keys: np.ndarray, times: np.ndarray, tables: np.ndarray) -> None:
             np.add.at(table, _slots(context, node) * 2 + bit.astype(np.int64), times)
 
 
-def _mixed(weights: np.ndarray, inputs: list[np.ndarray], node: np.ndarray) -> np.ndarray:
-    chosen = weights[node.astype(np.int64)]
-    total = chosen[:, -1].copy()
-    for k, x in enumerate(inputs):
-        total += chosen[:, k] * x
-    return np.clip(total, -SURE, SURE)
+def start_weights() -> np.ndarray:
+    """Weights by bit of the byte, gate, and order; the last one is of a constant."""
+    weights = np.full((8, len(ORDERS) + 1, len(ORDERS) + 1), START_WEIGHT)
+    weights[..., -1] = 0.0
+    return weights
+
+
+def _inputs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Stretched predictions and a constant as columns, and the gate: how many orders know the context."""
+    x = np.ones((len(columns[0]), len(columns) + 1), dtype=np.float32)
+    for k, column in enumerate(columns):
+        x[:, k] = column
+    return x, np.count_nonzero(x[:, :-1], axis=1)
+
+
+def _mixed(weights: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    return np.clip(np.einsum("ij,ij->i", weights.astype(np.float32)[gate], x), -SURE, SURE)
+
+
+def _squashed(total: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-total))
 
 
 def _cells(node: np.ndarray, total: np.ndarray) -> np.ndarray:
     return node.astype(np.int64) * CELLS + np.rint((total + SURE) * ((CELLS - 1) / (2 * SURE))).astype(np.int64)
 
 
-def learn_weights(stretched: np.ndarray, weights: np.ndarray, keys: np.ndarray, times: np.ndarray, cells: np.ndarray) -> None:
-    """Move ``weights`` along the keys, slice by slice, and note in ``cells`` what became of each prediction."""
+def stretch(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of a 1 from the counts of 0 and 1 in the last axis; 0 for what was not seen."""
+    return np.log((counts[..., 1] + np.float32(PRIOR)) / (counts[..., 0] + np.float32(PRIOR)))
+
+
+def learn_weights(counts: np.ndarray, weights: np.ndarray, keys: np.ndarray, times: np.ndarray, cells: np.ndarray) -> None:
+    """Move ``weights`` along the keys, slice by slice, and note in ``cells`` what became of each prediction.
+
+    Each bit is predicted from the counts without itself: the counts are of the same texts, and
+    a prediction that knows its own bit would be trusted too much.
+    """
+    gates = np.eye(weights.shape[1], dtype=np.float32)
+    pairs = counts.view(np.uint64)[..., 0]
     for first in range(SLICES):
-        part, weight = keys[first::SLICES], times[first::SLICES].astype(np.float64)
+        part, weight = keys[first::SLICES], times[first::SLICES].astype(np.float32)
         contexts = _contexts(part)
-        for node, bit in _nodes(part):
-            inputs = [stretched[k][_slots(c, node)] for k, c in enumerate(contexts)]
-            total = _mixed(weights, inputs, node)
-            p = 1 / (1 + np.exp(-total))
-            gate = node.astype(np.int64)
+        for place, (node, bit) in enumerate(_nodes(part)):
+            own = np.stack([bit ^ np.uint64(1), bit], axis=1).astype(np.float32)
+            known = [pairs[k][_slots(c, node)].view(np.float32).reshape(-1, 2) for k, c in enumerate(contexts)]
+            x, gate = _inputs([stretch(np.maximum(n - own, 0)) for n in known])
+            total = _mixed(weights[place], x, gate)
+            p = _squashed(total)
             cell = _cells(node, total)
             cells[1] += np.bincount(cell, weight, len(cells[1]))
-            cells[0] += np.bincount(cell, weight * bit, len(cells[0]))
-            error, spread = weight * (bit - p), weight * p * (1 - p)
-            for k, x in enumerate([*inputs, np.ones(len(part))]):
-                slope = np.bincount(gate, error * x, 256)
-                curve = np.bincount(gate, spread * x * x, 256)
-                weights[:, k] += RATE / len(ORDERS) * slope / (curve + 1.0)
+            cells[0] += np.bincount(cell, weight * own[:, 1], len(cells[0]))
+            chosen = gates[gate]
+            slope = chosen.T @ ((weight * (own[:, 1] - p))[:, None] * x)
+            curve = chosen.T @ ((weight * p * (1 - p))[:, None] * x * x)
+            weights[place] += RATE / len(ORDERS) * slope / (curve + 1.0)
 
 
 def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
     """log10 of the probability of each key's byte after its context."""
     contexts = _contexts(keys)
     out = np.zeros(len(keys))
-    for node, bit in _nodes(keys):
-        total = _mixed(mixer.weights, [mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)], node)
-        p = 1 / (1 + np.exp(-total))
+    for place, (node, bit) in enumerate(_nodes(keys)):
+        x, gate = _inputs([mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)])
+        total = _mixed(mixer.weights[place], x, gate)
+        p = _squashed(total.astype(np.float64))
         cell = _cells(node, total)
         p = 0.5 * p + 0.5 * (mixer.ones[cell] + CELL_TRUST * p) / (mixer.total[cell] + CELL_TRUST)
         out += np.log10(np.where(bit == 1, p, 1 - p))
@@ -155,7 +186,7 @@ def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
 def log10_of_texts(mixer: Mixer, texts: Sequence[bytes]) -> np.ndarray:
     """log10 of the probability of each whole text and its end."""
     out = np.zeros(len(texts))
-    for first, last in batches(texts):
+    for first, last in batches(texts, BATCH_BYTES):
         keys, upto = byte_keys(texts[first:last])
         distinct, place = np.unique(keys, return_inverse=True)
         sums = np.concatenate([[0.0], np.cumsum(log10_of_keys(mixer, distinct)[place])])
@@ -165,7 +196,7 @@ def log10_of_texts(mixer: Mixer, texts: Sequence[bytes]) -> np.ndarray:
 
 
 def _distinct_keys(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    for first, last in batches(texts):
+    for first, last in batches(texts, BATCH_BYTES):
         keys, _ = byte_keys(texts[first:last])
         yield *np.unique(keys, return_counts=True), len(keys)
 
@@ -205,16 +236,14 @@ def train_mixer(texts: DataFrame) -> Mixer:
                     packed = zlib.compress(content.astype("<f4").tobytes(), 1)
                     yield pd.DataFrame([(kind, part, packed)], columns=["kind", "range", "content"])
 
-    stretched = np.zeros((len(ORDERS), SLOTS), dtype=np.float32)
+    counts = np.zeros((len(ORDERS), SLOTS, 2), dtype=np.float32)
     size = SLOTS // RANGES
     for (kind, part), content in _summed(texts.select("text").mapInPandas(count, TABLES)).items():
-        seen = content.reshape(-1, 2) + 0.4
-        stretched[kind, part * size : (part + 1) * size] = np.log(seen[:, 1] / seen[:, 0])
-    shared = texts.sparkSession.sparkContext.broadcast(stretched)
+        counts[kind, part * size : (part + 1) * size] = content.reshape(-1, 2)
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def weigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = np.full((256, len(ORDERS) + 1), START_WEIGHT)
-        weights[:, -1] = 0.0
+        weights = start_weights()
         cells, size = np.zeros((2, 256 * CELLS)), 0
         for frame in frames:
             for keys, times, total in _distinct_keys(encoded(frame["text"])):
@@ -225,11 +254,12 @@ def train_mixer(texts: DataFrame) -> Mixer:
             rows = [(kind, 0, zlib.compress(a.astype("<f4").tobytes(), 1)) for kind, a in enumerate(arrays)]
             yield pd.DataFrame(rows, columns=["kind", "range", "content"])
 
+    stretched = stretch(counts)
     learnt = _summed(texts.select("text").mapInPandas(weigh, TABLES))
     if not learnt:
         none = np.zeros(256 * CELLS)
-        return Mixer(stretched, np.zeros((256, len(ORDERS) + 1)), none, none)
-    weights = learnt[0, 0].astype(np.float64).reshape(256, -1) / float(learnt[1, 0][0])
+        return Mixer(stretched, start_weights(), none, none)
+    weights = learnt[0, 0].astype(np.float64).reshape(8, len(ORDERS) + 1, -1) / float(learnt[1, 0][0])
     return Mixer(stretched, weights, learnt[2, 0].astype(np.float64), learnt[3, 0].astype(np.float64))
 
 
