@@ -172,15 +172,17 @@ def learn_weights(counts: np.ndarray, weights: np.ndarray, keys: np.ndarray, tim
 def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
     """log10 of the probability of each key's byte after its context."""
     contexts = _contexts(keys)
-    out = np.zeros(len(keys))
+    # Half the mixed prediction and half what the cell has seen, as a slope and a shift per cell.
+    trust = 0.5 / (mixer.total + CELL_TRUST)
+    slope, shift = (0.5 + CELL_TRUST * trust).astype(np.float32), (mixer.ones * trust).astype(np.float32)
+    out = np.ones(len(keys))
     for place, (node, bit) in enumerate(_nodes(keys)):
         x, gate = _inputs([mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)])
         total = _mixed(mixer.weights[place], x, gate)
-        p = _squashed(total.astype(np.float64))
         cell = _cells(node, total)
-        p = 0.5 * p + 0.5 * (mixer.ones[cell] + CELL_TRUST * p) / (mixer.total[cell] + CELL_TRUST)
-        out += np.log10(np.where(bit == 1, p, 1 - p))
-    return out
+        p = _squashed(total) * slope[cell] + shift[cell]
+        out *= np.where(bit == 1, p, 1 - p)
+    return np.log10(out)
 
 
 def log10_of_texts(mixer: Mixer, texts: Sequence[bytes]) -> np.ndarray:

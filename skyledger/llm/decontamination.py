@@ -25,13 +25,17 @@ from skyledger.llm.words import IS_MARK, batches, encoded, shingle_hashes, word_
 PART = 32
 WINDOW = 64
 STEP = WINDOW // 2
-LEAST = 0.5
+LEAST = 0.6
+
+# For sums in single precision, and passages whose bounds are added at once.
+MARGIN = 1e-4
+AT_ONCE = 4096
 
 # Okapi constants.
 K1, B = 1.2, 0.75
 
 # Parts in a block of a posting list, parts of an index, and indexes sent to the tasks at once.
-BLOCK = 16
+BLOCK = 4
 INDEX_PARTS = 1024
 INDEXES = 16
 
@@ -149,20 +153,25 @@ def _candidates(index: Index, words: np.ndarray, upto: np.ndarray) -> Iterator[t
     first_step = np.cumsum(steps) - steps
     text = np.searchsorted(upto, known, "right")
     step = first_step[text] + (known - begins[text]) // STEP
-    pairs = np.unique(step * len(index.terms) + at[known])
+    # A word counts for the passage that starts at its step and for the one a step before.
+    earlier = step > first_step[text]
+    passage = np.concatenate([step, step[earlier] - 1])
+    pairs = np.unique(passage * len(index.terms) + np.concatenate([at[known], at[known[earlier]]]))
     owner, term = pairs // len(index.terms), pairs % len(index.terms)
+    # What every term can give at most is a cheaper bound, and most passages end here.
     edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    sums = np.zeros((int(steps.sum()) + 1, index.block_best.shape[1]), dtype=np.float32)
-    sums[owner[edges]] = np.add.reduceat(index.block_best[term], edges, axis=0)
-    last = np.zeros(len(sums), dtype=bool)
-    last[(first_step + steps - 1)[steps > 0]] = True
-    both = sums[:-1] + np.where(last[:-1, None], 0, sums[1:])
-    for k in np.flatnonzero(both.max(axis=1) >= LEAST - 1e-4).tolist():
-        held = term[np.searchsorted(owner, k) : np.searchsorted(owner, k + (1 if last[k] else 2))]
-        owner_text = int(np.searchsorted(first_step, k, "right")) - 1
-        while steps[owner_text] == 0:
-            owner_text -= 1
-        yield owner_text, (k - int(first_step[owner_text])) * STEP, np.unique(held)
+    sizes = np.diff(np.concatenate([edges, [len(owner)]]))
+    near = np.add.reduceat(index.block_best.max(axis=1)[term], edges) >= LEAST - MARGIN
+    term, owner, sizes = term[np.repeat(near, sizes)], owner[edges][near], sizes[near]
+    edges = np.cumsum(sizes) - sizes
+    for first in range(0, len(owner), AT_ONCE):
+        last = min(first + AT_ONCE, len(owner))
+        upper = int(edges[last]) if last < len(edges) else len(term)
+        sums = np.add.reduceat(index.block_best[term[edges[first] : upper]], edges[first:last] - edges[first], axis=0)
+        for k in (first + np.flatnonzero(sums.max(axis=1) >= LEAST - MARGIN)).tolist():
+            owner_text = int(np.searchsorted(first_step + steps, owner[k], "right"))
+            start = (int(owner[k]) - int(first_step[owner_text])) * STEP
+            yield owner_text, start, term[edges[k] : edges[k] + sizes[k]]
 
 
 def _share(grams: np.ndarray, near: np.ndarray) -> float:
