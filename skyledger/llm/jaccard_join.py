@@ -8,8 +8,9 @@ shingle must leave room for the overlap that is needed. What is left is expanded
 and verified on the whole texts.
 
 A shingle with more than SHORT_LIST groups would make a number of pairs that grows with its
-square. Such a list is joined in two steps. First its members are compared with a few of them,
-its hubs, which are other ones for each shingle. That links nearly all that belongs together.
+square. Such a list is joined in three steps. First its members are compared with a few of them,
+its hubs, which are other ones for each shingle; then, in some orders by hash, with their next
+neighbour if that is in another component. That links nearly all that belongs together.
 Then, exactly, all pairs of the list that are not yet in one component. Long lists are cut to
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
 of one component need no further link to be in it.
@@ -33,9 +34,11 @@ from skyledger.llm.words import encoded, mix, shingle_sets
 WIDTH = 5
 PERCENT = 75
 
-# Groups of one list that are paired at once, hubs of a longer list, and members of a block.
+# Groups of one list that are paired at once, hubs of a longer list, orders in which its members
+# meet their neighbours, and members of a block.
 SHORT_LIST = 16
-HUBS = 4
+HUBS = 2
+TURNS = 2
 BLOCK = 512
 
 # Classes that share a group; a larger one is left as single classes.
@@ -204,6 +207,30 @@ def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return lists.mapInPandas(pair, FOUND)
 
 
+def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of neighbours in long lists that are in different components, in TURNS orders by hash."""
+
+    def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _lists(frames):
+            names, gid = frame["list"].to_numpy(), frame["gid"].to_numpy(np.int64)
+            component = frame["component"].to_numpy(np.int64)
+            size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
+            found = []
+            for turn in range(1, TURNS + 1):
+                with np.errstate(over="ignore"):
+                    dealt = mix(mix(gid.astype(np.uint64) + np.uint64(turn)) + names.astype(np.uint64))
+                order = np.lexsort((dealt, names))
+                x, y = order[:-1], order[1:]
+                apart = (names[x] == names[y]) & (component[x] != component[y])
+                x, y = x[apart], y[apart]
+                keep = _room(size, place, x, y, percent)
+                found.append((gid[x[keep]], gid[y[keep]]))
+            yield _unique_pairs(found)
+
+    spread = long_lists.repartition(shuffle_partitions(long_lists.sparkSession), "list").sortWithinPartitions("list")
+    return spread.mapInPandas(pair, PAIRS).distinct()
+
+
 def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of the members of long lists (with ``component``) that are in different components.
 
@@ -297,12 +324,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     first = expanded(found.filter("token IS NULL").select("a", "b").distinct(), classes).union(inner_pairs(classes))
     links = materialize(verified(materialize(first.distinct(), "pairs"), own, width, percent).distinct(), "links")
     labels = components(links)
-    of_group = labels.select(F.col("node").alias("gid"), "component")
-    long_lists = found.filter("token IS NOT NULL").select("token", "gid", "size", "place").join(of_group, "gid", "left")
-    long_lists = long_lists.withColumn("component", F.coalesce("component", "gid"))
-    rest = expanded(block_pairs(long_lists, percent), classes).join(links, ["a", "b"], "left_anti").distinct()
-    more = verified(materialize(rest, "pairs"), own, width, percent)
-    return _labelled(sets, united(labels, components(_lifted(more, labels))))
+    long_lists = found.filter("token IS NOT NULL").select("token", "list", "gid", "size", "place")
+    for candidates in (neighbour_pairs, block_pairs):
+        of_group = labels.select(F.col("node").alias("gid"), "component")
+        labelled = long_lists.join(of_group, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+        rest = expanded(candidates(labelled, percent), classes).join(links, ["a", "b"], "left_anti").distinct()
+        more = materialize(verified(materialize(rest, "pairs"), own, width, percent).distinct(), "links")
+        labels = united(labels, components(_lifted(more, labels)))
+        links = links.union(more)
+    return _labelled(sets, labels)
 
 
 def _lifted(links: DataFrame, labels: DataFrame) -> DataFrame:
