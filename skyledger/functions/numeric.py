@@ -32,5 +32,8 @@ def weighted_avg(value: Column, weight: Column) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Integer from text that may carry decimals ('167.0' is 167); bad text is null."""
-    return text.try_cast("double").try_cast("int")
+    """Bigint from text that may carry decimals ('167.0' is 167); bad text is null.
+
+    The way leads over a decimal, so every bigint keeps all its digits.
+    """
+    return text.try_cast("decimal(38,10)").try_cast("bigint")

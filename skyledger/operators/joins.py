@@ -7,7 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    FractionalType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VariantType,
+)
 
 # A key is hot when it holds more than this share of the rows, so there are at most 1 / share of them.
 HOT_SHARE = 0.005
@@ -18,10 +30,42 @@ TRACKED_KEYS = 2000
 SLICES = 256
 
 
+def _hashable(kind: DataType) -> bool:
+    """Whether a type holds no map and no variant, at any depth."""
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def row_hash(df: DataFrame) -> Column:
-    """Hash of a row over all columns that can be hashed."""
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    return F.xxhash64(*hashable)
+    """Hash of a row over all columns that can be hashed; 0 if there is none."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
+
+
+def common_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> dict[str, str]:
+    """The type in which the two sides' keys are compared, by key.
+
+    Equal types stay. Numbers meet in a type that holds both, dates and times as times. Any
+    other pair raises, whichever way the join is run: a text that happens to look like a number
+    is no key of one.
+    """
+    kinds = {}
+    for key in on:
+        a, b = left.schema[key].dataType, right.schema[key].dataType
+        times = (DateType, TimestampType, TimestampNTZType)
+        alike = a == b or any(isinstance(a, t) and isinstance(b, t) for t in (NumericType, StringType, times))
+        if not alike:
+            raise TypeError(f"key {key} is {a.simpleString()} on the left and {b.simpleString()} on the right")
+        kinds[key] = left.select(F.col(key)).union(right.select(F.col(key))).schema[0].dataType.simpleString()
+    return kinds
+
+
+def _key(column: Column, kind: str, is_float: bool) -> Column:
+    """A key in the common type; a negative zero equals zero."""
+    return column.cast(kind) + F.lit(0).cast(kind) if is_float else column.cast(kind)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -34,7 +78,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(size) <= limit
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str | Column], share: float = HOT_SHARE) -> DataFrame:
     """Hashes (``__hash``) of the keys that hold more than ``share`` of the rows: 1 / share rows at most.
 
     One scan of the key columns with a heavy-hitter sketch per slice of the tasks; no key is
@@ -68,6 +112,7 @@ def keyed_join(
     A right side that fits a broadcast is left to Catalyst, which then moves no left row at
     all. Anything larger is joined by salted keys.
     """
+    common_keys(left, right, on)
     if fits_broadcast(right):
         return left.join(right, list(on), how)
     return salted_join(left, right, on, how, measured)
@@ -95,23 +140,30 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
+    kinds = common_keys(left, right, on)
+    floats = {k for k in on if any(isinstance(df.schema[k].dataType, FractionalType) for df in (left, right))}
+    floats = {k for k in floats if not kinds[k].startswith("decimal")}
+    # Both sides hash and meet in the common type, so a hot key is marked alike on both.
+    keys = [_key(F.col(k), kinds[k], k in floats) for k in on]
+    names = [f"__key{i}" for i in range(len(on))]
     # At most 1 / hot_share rows (200 by default), whatever the size of the tables.
-    hot = F.broadcast(hot_keys(left if measured is None else measured, on, hot_share).withColumn("__hot", F.lit(True)))
-    key_hash = F.xxhash64(*on)
+    hot = F.broadcast(hot_keys(left if measured is None else measured, keys, hot_share).withColumn("__hot", F.lit(True)))
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in on])
+    no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
     salt = F.pmod(row_hash(left), F.lit(salts)).cast("int")
     salted_left = (
-        left.withColumn("__hash", key_hash)
+        left.withColumns({"__salt": salt, "__hash": F.xxhash64(*keys), **dict(zip(names, keys, strict=True))})
         .join(hot, "__hash", "left")
-        .withColumn("__salt", F.when(is_hot | no_key, salt).otherwise(F.lit(0)))
+        .withColumn("__salt", F.when(is_hot | no_key, F.col("__salt")).otherwise(F.lit(0)))
         .drop("__hash", "__hot")
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_right = (
-        right.withColumn("__hash", key_hash)
+        right.withColumns({"__hash": F.xxhash64(*keys), **dict(zip(names, keys, strict=True))})
         .join(hot, "__hash", "left")
         .withColumn("__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("__hash", "__hot")
+        .drop("__hash", "__hot", *on)
     )
-    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
+    joined = salted_left.join(salted_right, [*names, "__salt"], how).drop(*names, "__salt")
+    others = [F.col(f"`{c}`") for c in joined.columns if c not in on]
+    return joined.select(*on, *others)

@@ -174,3 +174,42 @@ def test_large_value_mapping_equals_small_one(spark, no_broadcast):
     by_case = clean.standardize_values(df, "t", {"DOM": "Domestic"})
     by_join = clean.standardize_values(df, "t", table)
     assert collect(by_case, "id") == collect(by_join, "id") == [(1, "Domestic"), (2, "x"), (3, None)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("bigint", "int"), ("date", "timestamp"), ("decimal(12,2)", "bigint"), ("float", "double")])
+def test_salted_join_with_keys_of_two_types(spark, no_broadcast, kinds, how):
+    keys = [7] * 1000 + [k % 900 for k in range(2000)] + [None] * 5
+    base = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "k int, n int")
+    other = spark.createDataFrame([(k, -k) for k in range(0, 900, 2)] + [(7, -7)], "k int, m int")
+
+    def typed(df, kind):
+        if kind in ("date", "timestamp"):
+            return df.withColumn("k", F.expr("date_add(date '2020-01-01', k)").cast(kind))
+        return df.withColumn("k", F.col("k").cast(kind))
+
+    left, right = typed(base, kinds[0]), typed(other, kinds[1])
+    plain, salted = left.join(right, "k", how), joins.keyed_join(left, right, ["k"], how)
+    assert plain.columns == salted.columns
+    assert sorted(map(repr, plain.select("n").collect())) == sorted(map(repr, salted.select("n").collect()))
+
+
+def test_keys_without_a_common_type_raise(spark, no_broadcast):
+    left, right = spark.createDataFrame([("1",)], "k string"), spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(TypeError):
+        joins.keyed_join(left, right, ["k"])
+
+
+def test_row_hash_leaves_out_nested_maps(spark):
+    df = spark.sql("SELECT 1 AS a, named_struct('m', map(1, 2)) AS s, array(map(1, 2)) AS l")
+    assert df.select(joins.row_hash(df)).collect() == df.select(joins.row_hash(df.select("a"))).collect()
+    only = df.select("s")
+    assert only.select(joins.row_hash(only)).collect()[0][0] == 0
+
+
+def test_whole_numbers_keep_their_digits(spark):
+    from skyledger.functions.numeric import whole_number
+
+    texts = ["3000000000", "9007199254740993", "167.0", "-2.9", "x", "", "99999999999999999999", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(whole_number(F.col("t")))
+    assert [r[0] for r in rows.collect()] == [3000000000, 9007199254740993, 167, -2, None, None, None, None]
