@@ -47,6 +47,21 @@ def _(spark, sf):
     )
 
 
+@query(
+    "lookup_keys_mixed_types",
+    f"""SELECT o_key, o_orderstatus, count(*) AS line_count, CAST(sum(l_partkey) AS BIGINT) AS part_sum
+        FROM (SELECT {HOT} AS o_key, l_partkey FROM lineitem) LEFT JOIN orders ON o_key = o_orderkey GROUP BY ALL""",
+)
+def _(spark, sf):
+    hot = F.expr(HOT).cast("decimal(20,2)").alias("o_key")
+    lines = table(spark, sf, "lineitem").select(hot, "l_partkey")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("int").alias("o_key"), "o_orderstatus")
+    joined = salted_join(lines, orders, ["o_key"], "left")
+    return joined.groupBy(F.col("o_key").cast("bigint").alias("o_key"), "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("l_partkey").alias("part_sum")
+    )
+
+
 @query(
     "map_unknown_key",
     f"""SELECT l_orderkey, l_partkey, coalesce(s_name, 'Unknown') AS s_name FROM {dirty_sql('lineitem_bad_supplier')}

@@ -260,6 +260,7 @@ def _(spark, sf):
         .select(F.col("l_partkey").alias("p_partkey"))
         .join(table(spark, sf, "part").select("p_partkey", F.upper("p_brand").alias("kpi_code")), "p_partkey")
         .select("kpi_code")
+        .distinct()
     )
     return part_targets(spark, sf).select("kpi_code").distinct().join(used, "kpi_code", "left_anti")
 
