@@ -1,7 +1,7 @@
 """Shingles that many texts share, counted over all texts.
 
-The counts only order the shingles of a text, rare ones first, so a short key that now and then
-unites two shingles costs nothing but a little balance.
+The counts only order the shingles of a text, rare ones first and then by steps of their count,
+so a short key that now and then unites two shingles costs nothing but a little balance.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.words import encoded, shingle_sets
 
-# A shingle is hot from this many texts on; the bound doubles until at most MOST_HOT are left,
-# so what is sent to the executors is at most 8 bytes * MOST_HOT.
+# A shingle is hot from this many texts on; the bound rises by steps, STEPS of which double it,
+# until at most MOST_HOT are left: what is sent to the executors is at most 9 bytes * MOST_HOT.
 LEAST_HOT = 16
+STEPS = 4
 MOST_HOT = 1 << 20
 
 COUNTED = "bucket int, keys binary"
@@ -27,17 +28,22 @@ HOT = "key long, level int"
 
 @dataclass(frozen=True)
 class HotShingles:
-    """Sorted keys; the key of a shingle is its hash without the lowest ``cut`` bits."""
+    """Sorted keys and their levels; the key of a shingle is its hash without the lowest ``cut`` bits."""
 
     keys: np.ndarray
+    levels: np.ndarray
     cut: int
 
-    def holds(self, shingles: np.ndarray) -> np.ndarray:
+    def level(self, shingles: np.ndarray) -> np.ndarray:
+        """0 for a rare shingle, else 1 and more, rising with the number of texts that hold it."""
         if not len(self.keys):
-            return np.zeros(len(shingles), dtype=bool)
+            return np.zeros(len(shingles), dtype=np.uint8)
         keys = shingles >> np.uint64(self.cut)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] == keys
+        return np.where(self.keys[at] == keys, self.levels[at], 0).astype(np.uint8)
+
+    def holds(self, shingles: np.ndarray) -> np.ndarray:
+        return self.level(shingles) > 0
 
 
 def hot_shingles(texts: DataFrame, width: int, partitions: int) -> HotShingles:
@@ -63,7 +69,7 @@ def hot_shingles(texts: DataFrame, width: int, partitions: int) -> HotShingles:
         found, counts = np.unique(np.frombuffer(b"".join(frame["keys"]), dtype="<u4"), return_counts=True)
         hot = counts >= LEAST_HOT
         keys = (int(frame["bucket"].iloc[0]) << 32) + found[hot].astype(np.int64)
-        return pd.DataFrame({"key": keys, "level": np.log2(counts[hot] / LEAST_HOT).astype(np.int32)})
+        return pd.DataFrame({"key": keys, "level": (STEPS * np.log2(counts[hot] / LEAST_HOT)).astype(np.int32)})
 
     counted = texts.select("text").mapInPandas(pack, COUNTED).groupBy("bucket").applyInPandas(count, HOT).persist()
     try:
@@ -72,7 +78,8 @@ def hot_shingles(texts: DataFrame, width: int, partitions: int) -> HotShingles:
         while left > MOST_HOT:
             left -= by_level.get(level, 0)
             level += 1
-        keys = counted.filter(F.col("level") >= level).select("key").toPandas()["key"]
+        found = counted.filter(F.col("level") >= level).toPandas().sort_values("key")
     finally:
         counted.unpersist()
-    return HotShingles(np.sort(keys.to_numpy(dtype=np.int64).astype(np.uint64)), cut)
+    levels = np.minimum(found["level"].to_numpy(dtype=np.int64) + 1, 255).astype(np.uint8)
+    return HotShingles(found["key"].to_numpy(dtype=np.int64).astype(np.uint64), levels, cut)

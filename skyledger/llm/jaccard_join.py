@@ -1,6 +1,7 @@
 """Set-similarity join of documents by grouped prefixes, and the near-duplicate groups it links.
 
-The shingles of a document are ordered rare before hot, then by hash. Two sets that reach the
+The shingles of a document are ordered rare before hot, hot ones by their count in steps, then by
+hash. Two sets that reach the
 threshold share one of the first n - ceil(t * n) + 1 shingles of each, its prefix. Documents
 with equal sets are one class; classes with equal prefix and size are one group, and only groups
 are paired. A pair of groups must have sizes within the threshold, and the places of a shared
@@ -9,11 +10,16 @@ and verified on the whole texts.
 
 A shingle with more than SHORT_LIST groups would make a number of pairs that grows with its
 square. Such a list is joined in three steps. First its members are compared with a few of them,
-its hubs, which are other ones for each shingle; then, in some orders by hash, with their next
-neighbour if that is in another component. That links nearly all that belongs together.
+its hubs, the same ones for all lists that hold them; then, in some orders by hash, with their
+next neighbour if that is in another component. That links nearly all that belongs together.
 Then, exactly, all pairs of the list that are not yet in one component. Long lists are cut to
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
 of one component need no further link to be in it.
+
+In all three steps a pair must also pass a sketch of whole sets: one bit for each hash slot, set
+where an odd number of shingles falls. Two sets differ in at least as many shingles as their
+sketches do in bits, so a pair whose sketches differ in more bits than the threshold allows
+cannot link. That is a bound, not an estimate: it drops no link.
 """
 
 from __future__ import annotations
@@ -47,7 +53,13 @@ LARGEST_GROUP = 16
 # Groups in a list of the first step.
 LONGEST = 4096
 
-SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, prefix_sig long, prefix binary"
+# Bits of a sketch: the power of two from the size of the set on, within these.
+SKETCH_BITS = (256, 8192)
+
+# Bytes of sketches that are compared at once.
+COMPARED = 1 << 23
+
+SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, prefix_sig long, prefix binary, sketch binary"
 POSTINGS = "token long, list long, gid long, size int, place int"
 FOUND = f"a long, b long, {POSTINGS}"
 COLUMNS = ["a", "b", "token", "list", "gid", "size", "place"]
@@ -58,8 +70,43 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """The parity of the number of shingles in each slot, a power of two of them."""
+    bits = min(max(1 << max(len(shingles) - 1, 0).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of ``width`` bytes and more, folded to ``width``, as rows of 64-bit words."""
+    rows = np.empty((len(sketches), width // 8), dtype=np.uint64)
+    for k, one in enumerate(sketches):
+        rows[k] = np.bitwise_xor.reduce(np.frombuffer(one, dtype=np.uint64).reshape(-1, width // 8), axis=0)
+    return rows
+
+
+def _near(frame: pd.DataFrame, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sketches of two rows leave room for the threshold; true where one has none."""
+    size = frame["size"].to_numpy(np.int64)
+    sketches = [b"" if one is None else one for one in frame["sketch"]]
+    length = np.array([len(one) for one in sketches], dtype=np.int64)
+    widths = np.minimum(length[x], length[y])
+    allowed = size[x] + size[y] - 2 * -(-percent * (size[x] + size[y]) // (100 + percent))
+    near = np.ones(len(x), dtype=bool)
+    for width in np.unique(widths[widths > 0]).tolist():
+        of_width = np.flatnonzero(widths == width)
+        used, at = np.unique(np.concatenate([x[of_width], y[of_width]]), return_inverse=True)
+        rows = _folded([sketches[k] for k in used], width)
+        at_x, at_y = at[: len(of_width)], at[len(of_width) :]
+        step = max(COMPARED // width, 1)
+        for k in range(0, len(of_width), step):
+            differ = np.bitwise_count(rows[at_x[k : k + step]] ^ rows[at_y[k : k + step]]).sum(axis=1, dtype=np.int64)
+            near[of_width[k : k + step]] = differ <= allowed[of_width[k : k + step]]
+    return near
+
+
 def described_sets(texts: DataFrame, hot: Broadcast, width: int, percent: int) -> DataFrame:
-    """Per row: size of the set, two signatures of it, and its ordered prefix with a signature."""
+    """Per row: size of the set, two signatures and a sketch of it, and its ordered prefix with a signature."""
 
     def describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -67,21 +114,18 @@ def described_sets(texts: DataFrame, hot: Broadcast, width: int, percent: int) -
             for shingles in shingle_sets(encoded(frame["text"]), width):
                 n = len(shingles)
                 if not n:
-                    rows.append((0, 0, 0, 0, b""))
+                    rows.append((0, 0, 0, 0, b"", b""))
                     continue
                 first = _prefix_size(n, percent)
-                is_hot = hot.value.holds(shingles)
-                prefix = shingles[~is_hot][:first]
-                if len(prefix) < first:
-                    prefix = np.concatenate([prefix, shingles[is_hot][: first - len(prefix)]])
+                prefix = shingles[np.argsort(hot.value.level(shingles), kind="stable")[:first]]
                 with np.errstate(over="ignore"):
                     odd = shingles | np.uint64(1)
                     sig_a, sig_b = np.bitwise_xor.reduce(mix(shingles)), np.sum(odd * odd * odd)
                     places = np.arange(1, first + 1, dtype=np.uint64)
                     prefix_sig = np.sum(mix(prefix + mix(places)))
                 signs = np.array([sig_a, sig_b, prefix_sig], dtype=np.uint64).astype(np.int64)
-                rows.append((n, *signs.tolist(), prefix.tobytes()))
-            out = pd.DataFrame(rows, columns=["n_shingles", "sig_a", "sig_b", "prefix_sig", "prefix"])
+                rows.append((n, *signs.tolist(), prefix.tobytes(), sketch(shingles)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "sig_a", "sig_b", "prefix_sig", "prefix", "sketch"])
             out.insert(0, "doc_id", ids_of(frame).array)
             yield out
 
@@ -89,7 +133,7 @@ def described_sets(texts: DataFrame, hot: Broadcast, width: int, percent: int) -
 
 
 def grouped(sets: DataFrame) -> DataFrame:
-    """Classes: ``rep`` (smallest id), ``gid`` (the leader of its group), ``size``."""
+    """Classes: ``rep`` (smallest id), ``gid`` (the leader of its group), ``size``, ``single`` (alone in it)."""
     classes = (
         sets.filter("n_shingles > 0")
         .groupBy("n_shingles", "sig_a", "sig_b", "prefix_sig")
@@ -99,8 +143,10 @@ def grouped(sets: DataFrame) -> DataFrame:
     key = ["n_shingles", "prefix_sig"]
     groups = classes.groupBy(*key).agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("leader"))
     joined = classes.join(groups.filter("members > 1"), key, "left")
-    gid = F.when(F.col("members") <= LARGEST_GROUP, F.col("leader")).otherwise(F.col("rep"))
-    return materialize(joined.select("rep", gid.alias("gid"), F.col("n_shingles").cast("int").alias("size")), "classes")
+    shared = F.coalesce(F.col("members") <= LARGEST_GROUP, F.lit(False))
+    gid = F.when(shared, F.col("leader")).otherwise(F.col("rep"))
+    size = F.col("n_shingles").cast("int").alias("size")
+    return materialize(joined.select("rep", gid.alias("gid"), size, (~shared).alias("single")), "classes")
 
 
 def postings(sets: DataFrame, classes: DataFrame, hot: Broadcast) -> DataFrame:
@@ -156,6 +202,19 @@ def _unique_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
+def _near_pairs(frame: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]], percent: int) -> pd.DataFrame:
+    """The distinct pairs of groups among pairs of rows whose sketches are near enough."""
+    x = np.concatenate([p[0] for p in found] + [np.zeros(0, np.int64)])
+    y = np.concatenate([p[1] for p in found] + [np.zeros(0, np.int64)])
+    keep = _near(frame, x, y, percent)
+    gid = frame["gid"].to_numpy(np.int64)
+    return _unique_pairs([(gid[x[keep]], gid[y[keep]])])
+
+
+def _by_list(postings: DataFrame) -> DataFrame:
+    return postings.repartition(shuffle_partitions(postings.sparkSession), "list").sortWithinPartitions("list")
+
+
 def _lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Whole lists of a partition that is sorted by list, many at a time."""
     rest: pd.DataFrame | None = None
@@ -172,7 +231,7 @@ def _lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of the short lists and the pairs of the long ones with their hubs: ``a, b``.
+    """All pairs of the short lists: ``a, b``.
 
     The postings of long or cut lists come along, as rows with ``token``.
     """
@@ -185,28 +244,51 @@ def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
             length = np.diff(edges)
             found = []
             begin = np.repeat(edges[:-1], length)
-            is_short = np.repeat(length <= SHORT_LIST, length)
+            later = (frame["token"].to_numpy() != names) | np.repeat(length > SHORT_LIST, length)
             for distance in range(1, SHORT_LIST):
-                x = np.flatnonzero(is_short & (begin + distance <= np.arange(len(gid))))
+                x = np.flatnonzero(~later & (begin + distance <= np.arange(len(gid))))
                 if not len(x):
                     break
                 y = x - distance
                 keep = _room(size, place, x, y, percent)
                 found.append((gid[x[keep]], gid[y[keep]]))
-            for k in np.flatnonzero(length > SHORT_LIST):
-                members = np.arange(edges[k], edges[k + 1])
-                with np.errstate(over="ignore"):
-                    dealt = mix(gid[members].astype(np.uint64) + mix(names[edges[k] : edges[k] + 1].astype(np.uint64)))
-                for hub in members[np.argpartition(dealt, HUBS)[:HUBS]]:
-                    others = members[gid[members] != gid[hub]]
-                    others = others[_room(size, place, np.full(len(others), hub), others, percent)]
-                    found.append((np.full(len(others), gid[hub]), gid[others]))
-            cut = frame["token"].to_numpy() != names
-            yield pd.concat([_unique_pairs(found), frame[cut | ~is_short]], ignore_index=True)[COLUMNS].astype("Int64")
+            yield pd.concat([_unique_pairs(found), frame[later]], ignore_index=True)[COLUMNS].astype("Int64")
 
     return lists.mapInPandas(pair, FOUND)
 
 
+def sketched(long_lists: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """The postings with ``sketch``: null for a group of several classes and an id of several sets."""
+    ids = long_lists.select(F.col("gid").alias("doc_id")).join(
+        classes.filter("single").select(F.col("gid").alias("doc_id")), "doc_id", "left_semi"
+    )
+    rows = rows_of_ids(sets.filter("n_shingles > 0").select("doc_id", "sketch"), ids.distinct())
+    one = rows.groupBy(F.col("doc_id").alias("gid")).agg(F.min("sketch").alias("sketch"), F.max("sketch").alias("last"))
+    return long_lists.join(one.filter("sketch = last").drop("last"), "gid", "left")
+
+
+def hub_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the members of long lists with their hubs, those whose ids have the smallest hashes."""
+
+    def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _lists(frames):
+            gid = frame["gid"].to_numpy(np.int64)
+            size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
+            dealt = mix(gid.astype(np.uint64))
+            found = []
+            edges = _runs(frame["list"].to_numpy())
+            for first, last in zip(edges[:-1], edges[1:], strict=True):
+                members = np.arange(first, last)
+                for hub in members[np.argsort(dealt[first:last], kind="stable")[:HUBS]]:
+                    others = members[gid[members] != gid[hub]]
+                    at = np.full(len(others), hub)
+                    keep = _room(size, place, at, others, percent)
+                    found.append((at[keep], others[keep]))
+            yield _near_pairs(frame, found, percent)
+
+    return _by_list(long_lists).mapInPandas(pair, PAIRS).distinct()
+
+
 def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of neighbours in long lists that are in different components, in TURNS orders by hash."""
 
@@ -224,30 +306,33 @@ def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                 apart = (names[x] == names[y]) & (component[x] != component[y])
                 x, y = x[apart], y[apart]
                 keep = _room(size, place, x, y, percent)
-                found.append((gid[x[keep]], gid[y[keep]]))
-            yield _unique_pairs(found)
+                found.append((x[keep], y[keep]))
+            yield _near_pairs(frame, found, percent)
 
-    spread = long_lists.repartition(shuffle_partitions(long_lists.sparkSession), "list").sortWithinPartitions("list")
-    return spread.mapInPandas(pair, PAIRS).distinct()
+    return _by_list(long_lists).mapInPandas(pair, PAIRS).distinct()
 
 
 def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of the members of long lists (with ``component``) that are in different components.
 
-    A list is dealt to blocks by hash, and each two blocks meet in a partition of their own.
+    A list is dealt to blocks by hash, and each two blocks meet in a partition of their own. A list
+    of one component has no such pair.
     """
-    lengths = long_lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = long_lists.join(lengths, "token").withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
+    lengths = long_lists.groupBy("token").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.min("component").alias("one"), F.max("component").alias("other"),
+    )
+    dealt = long_lists.join(lengths.filter("one <> other").select("token", "blocks"), "token").withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
     meetings = F.expr("transform(sequence(0, blocks - 1), k -> struct(least(own, k) AS one, greatest(own, k) AS two))")
     dealt = dealt.withColumn("meeting", F.explode(meetings)).select(
         F.xxhash64("token", "meeting.one", "meeting.two").alias("list"),
-        "gid", "size", "place", "component", "own", (F.col("meeting.one") == F.col("meeting.two")).alias("alone"),
+        "gid", "size", "place", "component", "sketch", "own", (F.col("meeting.one") == F.col("meeting.two")).alias("alone"),
     )
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _lists(frames):
             edges = _runs(frame["list"].to_numpy())
-            gid, component = frame["gid"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
+            component = frame["component"].to_numpy(np.int64)
             size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
             own, alone = frame["own"].to_numpy(), frame["alone"].to_numpy()
             found = []
@@ -257,11 +342,10 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                     y = y[(component[y] != component[x]) & (alone[x] | (own[y] != own[x]))]
                     y = y[_room(size, place, np.full(len(y), x), y, percent)]
                     if len(y):
-                        found.append((np.full(len(y), gid[x]), gid[y]))
-            yield _unique_pairs(found)
+                        found.append((np.full(len(y), x), y))
+            yield _near_pairs(frame, found, percent)
 
-    spread = dealt.repartition(shuffle_partitions(long_lists.sparkSession), "list").sortWithinPartitions("list")
-    return spread.mapInPandas(pair, PAIRS).distinct()
+    return _by_list(dealt).mapInPandas(pair, PAIRS).distinct()
 
 
 def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -318,13 +402,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     hot = spark.sparkContext.broadcast(hot_shingles(texts, width, shuffle_partitions(spark)))
     sets = materialize(described_sets(texts, hot, width, percent), "sets")
     classes = grouped(sets)
-    lists = postings(sets, classes, hot).repartition(shuffle_partitions(spark), "list").sortWithinPartitions("list")
-    found = materialize(short_pairs(lists, percent), "found")
+    found = materialize(short_pairs(_by_list(postings(sets, classes, hot)), percent), "found")
+    long_lists = found.filter("token IS NOT NULL").select("token", "list", "gid", "size", "place")
+    long_lists = materialize(sketched(long_lists, sets, classes), "long")
     own = texts.filter("doc_id IS NOT NULL")
-    first = expanded(found.filter("token IS NULL").select("a", "b").distinct(), classes).union(inner_pairs(classes))
+    paired = found.filter("token IS NULL").select("a", "b").union(hub_pairs(long_lists, percent)).distinct()
+    first = expanded(paired, classes).union(inner_pairs(classes))
     links = materialize(verified(materialize(first.distinct(), "pairs"), own, width, percent).distinct(), "links")
     labels = components(links)
-    long_lists = found.filter("token IS NOT NULL").select("token", "list", "gid", "size", "place")
     for candidates in (neighbour_pairs, block_pairs):
         of_group = labels.select(F.col("node").alias("gid"), "component")
         labelled = long_lists.join(of_group, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
