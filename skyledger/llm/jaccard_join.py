@@ -16,7 +16,7 @@ Then, exactly, all pairs of the list that are not yet in one component. Long lis
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
 of one component need no further link to be in it.
 
-In all three steps a pair must also pass a sketch of whole sets: one bit for each hash slot, set
+In all three steps, and before whole texts are read, a pair must pass a sketch of whole sets: one bit for each hash slot, set
 where an odd number of shingles falls. Two sets differ in at least as many shingles as their
 sketches do in bits, so a pair whose sketches differ in more bits than the threshold allows
 cannot link. That is a bound, not an estimate: it drops no link.
@@ -56,8 +56,9 @@ LONGEST = 4096
 # Bits of a sketch: the power of two from the size of the set on, within these.
 SKETCH_BITS = (256, 8192)
 
-# Bytes of sketches that are compared at once.
+# Bytes of sketches that are compared at once, and distinct pairs that a task holds before it passes them on.
 COMPARED = 1 << 23
+MOST_HELD = 1 << 20
 
 SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, prefix_sig long, prefix binary, sketch binary"
 POSTINGS = "token long, list long, gid long, size int, place int"
@@ -211,6 +212,17 @@ def _near_pairs(frame: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]],
     return _unique_pairs([(gid[x[keep]], gid[y[keep]])])
 
 
+def _once(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct pairs of a task: two texts meet in the list of each shingle they share."""
+    held = _unique_pairs([])
+    for pairs in found:
+        held = _unique_pairs([(part["a"].to_numpy(), part["b"].to_numpy()) for part in (held, pairs)])
+        if len(held) >= MOST_HELD:
+            yield held
+            held = _unique_pairs([])
+    yield held
+
+
 def _by_list(postings: DataFrame) -> DataFrame:
     return postings.repartition(shuffle_partitions(postings.sparkSession), "list").sortWithinPartitions("list")
 
@@ -257,14 +269,37 @@ def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return lists.mapInPandas(pair, FOUND)
 
 
+def _sketches(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, size, sketch`` of the ids (``doc_id``) whose rows all have one size and one sketch."""
+    rows = rows_of_ids(sets.filter("n_shingles > 0").select("doc_id", "n_shingles", "sketch"), ids)
+    both = F.struct(F.col("n_shingles").cast("int").alias("size"), "sketch")
+    one = rows.groupBy("doc_id").agg(F.min(both).alias("first"), F.max(both).alias("last"))
+    return one.filter("first = last").select("doc_id", "first.size", "first.sketch")
+
+
 def sketched(long_lists: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """The postings with ``sketch``: null for a group of several classes and an id of several sets."""
-    ids = long_lists.select(F.col("gid").alias("doc_id")).join(
-        classes.filter("single").select(F.col("gid").alias("doc_id")), "doc_id", "left_semi"
-    )
-    rows = rows_of_ids(sets.filter("n_shingles > 0").select("doc_id", "sketch"), ids.distinct())
-    one = rows.groupBy(F.col("doc_id").alias("gid")).agg(F.min("sketch").alias("sketch"), F.max("sketch").alias("last"))
-    return long_lists.join(one.filter("sketch = last").drop("last"), "gid", "left")
+    single = classes.filter("single").select(F.col("gid").alias("doc_id"))
+    ids = long_lists.select(F.col("gid").alias("doc_id")).join(single, "doc_id", "left_semi").distinct()
+    one = _sketches(sets, ids).select(F.col("doc_id").alias("gid"), "sketch")
+    return long_lists.join(one, "gid", "left")
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a, b``) of classes whose sketches leave room for the threshold."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sketches = _sketches(sets, ids)
+    for end in ("a", "b"):
+        own = sketches.select(F.col("doc_id").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}"))
+        pairs = pairs.join(own, end, "left").fillna(0, [f"size_{end}"])
+
+    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ends = [frame[[f"size_{end}", f"sketch_{end}"]].set_axis(["size", "sketch"], axis=1) for end in "ab"]
+            x = np.arange(len(frame))
+            yield frame.loc[_near(pd.concat(ends, ignore_index=True), x, x + len(frame), percent), ["a", "b"]]
+
+    return pairs.mapInPandas(keep, PAIRS)
 
 
 def hub_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +321,7 @@ def hub_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                     found.append((at[keep], others[keep]))
             yield _near_pairs(frame, found, percent)
 
-    return _by_list(long_lists).mapInPandas(pair, PAIRS).distinct()
+    return _by_list(long_lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
 def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
@@ -309,7 +344,7 @@ def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                 found.append((x[keep], y[keep]))
             yield _near_pairs(frame, found, percent)
 
-    return _by_list(long_lists).mapInPandas(pair, PAIRS).distinct()
+    return _by_list(long_lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
 def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
@@ -345,7 +380,7 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                         found.append((np.full(len(y), x), y))
             yield _near_pairs(frame, found, percent)
 
-    return _by_list(dealt).mapInPandas(pair, PAIRS).distinct()
+    return _by_list(dealt).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
 def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -408,13 +443,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     own = texts.filter("doc_id IS NOT NULL")
     paired = found.filter("token IS NULL").select("a", "b").union(hub_pairs(long_lists, percent)).distinct()
     first = expanded(paired, classes).union(inner_pairs(classes))
-    links = materialize(verified(materialize(first.distinct(), "pairs"), own, width, percent).distinct(), "links")
+    first = near_pairs(materialize(first.distinct(), "pairs"), sets, percent)
+    links = materialize(verified(materialize(first, "near"), own, width, percent).distinct(), "links")
     labels = components(links)
     for candidates in (neighbour_pairs, block_pairs):
         of_group = labels.select(F.col("node").alias("gid"), "component")
         labelled = long_lists.join(of_group, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
         rest = expanded(candidates(labelled, percent), classes).join(links, ["a", "b"], "left_anti").distinct()
-        more = materialize(verified(materialize(rest, "pairs"), own, width, percent).distinct(), "links")
+        rest = near_pairs(materialize(rest, "pairs"), sets, percent)
+        more = materialize(verified(materialize(rest, "near"), own, width, percent).distinct(), "links")
         labels = united(labels, components(_lifted(more, labels)))
         links = links.union(more)
     return _labelled(sets, labels)

@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -237,6 +238,18 @@ def test_near_duplicates_edge_rows(spark):
     assert jaccard_join.near_duplicates(_docs(spark, [])).collect() == []
 
 
+def test_sketches_bound_the_difference_of_sets():
+    rng = np.random.default_rng(5)
+    for size, common in [(40, 30), (300, 240), (3000, 2000), (20000, 17000), (300, 0)]:
+        both = rng.integers(0, 1 << 63, common, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([both, rng.integers(0, 1 << 63, n, dtype=np.uint64)])) for n in (size - common, size)]
+        frame = pd.DataFrame({"size": [len(s) for s in sets] + [1], "sketch": [*map(jaccard_join.sketch, sets), None]})
+        near = jaccard_join._near(frame, np.array([0, 0]), np.array([1, 2]), 75)
+        shared = len(np.intersect1d(*sets))
+        assert near[1] and (near[0] or 100 * shared < 75 * (len(sets[0]) + len(sets[1]) - shared))
+        assert not near[0] or common
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(60)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
