@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.components import components, united
 from skyledger.llm.hot_shingles import hot_shingles
 from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, rows_of_ids, shuffle_partitions
-from skyledger.llm.words import encoded, mix, shingle_sets
+from skyledger.llm.words import batches, encoded, mix, shingle_sets
 
 WIDTH = 5
 PERCENT = 75
@@ -56,6 +56,9 @@ LONGEST = 4096
 # Bits of a sketch: the power of two from the size of the set on, within these.
 SKETCH_BITS = (256, 8192)
 
+# Bytes of prefixes that are opened at once.
+POSTED = 1 << 20
+
 # Bytes of sketches that are compared at once, and distinct pairs that a task holds before it passes them on.
 COMPARED = 1 << 23
 MOST_HELD = 1 << 20
@@ -163,22 +166,25 @@ def postings(sets: DataFrame, classes: DataFrame, hot: Broadcast) -> DataFrame:
 
     def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            lists = [np.frombuffer(x, dtype="<u8") for x in frame["prefix"]]
-            lengths = np.array([len(x) for x in lists], dtype=np.int64)
-            token = np.concatenate([*lists, np.zeros(0, np.uint64)])
-            gid = np.repeat(frame["doc_id"].to_numpy(np.int64), lengths)
-            with np.errstate(over="ignore"):
-                cut = mix(token + mix(gid.astype(np.uint64)) % cuts)
-            is_hot = hot.value.holds(token)
-            yield pd.DataFrame(
-                {
-                    "token": token.astype(np.int64),
-                    "list": np.where(is_hot, cut, token).astype(np.int64),
-                    "gid": gid,
-                    "size": np.repeat(frame["n_shingles"].to_numpy(np.int32), lengths),
-                    "place": (np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32),
-                }
-            )
+            for first, last in batches(frame["prefix"], POSTED):
+                part = frame.iloc[first:last]
+                lists = [np.frombuffer(x, dtype="<u8") for x in part["prefix"]]
+                lengths = np.array([len(x) for x in lists], dtype=np.int64)
+                token = np.concatenate([*lists, np.zeros(0, np.uint64)])
+                gid = np.repeat(part["doc_id"].to_numpy(np.int64), lengths)
+                with np.errstate(over="ignore"):
+                    cut = mix(token + mix(gid.astype(np.uint64)) % cuts)
+                is_hot = hot.value.holds(token)
+                place = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                yield pd.DataFrame(
+                    {
+                        "token": token.astype(np.int64),
+                        "list": np.where(is_hot, cut, token).astype(np.int64),
+                        "gid": gid,
+                        "size": np.repeat(part["n_shingles"].to_numpy(np.int32), lengths),
+                        "place": place.astype(np.int32),
+                    }
+                )
 
     return prefixes.mapInPandas(explode, POSTINGS)
 
@@ -223,6 +229,12 @@ def _once(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield held
 
 
+def _with_nulls(part: pd.DataFrame) -> pd.DataFrame:
+    """The columns of FOUND, null where the rows lack one; whole numbers keep all their digits."""
+    lacking = pd.array([None] * len(part), dtype="Int64")
+    return pd.DataFrame({c: part[c].astype("Int64").array if c in part else lacking for c in COLUMNS})
+
+
 def _by_list(postings: DataFrame) -> DataFrame:
     return postings.repartition(shuffle_partitions(postings.sparkSession), "list").sortWithinPartitions("list")
 
@@ -264,7 +276,8 @@ def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
                 y = x - distance
                 keep = _room(size, place, x, y, percent)
                 found.append((gid[x[keep]], gid[y[keep]]))
-            yield pd.concat([_unique_pairs(found), frame[later]], ignore_index=True)[COLUMNS].astype("Int64")
+            for part in (_unique_pairs(found), frame[later]):
+                yield _with_nulls(part)
 
     return lists.mapInPandas(pair, FOUND)
 
