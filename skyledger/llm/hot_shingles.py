@@ -6,6 +6,7 @@ so a short key that now and then unites two shingles costs nothing but a little
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.words import encoded, shingle_sets
+from skyledger.llm.words import batches, encoded, shingle_sets
 
 # A shingle is hot from this many texts on; the bound rises by steps, STEPS of which double it,
 # until at most MOST_HOT are left: what is sent to the executors is at most 9 bytes * MOST_HOT.
@@ -22,7 +23,10 @@ LEAST_HOT = 16
 STEPS = 4
 MOST_HOT = 1 << 20
 
-COUNTED = "bucket int, keys binary"
+# Bytes of text whose shingles are sorted together: the more, the smaller the gaps between them.
+SORTED_BYTES = 1 << 23
+
+COUNTED = "bucket int, size int, keys binary"
 HOT = "key long, level int"
 
 
@@ -46,27 +50,45 @@ class HotShingles:
         return self.level(shingles) > 0
 
 
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted 32-bit keys as gaps: their lower two bytes as they are, the upper two compressed."""
+    planes = np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return planes[:2].tobytes() + zlib.compress(planes[2:].tobytes(), 1)
+
+
+def unpacked(content: bytes, size: int) -> np.ndarray:
+    """The ``size`` keys that ``packed`` made ``content`` of."""
+    planes = content[: 2 * size] + zlib.decompress(content[2 * size :])
+    gaps = np.frombuffer(planes, dtype=np.uint8).reshape(4, size).T.copy().view("<u4").ravel()
+    return np.cumsum(gaps, dtype=np.uint32)
+
+
 def hot_shingles(texts: DataFrame, width: int, partitions: int) -> HotShingles:
     """The shingles that at least LEAST_HOT distinct texts hold (column ``text``).
 
-    The hashes go out by range in packed arrays, four bytes a shingle: the range has the upper
-    bits, the array the next 32. The arrays of a range are sorted and counted. Copies of a text
-    within a batch count once.
+    The hashes go out by range in packed arrays, two to three bytes a shingle: the range has the
+    upper bits, the array the gaps between the next 32. The arrays of a range are sorted and
+    counted. Copies of a text within a batch count once.
     """
     bits = max(6, int(partitions - 1).bit_length())
     cut = 32 - bits
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            sets = list(shingle_sets(list(dict.fromkeys(encoded(frame["text"]))), width))
-            keys = np.sort(np.concatenate([*sets, np.zeros(0, np.uint64)])) >> np.uint64(cut)
-            edges = np.searchsorted(keys >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64))
-            low = keys.astype("<u4")
-            rows = [(k, low[edges[k] : edges[k + 1]].tobytes()) for k in range(1 << bits) if edges[k] < edges[k + 1]]
-            yield pd.DataFrame(rows, columns=["bucket", "keys"])
+            distinct = list(dict.fromkeys(encoded(frame["text"])))
+            for first, last in batches(distinct, SORTED_BYTES):
+                keys = np.concatenate([*shingle_sets(distinct[first:last], width), np.zeros(0, np.uint64)])
+                keys >>= np.uint64(cut)
+                keys.sort()
+                edges = np.searchsorted(keys >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
+                low = keys.astype("<u4")
+                ranges = [(k, x, y) for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if x < y]
+                rows = [(k, y - x, packed(low[x:y])) for k, x, y in ranges]
+                yield pd.DataFrame(rows, columns=["bucket", "size", "keys"])
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        found, counts = np.unique(np.frombuffer(b"".join(frame["keys"]), dtype="<u4"), return_counts=True)
+        lists = [unpacked(content, size) for content, size in zip(frame["keys"], frame["size"], strict=True)]
+        found, counts = np.unique(np.concatenate(lists), return_counts=True)
         hot = counts >= LEAST_HOT
         keys = (int(frame["bucket"].iloc[0]) << 32) + found[hot].astype(np.int64)
         return pd.DataFrame({"key": keys, "level": (STEPS * np.log2(counts[hot] / LEAST_HOT)).astype(np.int32)})
