@@ -33,8 +33,9 @@ def in_bucket(doc_id: str | Column, modulus: int, remainder: int) -> Column:
 def rows_of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``rows`` whose ``doc_id`` is among ``ids`` (``doc_id``).
 
-    A broadcast bit map of fixed size drops most other rows before the shuffle; the semi-join
-    after it is exact. With more ids than slots the map drops less, and the result is the same.
+    A broadcast bit map of fixed size drops most other rows before the shuffle; the join after it
+    is exact. With more ids than slots the map drops less, and the result is the same. The join is
+    an inner one with distinct ids: a semi-join would be pushed below the map and move all rows.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
     place = (slot % SLOTS_IN_MAP).alias("__place")
@@ -43,7 +44,8 @@ def rows_of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.substring("__bits", (F.col("__place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = byte.bitwiseAND(F.pow(F.lit(2), F.col("__place") % 8).cast("int")) != 0
     near = rows.withColumns({"__map": number, "__place": place}).join(F.broadcast(maps), "__map").filter(is_set)
-    return near.select(*[f"`{c}`" for c in rows.columns]).join(ids, "doc_id", "left_semi")
+    near = near.select(*[f"`{c}`" for c in rows.columns])
+    return near.join(ids.select("doc_id").distinct(), "doc_id")
 
 
 def for_python(rows: DataFrame) -> DataFrame:
