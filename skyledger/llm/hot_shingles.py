@@ -23,6 +23,9 @@ LEAST_HOT = 16
 STEPS = 4
 MOST_HOT = 1 << 20
 
+# At most 2^16 ranges, so that the key of a shingle needs no more than its upper six bytes.
+MOST_BITS = 16
+
 # Bytes of text whose shingles are sorted together: the more, the smaller the gaps between them.
 SORTED_BYTES = 1 << 23
 
@@ -70,7 +73,7 @@ def hot_shingles(texts: DataFrame, width: int, partitions: int) -> HotShingles:
     upper bits, the array the gaps between the next 32. The arrays of a range are sorted and
     counted. Copies of a text within a batch count once.
     """
-    bits = max(6, int(partitions - 1).bit_length())
+    bits = min(max(6, int(partitions - 1).bit_length()), MOST_BITS)
     cut = 32 - bits
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

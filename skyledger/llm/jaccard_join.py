@@ -56,6 +56,9 @@ LONGEST = 4096
 # Bits of a sketch: the power of two from the size of the set on, within these.
 SKETCH_BITS = (256, 8192)
 
+# Bytes of a shingle's hash that a prefix keeps: two that agree in them cost a pair to verify, no link.
+TOKEN_BYTES = 6
+
 # Bytes of prefixes that are opened at once.
 POSTED = 1 << 20
 
@@ -74,6 +77,19 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def upper_bytes(shingles: np.ndarray) -> bytes:
+    """The upper TOKEN_BYTES of each hash."""
+    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - TOKEN_BYTES :].tobytes()
+
+
+def from_upper_bytes(content: bytes) -> np.ndarray:
+    """The hashes that ``upper_bytes`` made ``content`` of, their lower bytes 0."""
+    upper = np.frombuffer(content, dtype=np.uint8).reshape(-1, TOKEN_BYTES)
+    whole = np.zeros((len(upper), 8), dtype=np.uint8)
+    whole[:, 8 - TOKEN_BYTES :] = upper
+    return whole.view("<u8").ravel()
+
+
 def sketch(shingles: np.ndarray) -> bytes:
     """The parity of the number of shingles in each slot, a power of two of them."""
     bits = min(max(1 << max(len(shingles) - 1, 0).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
@@ -90,12 +106,17 @@ def _folded(sketches: list[bytes], width: int) -> np.ndarray:
 
 
 def _near(frame: pd.DataFrame, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the sketches of two rows leave room for the threshold; true where one has none."""
+    """Whether the sketches of two rows leave room for the threshold; true where one has none.
+
+    ``slack``, if there is one, is the number of bits by which a row's sets may differ from its sketch.
+    """
     size = frame["size"].to_numpy(np.int64)
+    slack = frame["slack"].to_numpy(np.int64) if "slack" in frame else np.zeros(len(frame), np.int64)
     sketches = [b"" if one is None else one for one in frame["sketch"]]
     length = np.array([len(one) for one in sketches], dtype=np.int64)
     widths = np.minimum(length[x], length[y])
     allowed = size[x] + size[y] - 2 * -(-percent * (size[x] + size[y]) // (100 + percent))
+    allowed += slack[x] + slack[y]
     near = np.ones(len(x), dtype=bool)
     for width in np.unique(widths[widths > 0]).tolist():
         of_width = np.flatnonzero(widths == width)
@@ -128,7 +149,7 @@ def described_sets(texts: DataFrame, hot: Broadcast, width: int, percent: int) -
                     places = np.arange(1, first + 1, dtype=np.uint64)
                     prefix_sig = np.sum(mix(prefix + mix(places)))
                 signs = np.array([sig_a, sig_b, prefix_sig], dtype=np.uint64).astype(np.int64)
-                rows.append((n, *signs.tolist(), prefix.tobytes(), sketch(shingles)))
+                rows.append((n, *signs.tolist(), upper_bytes(prefix), sketch(shingles)))
             out = pd.DataFrame(rows, columns=["n_shingles", "sig_a", "sig_b", "prefix_sig", "prefix", "sketch"])
             out.insert(0, "doc_id", ids_of(frame).array)
             yield out
@@ -168,9 +189,8 @@ def postings(sets: DataFrame, classes: DataFrame, hot: Broadcast) -> DataFrame:
         for frame in frames:
             for first, last in batches(frame["prefix"], POSTED):
                 part = frame.iloc[first:last]
-                lists = [np.frombuffer(x, dtype="<u8") for x in part["prefix"]]
-                lengths = np.array([len(x) for x in lists], dtype=np.int64)
-                token = np.concatenate([*lists, np.zeros(0, np.uint64)])
+                lengths = np.array([len(x) // TOKEN_BYTES for x in part["prefix"]], dtype=np.int64)
+                token = from_upper_bytes(b"".join(part["prefix"]))
                 gid = np.repeat(part["doc_id"].to_numpy(np.int64), lengths)
                 with np.errstate(over="ignore"):
                     cut = mix(token + mix(gid.astype(np.uint64)) % cuts)
@@ -205,7 +225,8 @@ def _unique_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
         return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
     x = np.concatenate([p[0] for p in found])
     y = np.concatenate([p[1] for p in found])
-    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    apart = x != y
+    pairs = np.unique(np.stack([np.minimum(x, y)[apart], np.maximum(x, y)[apart]]), axis=1)
     return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
@@ -291,11 +312,28 @@ def _sketches(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def sketched(long_lists: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """The postings with ``sketch``: null for a group of several classes and an id of several sets."""
-    single = classes.filter("single").select(F.col("gid").alias("doc_id"))
-    ids = long_lists.select(F.col("gid").alias("doc_id")).join(single, "doc_id", "left_semi").distinct()
-    one = _sketches(sets, ids).select(F.col("doc_id").alias("gid"), "sketch")
-    return long_lists.join(one, "gid", "left")
+    """The postings with ``sketch`` and ``slack`` of their groups.
+
+    A group of several classes has the sketch of one of them, and the slack is the largest number
+    of bits in which another one differs from it. The sketch is null where an id has several sets.
+    """
+    gids = long_lists.select("gid").distinct()
+    members = classes.join(gids, "gid", "left_semi").select("gid", F.col("rep").alias("doc_id"))
+    own = members.join(_sketches(sets, members.select("doc_id").distinct()), "doc_id", "left")
+    of_group = own.groupBy("gid").agg(F.collect_list("sketch").alias("sketches"), F.count(F.lit(1)).alias("members"))
+
+    def one(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            first, slack = [], []
+            for sketches in frame["sketches"]:
+                rows = _folded(list(sketches), len(sketches[0]))
+                first.append(sketches[0])
+                slack.append(int(np.bitwise_count(rows ^ rows[0]).sum(axis=1, dtype=np.int64).max()))
+            yield pd.DataFrame({"gid": frame["gid"], "sketch": first, "slack": slack})
+
+    whole = of_group.filter(F.size("sketches") == F.col("members")).select("gid", "sketches")
+    bounds = whole.mapInPandas(one, "gid long, sketch binary, slack int")
+    return long_lists.join(bounds, "gid", "left").fillna(0, ["slack"])
 
 
 def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -374,7 +412,7 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     meetings = F.expr("transform(sequence(0, blocks - 1), k -> struct(least(own, k) AS one, greatest(own, k) AS two))")
     dealt = dealt.withColumn("meeting", F.explode(meetings)).select(
         F.xxhash64("token", "meeting.one", "meeting.two").alias("list"),
-        "gid", "size", "place", "component", "sketch", "own", (F.col("meeting.one") == F.col("meeting.two")).alias("alone"),
+        "gid", "size", "place", "component", "sketch", "slack", "own", (F.col("meeting.one") == F.col("meeting.two")).alias("alone"),
     )
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
