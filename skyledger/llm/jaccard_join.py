@@ -10,8 +10,8 @@ and verified on the whole texts.
 
 A shingle with more than SHORT_LIST groups would make a number of pairs that grows with its
 square. Such a list is joined in three steps. First its members are compared with a few of them,
-its hubs, the same ones for all lists that hold them; then, in some orders by hash, with their
-next neighbour if that is in another component. That links nearly all that belongs together.
+its hubs, the same ones for all lists that hold them; then, in some orders by hash, with one
+member of another component. That links nearly all that belongs together.
 Then, exactly, all pairs of the list that are not yet in one component. Long lists are cut to
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
 of one component need no further link to be in it.
@@ -375,8 +375,22 @@ def hub_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     return _by_list(long_lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
+def _across(names: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """For rows sorted by list and component: the place of each row's partner in its list.
+
+    The partner stands as many places further, round the list, as its largest component has
+    members. A member so meets one of another component wherever the list has enough of them.
+    """
+    edges = _runs(names)
+    starts = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]) | (component[1:] != component[:-1])]))
+    largest = np.maximum.reduceat(np.diff(np.append(starts, len(names))), np.searchsorted(starts, edges[:-1]))
+    length = np.diff(edges)
+    begin = np.repeat(edges[:-1], length)
+    return begin + (np.arange(len(names)) - begin + np.repeat(largest, length)) % np.repeat(length, length)
+
+
 def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of neighbours in long lists that are in different components, in TURNS orders by hash."""
+    """Pairs of long lists across their components, one a member in each of TURNS orders by hash."""
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _lists(frames):
@@ -387,9 +401,9 @@ def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
             for turn in range(1, TURNS + 1):
                 with np.errstate(over="ignore"):
                     dealt = mix(mix(gid.astype(np.uint64) + np.uint64(turn)) + names.astype(np.uint64))
-                order = np.lexsort((dealt, names))
-                x, y = order[:-1], order[1:]
-                apart = (names[x] == names[y]) & (component[x] != component[y])
+                order = np.lexsort((dealt, component, names))
+                x, y = order, order[_across(names[order], component[order])]
+                apart = component[x] != component[y]
                 x, y = x[apart], y[apart]
                 keep = _room(size, place, x, y, percent)
                 found.append((x[keep], y[keep]))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.llm.hot_shingles import packed, unpacked
-from skyledger.llm.jaccard_join import POSTINGS, from_upper_bytes, near_duplicates, sketch, sketched, upper_bytes
+from skyledger.llm.jaccard_join import POSTINGS, _across, from_upper_bytes, near_duplicates, sketch, sketched, upper_bytes
 
 
 @pytest.mark.parametrize("keys", [[], [0], [2**32 - 1], [0, 0, 5, 2**16, 2**16, 2**31, 2**32 - 1]])
@@ -48,3 +48,12 @@ def test_upper_bytes_of_hashes_come_back():
     hashes = np.array([0, 2**16 - 1, 2**63 + 12345678901, 2**64 - 1], dtype=np.uint64)
     kept = from_upper_bytes(upper_bytes(hashes))
     assert kept.tolist() == [int(h) >> 16 << 16 for h in hashes]
+
+
+def test_partners_are_of_the_same_list_and_of_other_components():
+    names = np.array([1, 1, 1, 1, 1, 2, 2, 2, 3])
+    component = np.array([1, 1, 5, 6, 6, 1, 1, 1, 9])
+    partners = _across(names, component)
+    assert (names[partners] == names).all()
+    assert (component[partners[:5]] != component[:5]).all()
+    assert sorted(partners.tolist()) == list(range(9))
