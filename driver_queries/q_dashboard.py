@@ -327,7 +327,8 @@ def _visual_sql(item: D.Visual) -> str | None:
     if item.shape == "slicer_range":
         return with_tables(f"""SELECT {t('min("date")')} AS min_value, {t('max("date")')} AS max_value FROM dim_date""")
     if item.shape == "slicer_domain":
-        return with_tables(f"SELECT DISTINCT {item.by[1]} FROM {item.by[0]}")
+        left = f"WHERE {item.by[1]} IS NOT NULL" if item.by in (D.ZONE, D.AIRLINE) else ""
+        return with_tables(f"SELECT DISTINCT {item.by[1]} FROM {item.by[0]} {left}")
     if item.shape == "detail_table":
         return with_tables(
             f"""SELECT {t('dim_date."date"')} AS "date", feedback_text FROM fact_passenger_feedback {DATE_JOIN}
@@ -338,7 +339,7 @@ def _visual_sql(item: D.Visual) -> str | None:
             r"""SELECT word, count(*) AS frequency FROM (SELECT unnest(regexp_split_to_array(lower(feedback_text),
                 '[^\p{L}\p{N}'']+')) AS word FROM fact_passenger_feedback WHERE """
             + SLICER_KEYS
-            + ") WHERE word <> '' GROUP BY ALL"
+            + " AND (feedback_text NOT ILIKE '%was%' OR feedback_text NOT ILIKE '%the%')) WHERE word <> '' GROUP BY ALL"
         )
     key, joins, members = DATE_COLUMN, DATE_JOIN, MEMBERS_IN_RANGE
     if item.shape == "trend_by_date_series":

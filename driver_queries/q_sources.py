@@ -94,15 +94,15 @@ def _(spark, sf):
 
 @query(
     "sink_overwrite",
-    f"SELECT o_orderkey, {f('o_totalprice')} AS o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000",
+    f"SELECT o_orderkey, {f('o_totalprice * 2')} AS o_totalprice FROM orders",
 )
 def _(spark, sf):
     path = scratch_path(spark, "orders")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    sink_overwrite(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), path)
+    sink_overwrite(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), path)
     # The second write reads the table that it replaces.
     schema = "o_orderkey bigint, o_totalprice double"
-    sink_overwrite(spark.read.schema(schema).parquet(path).filter("o_totalprice > 1000"), path, reads_target=True)
+    doubled = spark.read.schema(schema).parquet(path).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    sink_overwrite(doubled, path, reads_target=True)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -80,11 +80,11 @@ def word_frequency(df: DataFrame, text: str) -> DataFrame:
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def slicer_domain(model: Model, attribute: tuple[str, str]) -> DataFrame:
-    """The values a slicer offers."""
+def slicer_domain(model: Model, attribute: tuple[str, str], where: str | None = None) -> DataFrame:
+    """The values a slicer offers, of the rows that its own filter leaves."""
     table, column = attribute
     source = model.dimensions[table] if table in model.dimensions else model.facts[table]
-    return source.select(column).distinct()
+    return (source if where is None else source.filter(where)).select(column).distinct()
 
 
 def slicer_range(model: Model, attribute: tuple[str, str] = DATE) -> DataFrame:
@@ -100,6 +100,8 @@ class Visual:
     shape: str
     measures: tuple[str, ...] = ()
     by: tuple[str, str] | None = None
+    # The visual's own filter: a condition on the rows of its table.
+    where: str | None = None
 
 
 # Every data visual: page, name, shape, measures, attribute.
@@ -117,7 +119,7 @@ VISUALS = [
         (COMMERCIAL, "revenue_category"),
     ),
     Visual("Overview", "date slicer", "slicer_range", by=DATE),
-    Visual("Overview", "zone slicer", "slicer_domain", by=ZONE),
+    Visual("Overview", "zone slicer", "slicer_domain", by=ZONE, where="terminal_zone IS NOT NULL"),
     Visual("Flights", "on-time performance", "card_kpi_target", ("On-Time Performance %",)),
     Visual("Flights", "delay", "card_kpi_target", ("Average Delay Minutes",)),
     Visual("Flights", "load factor", "card_single", ("Load Factor %",)),
@@ -138,7 +140,7 @@ VISUALS = [
         (FLIGHTS, "delay_reason"),
     ),
     Visual("Flights", "date slicer", "slicer_range", by=DATE),
-    Visual("Flights", "airline slicer", "slicer_domain", by=AIRLINE),
+    Visual("Flights", "airline slicer", "slicer_domain", by=AIRLINE, where="airline_name IS NOT NULL"),
     Visual("Passenger", "security wait", "card_kpi_target", ("Average Security Wait Time",)),
     Visual("Passenger", "maximum wait", "card_single", ("Maximum Security Wait Time",)),
     Visual("Passenger", "passengers per hour", "card_single", ("Average Passengers per Hour",)),
@@ -225,7 +227,13 @@ VISUALS = [
     Visual("Experience", "feedback", "card_single", ("Total Feedback",)),
     Visual("Experience", "feedback by date", "trend_by_date", ("Total Feedback", "Energy per Passenger")),
     Visual("Experience", "comments", "detail_table", by=(FEEDBACK, "feedback_text")),
-    Visual("Experience", "words", "word_frequency", by=(FEEDBACK, "feedback_text")),
+    Visual(
+        "Experience",
+        "words",
+        "word_frequency",
+        by=(FEEDBACK, "feedback_text"),
+        where="NOT (contains(lower(feedback_text), 'was') AND contains(lower(feedback_text), 'the'))",
+    ),
     Visual("Experience", "date slicer", "slicer_range", by=DATE),
 ]
 
@@ -252,7 +260,7 @@ def run_visual(model: Model, item: Visual, filters: Sequence[Filter] = ()) -> Da
     if item.shape == "breakdown_by_attribute":
         return breakdown_by_attribute(model, item.by, item.measures, filters)
     if item.shape == "slicer_domain":
-        return slicer_domain(model, item.by)
+        return slicer_domain(model, item.by, item.where)
     if item.shape == "slicer_range":
         return slicer_range(model, item.by)
     fact, column = item.by
@@ -260,5 +268,6 @@ def run_visual(model: Model, item: Visual, filters: Sequence[Filter] = ()) -> Da
         return detail_table(model, fact, [column], [DATE], filters)
     if item.shape == "word_frequency":
         tables = {fact, *(item.table for item in filters)}
-        return word_frequency(propagate_filters(restrict(model, tables), filters).facts[fact], column)
+        rows = propagate_filters(restrict(model, tables), filters).facts[fact]
+        return word_frequency(rows if item.where is None else rows.filter(item.where), column)
     raise ValueError(f"unknown shape: {item.shape}")
