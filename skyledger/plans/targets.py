@@ -8,31 +8,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Blocks of 2^0 to 2^22 days: the last level holds all days that a date can name.
+LEVELS = 23
+DAY_ZERO = "0001-01-01"
+
+# The blocks that cover the days from __begin to __end, at most two a level.
+COVER = f"""filter(flatten(transform(sequence(0, {LEVELS - 1}), k -> transform(
+    array(struct(shiftright(__begin + shiftleft(1, k) - 1, k) AS l, shiftright(__end + 1, k) AS r, true AS is_left),
+          struct(shiftright(__begin + shiftleft(1, k) - 1, k) AS l, shiftright(__end + 1, k) AS r, false AS is_left)),
+    x -> CASE WHEN x.l < x.r AND x.is_left AND x.l % 2 = 1 THEN struct(k AS level, x.l AS block)
+              WHEN x.l < x.r AND NOT x.is_left AND x.r % 2 = 1 THEN struct(k AS level, x.r - 1 AS block) END))),
+    x -> x IS NOT NULL)"""
+
+
+def _day_number(column: Column) -> Column:
+    return F.datediff(column, F.lit(DAY_ZERO).cast("date"))
+
+
 def target_asof(
     dates: DataFrame, date_column: str, targets: DataFrame, kpi_codes: Sequence[str] | None = None
 ) -> DataFrame:
     """The largest target in force on each date, per KPI code.
 
     A target is in force from its start to its end, both inclusive; an open end has no limit.
-    The interval is unrolled to days inside the bounds of ``dates`` and reduced per day before
-    the join, so dates and targets meet on equal keys instead of a range comparison.
+    An interval is covered by blocks of 2^k days, at most two of each length, and the targets are
+    reduced per block; a day looks up the blocks that hold it, one of each length. So dates and
+    targets meet on equal keys, and no interval is unrolled to its days. The estimate of a table
+    ignores such an unroll, so the join is asked not to broadcast.
     """
-    days = dates.filter(F.col(date_column).isNotNull()).select(F.col(date_column).alias("__day")).distinct()
+    days = dates.filter(F.col(date_column).isNotNull()).select(F.col(date_column).cast("date").alias("__day")).distinct()
     first = days.agg(F.min("__day")).scalar()
     last = days.agg(F.max("__day")).scalar()
     if kpi_codes is not None:
         targets = targets.filter(F.col("kpi_code").isin(list(kpi_codes)))
     begin = F.greatest("effective_start_date", first)
     end = F.least(F.coalesce("effective_end_date", last), last)
-    in_force = (
+    intervals = (
         targets.filter(F.col("effective_start_date").isNotNull())
-        .select("kpi_code", "target_value", begin.alias("__begin"), end.alias("__end"))
+        .select("kpi_code", "target_value", _day_number(begin).alias("__begin"), _day_number(end).alias("__end"))
         .filter(F.col("__begin") <= F.col("__end"))
-        .select("kpi_code", "target_value", F.explode(F.sequence("__begin", "__end")).alias("__day"))
-        .groupBy("__day", "kpi_code")
+        .groupBy("kpi_code", "__begin", "__end")
+        .agg(F.max("target_value").alias("target_value"))
+    )
+    blocks = (
+        intervals.select("kpi_code", "target_value", F.inline(F.expr(COVER)))
+        .groupBy("kpi_code", "level", "block")
         .agg(F.max("target_value").alias("target_value"))
     )
-    return days.join(in_force, "__day").withColumnRenamed("__day", date_column)
+    of_day = days.withColumn("__number", _day_number(F.col("__day"))).select(
+        "__day",
+        F.inline(F.expr(f"transform(sequence(0, {LEVELS - 1}), k -> struct(k AS level, shiftright(__number, k) AS block))")),
+    )
+    found = of_day.join(blocks.hint("merge"), ["level", "block"]).groupBy("__day", "kpi_code")
+    return found.agg(F.max("target_value").alias("target_value")).withColumnRenamed("__day", date_column)
 
 
 def target_columns(

@@ -1,6 +1,7 @@
 """Properties of the operators, against brute force on small tables."""
 
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql.window import Window
 from skyledger.operators import clean, dimensions, facts, joins, ordering, quality
 from skyledger.plans.kpi import top_with_ties
 from skyledger.plans.measures import drill_across
+from skyledger.plans.targets import COVER, target_asof
 
 
 def collect(df, *order):
@@ -213,3 +215,27 @@ def test_whole_numbers_keep_their_digits(spark):
     texts = ["3000000000", "9007199254740993", "167.0", "-2.9", "x", "", "99999999999999999999", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(whole_number(F.col("t")))
     assert [r[0] for r in rows.collect()] == [3000000000, 9007199254740993, 167, -2, None, None, None, None]
+
+
+def test_targets_are_covered_by_few_blocks_and_match_every_day(spark):
+    start = date(1999, 12, 25)
+    spans = [(0, 0), (0, 63), (1, 62), (5, 5), (7, 40), (30, None), (63, 63), (-20, 200), (9, 3)]
+    rows = [
+        (f"K{i % 3}", float(i), start + timedelta(b), None if e is None else start + timedelta(e))
+        for i, (b, e) in enumerate(spans)
+    ]
+    frame = spark.createDataFrame(
+        rows, "kpi_code string, target_value double, effective_start_date date, effective_end_date date"
+    )
+    days = [start + timedelta(k) for k in range(64)]
+    found = target_asof(spark.createDataFrame([(d,) for d in days], "d date"), "d", frame)
+    expected = {}
+    for day in days:
+        for code, value, begin, end in rows:
+            if begin <= day and (end is None or day <= end):
+                expected[day, code] = max(value, expected.get((day, code), value))
+    assert {(r["d"], r["kpi_code"]): r["target_value"] for r in found.collect()} == expected
+    covers = spark.range(1).select(F.lit(730_001).alias("__begin"), F.lit(731_999).alias("__end")).select(F.expr(COVER).alias("c"))
+    cover = covers.first()["c"]
+    covered = sorted(x for b in cover for x in range(b["block"] << b["level"], (b["block"] + 1) << b["level"]))
+    assert covered == list(range(730_001, 732_000)) and len(cover) <= 22
