@@ -14,7 +14,8 @@ its hubs, the same ones for all lists that hold them; then, in some orders by ha
 member of another component. That links nearly all that belongs together.
 Then, exactly, all pairs of the list that are not yet in one component. Long lists are cut to
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
-of one component need no further link to be in it.
+of one component need no further link to be in it, and a group whose classes are in several
+components is split into its classes before the second and the third step.
 
 In all three steps, and before whole texts are read, a pair must pass a sketch of whole sets: one bit for each hash slot, set
 where an odd number of shingles falls. Two sets differ in at least as many shingles as their
@@ -448,6 +449,36 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
     return _by_list(dealt).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
+def several_components(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``gid, rep, size, component, sketch`` of the classes of groups that are not in one component."""
+    of_class = labels.select(F.col("node").alias("rep"), "component")
+    own = classes.filter("NOT single").join(of_class, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    own = materialize(own.select("gid", "rep", "size", "component"), "members")
+    parted = own.groupBy("gid").agg(F.min("component").alias("one"), F.max("component").alias("other"))
+    split = materialize(own.join(parted.filter("one <> other").select("gid"), "gid"), "split")
+    if split.isEmpty():
+        return split.withColumn("sketch", F.lit(None).cast("binary"))
+    reps = split.select(F.col("rep").alias("doc_id")).distinct()
+    sketches = _sketches(sets, reps).select(F.col("doc_id").alias("rep"), "sketch")
+    return materialize(split.join(sketches, "rep", "left"), "split-sketches")
+
+
+def with_components(long_lists: DataFrame, split: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings with ``component``; those of the groups of ``split`` once for each class, as a group of its own."""
+    of_group = labels.select(F.col("node").alias("gid"), "component")
+    whole = long_lists.join(split.select("gid").distinct(), "gid", "left_anti").join(of_group, "gid", "left")
+    whole = whole.withColumn("component", F.coalesce("component", "gid"))
+    parts = long_lists.drop("sketch", "slack").join(split, ["gid", "size"]).drop("gid")
+    parts = parts.withColumnRenamed("rep", "gid").withColumn("slack", F.lit(0))
+    return whole.unionByName(parts)
+
+
+def ungrouped(classes: DataFrame, split: DataFrame) -> DataFrame:
+    """``gid, rep`` of all classes; those of ``split`` are groups of their own."""
+    whole = classes.join(split.select("gid").distinct(), "gid", "left_anti").select("gid", "rep")
+    return whole.union(split.select(F.col("rep").alias("gid"), "rep"))
+
+
 def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs of groups as pairs of their classes; a group has at most LARGEST_GROUP."""
     one = members.select(F.col("gid").alias("a"), F.col("rep").alias("ra"))
@@ -512,9 +543,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = materialize(verified(materialize(first, "near"), own, width, percent).distinct(), "links")
     labels = components(links)
     for candidates in (neighbour_pairs, block_pairs):
-        of_group = labels.select(F.col("node").alias("gid"), "component")
-        labelled = long_lists.join(of_group, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
-        rest = expanded(candidates(labelled, percent), classes).join(links, ["a", "b"], "left_anti").distinct()
+        split = several_components(sets, classes, labels)
+        labelled = with_components(long_lists, split, labels)
+        rest = expanded(candidates(labelled, percent), ungrouped(classes, split))
+        rest = rest.join(links, ["a", "b"], "left_anti").distinct()
         rest = near_pairs(materialize(rest, "pairs"), sets, percent)
         more = materialize(verified(materialize(rest, "near"), own, width, percent).distinct(), "links")
         labels = united(labels, components(_lifted(more, labels)))

@@ -238,6 +238,30 @@ def test_near_duplicates_edge_rows(spark):
     assert jaccard_join.near_duplicates(_docs(spark, [])).collect() == []
 
 
+def test_near_duplicates_of_groups_in_several_components(spark):
+    # Edited copies of a body, each once with either footer: the two have one prefix and size, so they are
+    # a group, but they do not link. Bridges link the copies with the first footer, and they are the hubs.
+    rng = random.Random(7)
+    body, common = [f"b{k}" for k in range(80)], [f"c{k}" for k in range(4)]
+    footers = [common + [f"f{n}x{k}" for k in range(20)] for n in range(2)]
+    ids = [*range(1, 70)]
+    dealt = jaccard_join.mix(np.array(ids, dtype=np.uint64))
+    bridges = [ids[k] for k in np.argsort(dealt)[:19]]
+    others = [i for i in ids if i not in bridges]
+
+    def edited(*places):
+        return [f"u{k // 3}" if k in places else w for k, w in enumerate(body)]
+
+    rows = [(others[n * 20 + k], " ".join(edited(2 + 3 * k) + footers[n])) for n in range(2) for k in range(20)]
+    rows += [(bridges[k], " ".join(edited(2 + 3 * k, 5 + 3 * k) + footers[0])) for k in range(19)]
+    for i in range(200):
+        rows.append((100 + i, " ".join([f"r{rng.randrange(10**6)}" for _ in range(60)] + footers[i % 2])))
+    want = _brute_components(rows)
+    assert len({c for i, _, c in want if i < 100}) == 2
+    got = jaccard_join.near_duplicates(_docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_sketches_bound_the_difference_of_sets():
     rng = np.random.default_rng(5)
     for size, common in [(40, 30), (300, 240), (3000, 2000), (20000, 17000), (300, 0)]:
