@@ -7,6 +7,7 @@ import os
 import random
 import re
 import zlib
+from importlib import resources
 
 import duckdb
 import numpy as np
@@ -303,6 +304,28 @@ def test_licences(spark):
     assert licences.scan_licences(_docs(spark, [])).collect() == []
 
 
+def test_licences_as_whole_texts_and_creative_commons(spark):
+    def file(name):
+        return (resources.files("skyledger.llm") / "licence_texts" / f"{name}.txt").read_text("utf-8")
+
+    apache, gpl = file("Apache-2.0"), file("GPL-3.0")
+    bsd = licences._BSD_HEAD + "\n- " + "\n- ".join(licences._BSD_CLAUSES[:2]) + "\n" + licences._BSD_REST.replace("{many}", "COPYRIGHT HOLDERS").replace("{one}", "COPYRIGHT OWNER")
+    rows = [
+        (1, "Some text.\nLicensed under CC BY-NC 4.0.\nMore."),
+        (2, "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License."),
+        (3, apache),
+        (4, apache.replace("[yyyy] [name of copyright owner]", "2020 Someone").upper()),
+        (5, gpl[: gpl.index("How to Apply")]),
+        (6, "Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + bsd),
+        (7, file("MPL-2.0").replace("\n", "\r\n")),
+        (8, file("GPL-2.0") + "\n"),
+        (9, gpl[: len(gpl) // 2]),
+    ]
+    got = {tuple(r) for r in licences.scan_licences(_docs(spark, rows)).collect() if r["scope"] == "text" or r["doc_id"] == 1}
+    names = {2: "CC-BY-NC-SA-3.0", 3: "Apache-2.0", 4: "Apache-2.0", 5: "GPL-3.0", 6: "BSD-2-Clause", 7: "MPL-2.0", 8: "GPL-2.0"}
+    assert got == {(1, "line", 1, "CC-BY-NC-4.0")} | {(k, "text", -1, name) for k, name in names.items()}
+
+
 # Context mixing
 
 
