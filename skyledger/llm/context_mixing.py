@@ -1,14 +1,16 @@
-"""Probabilities of texts by logistic mixing of hashed-context bit predictors.
+"""Probabilities of texts by logistic mixing of context bit predictors.
 
 A byte is predicted bit by bit. For each of several orders, a predictor knows how often a 1 and
-a 0 came after the hashed last bytes and the bits of the byte so far. The stretched predictions
+a 0 came after the last bytes and the bits of the byte so far. The stretched predictions
 are added with weights that a gate selects (the bit, and how many orders know their context), squashed, and refined by a table of
 what became of such predictions.
 
-Learning is spread over the corpus: counts are summed over all training texts, then each task
-moves the weights along its own training texts, batch by batch, while it fills the refining
-table; the tasks' weights are averaged by text size and the tables added. A byte and the bytes
-before it that matter are one key; equal keys of a batch are worked out once.
+A byte and the bytes before it that matter are one key. Blocks of texts send their distinct keys
+to the bucket of the last two bytes before, the shortest context: every longer one ends with it, so a
+bucket has the counts of all its contexts of all orders, one for each context seen, without hashing.
+Each bucket moves the weights along its own training keys and fills the refining table; the
+buckets' weights are averaged by text size and the tables added. Then each bucket answers the
+blocks with the probabilities of the keys they asked for; equal keys are worked out once.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ from skyledger.llm.words import batches, encoded, mix, word_hashes
 
 ORDERS = (2, 3, 4, 6)
 LONGEST = max(ORDERS)
+RANGES = 32
+
+# Tables of hashed slots, for texts that one process holds.
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
-RANGES = 32
 
 # Stands before and after every text; no UTF-8 text has it.
 END = 0xFF
@@ -45,11 +49,19 @@ CELL_TRUST = 16.0
 # Bytes of text whose keys are worked out together: more have fewer distinct keys.
 BATCH_BYTES = 1 << 22
 
-# Rows whose words are looked up together.
+# Slices in which a bucket's keys move the weights, at least, and keys of a slice, at most.
+STEPS = 16
+SLICE_KEYS = 1 << 17
+
+# Buckets of keys for each shuffle partition.
+BUCKETS = 2
+
+# Rows whose words and keys are looked up together.
 LOOKUP_ROWS = 2048
 
 TABLES = "kind int, range int, content binary"
 REQUESTS = "bucket int, block long, words binary, counts binary"
+KEY_REQUESTS = "bucket int, block long, size int, keys binary, counts binary"
 REPLIES = "block long, bucket int, words binary, counts binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
@@ -143,64 +155,229 @@ def stretch(counts: np.ndarray) -> np.ndarray:
     return np.log((counts[..., 1] + np.float32(PRIOR)) / (counts[..., 0] + np.float32(PRIOR)))
 
 
+def _learn_slice(
+    weights: np.ndarray, cells: np.ndarray, keys: np.ndarray, times: np.ndarray, counts: Iterator[list[np.ndarray]]
+) -> None:
+    """One step of ``weights`` along the keys; ``counts`` has per bit the (0, 1) counts of each order without the bit itself."""
+    gates = np.eye(weights.shape[1], dtype=np.float32)
+    for place, ((node, bit), known) in enumerate(zip(_nodes(keys), counts, strict=True)):
+        x, _ = _inputs([stretch(n) for n in known])
+        gate = _known(known)
+        total = _mixed(weights[place], x, gate)
+        p = _squashed(total)
+        cell = _cells(node, total)
+        cells[1] += np.bincount(cell, times, len(cells[1]))
+        cells[0] += np.bincount(cell, times * bit, len(cells[0]))
+        chosen = gates[gate]
+        slope = chosen.T @ ((times * (bit - p))[:, None] * x)
+        curve = chosen.T @ ((times * p * (1 - p))[:, None] * x * x)
+        weights[place] += RATE / len(ORDERS) * slope / (curve + 1.0)
+
+
+def _known(counts: list[np.ndarray]) -> np.ndarray:
+    """How many orders have seen the context and the bits so far."""
+    return np.sum([n.sum(axis=1) > 0 for n in counts], axis=0, dtype=np.int64)
+
+
 def learn_weights(counts: np.ndarray, weights: np.ndarray, keys: np.ndarray, times: np.ndarray, cells: np.ndarray) -> None:
     """Move ``weights`` along the keys, slice by slice, and note in ``cells`` what became of each prediction.
 
     Each bit is predicted from the counts without itself: the counts are of the same texts, and
     a prediction that knows its own bit would be trusted too much.
     """
-    gates = np.eye(weights.shape[1], dtype=np.float32)
     pairs = counts.view(np.uint64)[..., 0]
-    for first in range(SLICES):
-        part, weight = keys[first::SLICES], times[first::SLICES].astype(np.float32)
-        contexts = _contexts(part)
-        for place, (node, bit) in enumerate(_nodes(part)):
+
+    def known(contexts: list[np.ndarray], part: np.ndarray) -> Iterator[list[np.ndarray]]:
+        for node, bit in _nodes(part):
             own = np.stack([bit ^ np.uint64(1), bit], axis=1).astype(np.float32)
-            known = [pairs[k][_slots(c, node)].view(np.float32).reshape(-1, 2) for k, c in enumerate(contexts)]
-            x, gate = _inputs([stretch(np.maximum(n - own, 0)) for n in known])
-            total = _mixed(weights[place], x, gate)
-            p = _squashed(total)
-            cell = _cells(node, total)
-            cells[1] += np.bincount(cell, weight, len(cells[1]))
-            cells[0] += np.bincount(cell, weight * own[:, 1], len(cells[0]))
-            chosen = gates[gate]
-            slope = chosen.T @ ((weight * (own[:, 1] - p))[:, None] * x)
-            curve = chosen.T @ ((weight * p * (1 - p))[:, None] * x * x)
-            weights[place] += RATE / len(ORDERS) * slope / (curve + 1.0)
+            found = [pairs[k][_slots(c, node)].view(np.float32).reshape(-1, 2) for k, c in enumerate(contexts)]
+            yield [np.maximum(n - own, 0) for n in found]
 
+    for first in range(SLICES):
+        part = keys[first::SLICES]
+        _learn_slice(weights, cells, part, times[first::SLICES].astype(np.float32), known(_contexts(part), part))
 
-def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each key's byte after its context."""
-    contexts = _contexts(keys)
+
+def _log10(weights: np.ndarray, ones: np.ndarray, seen: np.ndarray, keys: np.ndarray, inputs: Iterator[tuple]) -> np.ndarray:
+    """log10 of the probability of each key's byte; ``inputs`` has predictions and gate per bit."""
     # Half the mixed prediction and half what the cell has seen, as a slope and a shift per cell.
-    trust = 0.5 / (mixer.total + CELL_TRUST)
-    slope, shift = (0.5 + CELL_TRUST * trust).astype(np.float32), (mixer.ones * trust).astype(np.float32)
+    trust = 0.5 / (seen + CELL_TRUST)
+    slope, shift = (0.5 + CELL_TRUST * trust).astype(np.float32), (ones * trust).astype(np.float32)
     out = np.ones(len(keys))
-    for place, (node, bit) in enumerate(_nodes(keys)):
-        x, gate = _inputs([mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)])
-        total = _mixed(mixer.weights[place], x, gate)
+    for place, ((node, bit), (x, gate)) in enumerate(zip(_nodes(keys), inputs, strict=True)):
+        total = _mixed(weights[place], x, gate)
         cell = _cells(node, total)
         p = _squashed(total) * slope[cell] + shift[cell]
         out *= np.where(bit == 1, p, 1 - p)
     return np.log10(out)
 
 
-def log10_of_texts(mixer: Mixer, texts: Sequence[bytes]) -> np.ndarray:
-    """log10 of the probability of each whole text and its end."""
-    out = np.zeros(len(texts))
+def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each key's byte after its context, from tables of hashed slots."""
+    contexts = _contexts(keys)
+    inputs = (_inputs([mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)]) for node, _ in _nodes(keys))
+    return _log10(mixer.weights, mixer.ones, mixer.total, keys, inputs)
+
+
+@dataclass(frozen=True)
+class Learnt:
+    """Weights by bit, gate and order, and the refining table."""
+
+    weights: np.ndarray
+    ones: np.ndarray
+    total: np.ndarray
+
+
+class Contexts:
+    """Exact counts of all contexts of a bucket's distinct sorted keys.
+
+    ``sums[order][d]`` has for each key how often its context and the first d bits of its byte were seen.
+    """
+
+    def __init__(self, keys: np.ndarray, times: np.ndarray) -> None:
+        self.keys, self.times = keys, times
+        self.sums = []
+        for length in ORDERS:
+            own = keys & np.uint64((1 << 8 * (length + 1)) - 1)
+            order = np.argsort(own, kind="stable")
+            sorted_keys, upto = own[order], np.concatenate([[0], np.cumsum(times[order])])
+            sums = np.empty((9, len(keys)), dtype=np.float32)
+            for depth in range(9):
+                prefix = sorted_keys >> np.uint64(8 - depth)
+                edges = _edges(prefix)
+                sums[depth, order] = np.repeat(np.diff(upto[edges]), np.diff(edges))
+            self.sums.append(sums)
+
+    def counts(self, at: np.ndarray, without: int) -> Iterator[list[np.ndarray]]:
+        """Per bit the (0, 1) counts of each order for the keys ``at``, less ``without`` of the key's own bit."""
+        for place, (_, bit) in enumerate(_nodes(self.keys[at])):
+            found = []
+            for sums in self.sums:
+                own, both = sums[place + 1, at], sums[place, at]
+                two = np.stack([np.maximum(own - without, 0), both - own], axis=1)
+                found.append(np.where((bit == 1)[:, None], two[:, ::-1], two))
+            yield found
+
+    def slices(self, at: np.ndarray) -> Iterator[np.ndarray]:
+        count = max(STEPS, -(-len(at) // SLICE_KEYS))
+        yield from (at[k::count] for k in range(count) if k < len(at))
+
+    def learn(self, weights: np.ndarray, cells: np.ndarray) -> None:
+        """Move ``weights`` along the keys that training texts have, and note in ``cells`` what became of each."""
+        for at in self.slices(np.flatnonzero(self.times)):
+            _learn_slice(weights, cells, self.keys[at], self.times[at].astype(np.float32), self.counts(at, 1))
+
+    def log10(self, learnt: Learnt) -> np.ndarray:
+        """log10 of the probability of each key's byte after its context."""
+        out = np.zeros(len(self.keys))
+        for at in self.slices(np.arange(len(self.keys))):
+            inputs = ((_inputs([stretch(n) for n in known])[0], _known(known)) for known in self.counts(at, 0))
+            out[at] = _log10(learnt.weights, learnt.ones, learnt.total, self.keys[at], inputs)
+        return out
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as gaps, byte by byte, compressed."""
+    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return zlib.compress(gaps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_keys(content: bytes, size: int) -> np.ndarray:
+    gaps = np.frombuffer(zlib.decompress(content), dtype=np.uint8).reshape(8, size).T.copy().view("<u8").ravel()
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
+def _owners(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, by the two bytes before its byte: all its contexts end with them."""
+    return (mix(keys >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _tallied_keys(texts: list[bytes], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys of the texts and their counts in the training ones."""
+    found, counts = [], []
     for first, last in batches(texts, BATCH_BYTES):
         keys, upto = byte_keys(texts[first:last])
-        distinct, place = np.unique(keys, return_inverse=True)
-        sums = np.concatenate([[0.0], np.cumsum(log10_of_keys(mixer, distinct)[place])])
-        ends = np.concatenate([[0], upto])
-        out[first:last] = sums[ends[1:]] - sums[ends[:-1]]
-    return out
+        # A key has 56 bits, so there is one left for whether it is learnt from.
+        keys <<= np.uint64(1)
+        keys |= np.repeat(training[first:last], np.diff(np.concatenate([[0], upto]))).astype(np.uint64)
+        keys.sort()
+        learnt = np.concatenate([[0], np.cumsum(keys & np.uint64(1), dtype=np.int64)])
+        keys >>= np.uint64(1)
+        edges = _edges(keys)
+        found.append(keys[edges[:-1]])
+        counts.append(np.diff(learnt[edges]))
+    if len(found) == 1:
+        return found[0], counts[0]
+    distinct, place = np.unique(np.concatenate(found), return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
+
+
+def _edges(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin, and the end."""
+    return np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
 
 
-def _distinct_keys(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def _key_requests(rows: DataFrame, buckets: int) -> DataFrame:
+    """Per block and bucket: its distinct keys and how often its training texts have them."""
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for block, part in frame.groupby("block", sort=False):
+                distinct, counts = _tallied_keys(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
+                owner = _owners(distinct, buckets)
+                order = np.argsort(owner, kind="stable")
+                edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+                out = []
+                for k in range(buckets):
+                    chosen = order[edges[k] : edges[k + 1]]
+                    if len(chosen):
+                        own = zlib.compress(counts[chosen].astype("<u4").tobytes(), 1)
+                        out.append((k, block, len(chosen), packed_keys(distinct[chosen]), own))
+                yield pd.DataFrame(out, columns=["bucket", "block", "size", "keys", "counts"])
+
+    return rows.mapInPandas(ask, KEY_REQUESTS)
+
+
+def _gathered(frame: pd.DataFrame) -> tuple[Contexts, list[np.ndarray]]:
+    """The contexts of a bucket, and what each of its requests asked for as places of their keys."""
+    asked = [unpacked_keys(k, n) for k, n in zip(frame["keys"], frame["size"], strict=True)]
+    counts = np.concatenate([np.frombuffer(zlib.decompress(x), dtype="<u4") for x in frame["counts"]])
+    distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
+    times = np.bincount(place, counts, len(distinct)).astype(np.int64)
+    return Contexts(distinct, times), np.split(place, np.cumsum(frame["size"].to_numpy(np.int64))[:-1])
+
+
+def _key_replies(requests: DataFrame, learnt) -> DataFrame:
+    """The probabilities (log10) that each block asked for, in the order of its keys; buckets count from -1 down."""
+
+    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        contexts, places = _gathered(frame)
+        logs = contexts.log10(learnt.value).astype("<f4")
+        out = frame[["block"]].copy()
+        out["bucket"], out["words"] = -1 - frame["bucket"], b""
+        out["counts"] = [logs[p].tobytes() for p in places]
+        return out
+
+    return requests.groupBy("bucket").applyInPandas(answer, REPLIES)
+
+
+def log10_of_texts(texts: Sequence[bytes], buckets: int, replies: dict[int, np.ndarray]) -> np.ndarray:
+    """log10 of the probability of each whole text and its end, from the replies by bucket to their block."""
+    keys, _ = _tallied_keys(list(texts), np.zeros(len(texts), dtype=bool))
+    order = np.argsort(_owners(keys, buckets), kind="stable")
+    logs = np.empty(len(keys))
+    logs[order] = np.concatenate([replies[k] for k in sorted(replies)])
+    out = np.zeros(len(texts))
     for first, last in batches(texts, BATCH_BYTES):
-        keys, _ = byte_keys(texts[first:last])
-        yield *np.unique(keys, return_counts=True), len(keys)
+        own, upto = byte_keys(texts[first:last])
+        order = np.argsort(own)
+        edges = _edges(own[order])
+        of_key = np.empty(len(own))
+        of_key[order] = np.repeat(logs[np.searchsorted(keys, own[order[edges[:-1]]])], np.diff(edges))
+        sums = np.concatenate([[0.0], np.cumsum(of_key)])
+        ends = np.concatenate([[0], upto])
+        out[first:last] = sums[ends[1:]] - sums[ends[:-1]]
+    return out
 
 
 def _summed(tables: DataFrame) -> dict[tuple[int, int], np.ndarray]:
@@ -221,48 +398,27 @@ def _summed(tables: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     return {(r["kind"], r["range"]): np.frombuffer(zlib.decompress(r["content"]), dtype="<f4") for r in rows}
 
 
-def train_mixer(texts: DataFrame) -> Mixer:
-    """Learn from all rows of ``texts`` (``text``). What reaches the driver has a fixed size.
+def train_mixer(requests: DataFrame) -> Learnt:
+    """Learn from the counts of all key requests. What reaches the driver has a fixed size.
 
     Without any text all predictions are even.
     """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = np.zeros((len(ORDERS), 2 * SLOTS), dtype=np.float32)
-        for frame in frames:
-            for keys, times, _ in _distinct_keys(encoded(frame["text"])):
-                count_bits(keys, times.astype(np.float32), tables)
-        for kind, table in enumerate(tables):
-            for part, content in enumerate(np.split(table, RANGES)):
-                if content.any():
-                    packed = zlib.compress(content.astype("<f4").tobytes(), 1)
-                    yield pd.DataFrame([(kind, part, packed)], columns=["kind", "range", "content"])
-
-    counts = np.zeros((len(ORDERS), SLOTS, 2), dtype=np.float32)
-    size = SLOTS // RANGES
-    for (kind, part), content in _summed(texts.select("text").mapInPandas(count, TABLES)).items():
-        counts[kind, part * size : (part + 1) * size] = content.reshape(-1, 2)
-    shared = texts.sparkSession.sparkContext.broadcast(counts)
-
-    def weigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = start_weights()
-        cells, size = np.zeros((2, 256 * CELLS)), 0
-        for frame in frames:
-            for keys, times, total in _distinct_keys(encoded(frame["text"])):
-                learn_weights(shared.value, weights, keys, times, cells)
-                size += total
-        if size:
-            arrays = (weights.ravel() * size, np.array([float(size)]), cells[0], cells[1])
-            rows = [(kind, 0, zlib.compress(a.astype("<f4").tobytes(), 1)) for kind, a in enumerate(arrays)]
-            yield pd.DataFrame(rows, columns=["kind", "range", "content"])
-
-    stretched = stretch(counts)
-    learnt = _summed(texts.select("text").mapInPandas(weigh, TABLES))
-    if not learnt:
+    def weigh(frame: pd.DataFrame) -> pd.DataFrame:
+        contexts, _ = _gathered(frame)
+        weights, cells = start_weights(), np.zeros((2, 256 * CELLS))
+        contexts.learn(weights, cells)
+        size = float(contexts.times.sum())
+        arrays = (weights.ravel() * size, np.array([size]), cells[0], cells[1])
+        rows = [(kind, 0, zlib.compress(a.astype("<f4").tobytes(), 1)) for kind, a in enumerate(arrays)]
+        return pd.DataFrame(rows, columns=["kind", "range", "content"])
+
+    learnt = _summed(requests.groupBy("bucket").applyInPandas(weigh, TABLES))
+    if not learnt or not learnt[1, 0][0]:
         none = np.zeros(256 * CELLS)
-        return Mixer(stretched, start_weights(), none, none)
+        return Learnt(start_weights(), none, none)
     weights = learnt[0, 0].astype(np.float64).reshape(8, len(ORDERS) + 1, -1) / float(learnt[1, 0][0])
-    return Mixer(stretched, weights, learnt[2, 0].astype(np.float64), learnt[3, 0].astype(np.float64))
+    return Learnt(weights, learnt[2, 0].astype(np.float64), learnt[3, 0].astype(np.float64))
 
 
 END_WORD = np.uint64(0)
@@ -346,9 +502,15 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     # One row per bucket, as many as shuffle partitions.
     sums = [np.frombuffer(r["counts"], dtype="<i8") for r in totals.select("counts").collect()]
     tokens, distinct = (int(x) for x in np.sum([*sums, np.zeros(2, np.int64)], axis=0))
-    mixer = docs.sparkSession.sparkContext.broadcast(train_mixer(rows.filter("training")))
+    key_buckets = BUCKETS * buckets
+    key_requests = materialize(_key_requests(rows, key_buckets), "key-requests")
+    learnt = docs.sparkSession.sparkContext.broadcast(train_mixer(key_requests))
+    replies = replies.select("block", "bucket", "words", "counts").union(_key_replies(key_requests, learnt))
 
     def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        of_keys = found[found["bucket"] < 0]
+        logs_of = {-1 - b: np.frombuffer(x, dtype="<f4") for b, x in zip(of_keys["bucket"], of_keys["counts"], strict=True)}
+        found = found[found["bucket"] >= 0]
         words = np.concatenate([np.frombuffer(x, dtype="<u8") for x in found["words"]])
         counts = np.concatenate([np.frombuffer(x, dtype="<i8") for x in found["counts"]])
         order = np.argsort(words)
@@ -370,7 +532,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
                 "n_known": known,
                 "train_tokens": tokens,
                 "base_score": base,
-                "score": log10_of_texts(mixer.value, coded),
+                "score": log10_of_texts(coded, key_buckets, logs_of),
                 "n_bytes": [len(t) for t in coded],
             }
         )

@@ -364,6 +364,43 @@ def test_mixer_is_a_distribution():
     assert math.isclose((10 ** context_mixing.log10_of_keys(mixer, every)).sum(), 1.0, rel_tol=1e-3)
 
 
+def test_contexts_are_counted_one_by_one():
+    # More contexts than hashed tables had slots: none shares its counts with another.
+    rng = np.random.default_rng(4)
+    text = bytes(rng.integers(97, 123, 400_000, dtype=np.uint8))
+    keys, times = context_mixing._tallied_keys([text, b"not learnt"], np.array([True, False]))
+    contexts = context_mixing.Contexts(keys, times)
+    padded = bytes([context_mixing.END]) * context_mixing.LONGEST + text + bytes([context_mixing.END])
+    for length, sums in zip(context_mixing.ORDERS, contexts.sums, strict=True):
+        seen = collections.Counter(padded[k - length : k] for k in range(context_mixing.LONGEST, len(padded)))
+        whole = [int(k).to_bytes(7, "big") for k in keys[::997]]
+        assert [seen[k[6 - length : 6]] for k in whole] == sums[0, ::997].astype(int).tolist()
+    assert (contexts.sums[-1][8] == times).all() and times.sum() == len(text) + 1
+    assert len(keys) * 8 > context_mixing.SLOTS
+    at = np.flatnonzero(contexts.keys & np.uint64(0xFF))[:50]
+    for place, counts in enumerate(contexts.counts(at, 0)):
+        bit = (keys[at] >> np.uint64(7 - place) & np.uint64(1)).astype(int)
+        for sums, n in zip(contexts.sums, counts, strict=True):
+            assert (n[np.arange(len(at)), bit] == sums[place + 1, at]).all() and (n.sum(axis=1) == sums[place, at]).all()
+
+
+def test_exact_mixer_is_a_distribution():
+    text = b"the cat sat on the mat " * 20
+    before = b"cat sa"
+    every = int.from_bytes(before + bytes([0]), "big") + np.arange(256, dtype=np.uint64)
+    keys, times = context_mixing._tallied_keys([text], np.array([True]))
+    joined = np.union1d(keys, every)
+    all_times = np.zeros(len(joined), np.int64)
+    all_times[np.searchsorted(joined, keys)] = times
+    contexts = context_mixing.Contexts(joined, all_times)
+    weights, cells = context_mixing.start_weights(), np.zeros((2, 256 * context_mixing.CELLS))
+    contexts.learn(weights, cells)
+    logs = contexts.log10(context_mixing.Learnt(weights, cells[0], cells[1]))[np.searchsorted(joined, every)]
+    assert math.isclose((10**logs).sum(), 1.0, rel_tol=1e-3) and logs.argmax() == ord("t")
+    packed = context_mixing.packed_keys(joined)
+    assert (context_mixing.unpacked_keys(packed, len(joined)) == joined).all()
+
+
 # Vector search
 
 
