@@ -132,7 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """Fit on labelled documents (``quality`` 0 or 1 of ``labels``) where ``usable`` holds.
 
     The fit runs in one task on at most 2 * SAMPLE whole texts. Labels other than 0 and 1, null
-    ids and labels without a document are left out; an id with both labels counts for each.
+    ids and labels without a document are left out; an id with both labels counts for each. Of rows
+    that share an id, the text with the smallest hash is the one that is learnt from.
     """
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
@@ -145,7 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     # At most 2 * SAMPLE rows of two numbers.
     chosen = F.broadcast(chosen[0].union(chosen[1]).select(F.col("doc_id").alias("labelled"), "label"))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = sample.join(chosen, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "label")
+    sample = sample.join(chosen, F.col("doc_id") == F.col("labelled"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    sample = sample.groupBy("doc_id", "label").agg(one).select("doc_id", "text", "label")
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(frames)

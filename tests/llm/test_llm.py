@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skyledger.llm import (
@@ -558,6 +559,15 @@ def test_quality_on_held_out_rows(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_repeated_rows_of_an_id_are_learnt_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labelled = labels.filter("quality IN (0, 1)").select("doc_id").join(docs, "doc_id").orderBy("doc_id").limit(1)
+    repeated = docs.union(labelled.join(spark.range(100).select(), F.lit(True)))
+    one, many = (nbsvm.train(d, labels, F.lit(True)) for d in (docs, repeated))
+    assert one.weights.any() and (one.weights == many.weights).all() and one.bias == many.bias
+
+
 def test_quality_without_labels_and_edges(spark):
     docs = _docs(spark, EDGES)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int, label int")
