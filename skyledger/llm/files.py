@@ -37,3 +37,7 @@ class SharedFolder:
         with self.system.open_input_file(f"{self.path}/{name}") as source:
             source.seek(start)
             return source.read(length)
+
+    def read_all(self, name: str) -> bytes:
+        with self.system.open_input_stream(f"{self.path}/{name}") as source:
+            return source.read()

@@ -14,6 +14,7 @@ BATCH_BYTES = 1 << 21
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 # All of ASCII but letters and digits.
@@ -63,16 +64,17 @@ def word_bounds(buffer: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.n
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(texts: Sequence[bytes], breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[bytes], breaks: np.ndarray = IS_SPACE, letters: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the number of words up to its end.
 
     ``breaks`` says which bytes are not part of a word; line feed and space must be among them.
+    ``letters`` replaces each byte first; AS_IS leaves them unchanged.
 
     A word is hashed eight bytes at a time, all words of the batch at once; only the words that
     are longer take part in the next round.
     """
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    buffer = LOWER[np.frombuffer(b"\n".join([*texts, b" " * 8]), dtype=np.uint8)]
+    buffer = letters[np.frombuffer(b"\n".join([*texts, b" " * 8]), dtype=np.uint8)]
     starts, ends = word_bounds(buffer, breaks)
     upto = np.searchsorted(starts, np.cumsum(sizes), "left")
     if not len(starts):
