@@ -72,3 +72,43 @@ left_over AS (
 SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(lists.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM split LEFT JOIN lists USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
+
+ORACLE["op12_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), crcs AS (
+  SELECT conv_id, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: CASE WHEN xor(a, x) & 1 = 1 THEN xor(xor(a, x) >> 1, 3988292384) ELSE xor(a, x) >> 1 END) AS c
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor(c, 4294967295) % 9 AS h FROM crcs),
+parts AS (
+  SELECT convs.conv_id, 0 AS part, p, role, text FROM convs JOIN turns ON turns.conv_id = convs.base AND p <= h
+  UNION ALL
+  SELECT convs.conv_id, 1 AS part, p, role, text FROM convs JOIN turns ON turns.conv_id = convs.conv_id AND p > h
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+    sha256(octet_length(encode(role)) || ':' || role || text) AS digest, octet_length(encode(text)) AS bytes FROM parts
+), prefixes AS (
+  SELECT conv_id, i AS depth, n, bytes, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY i) AS prefix FROM rebuilt
+  UNION ALL
+  SELECT convs.conv_id, 0, coalesce(max(n), 0), 0, '' FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY convs.conv_id
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends
+  FROM prefixes GROUP BY prefix, depth
+), children AS (
+  SELECT parent.prefix, count(child.prefix) AS n FROM nodes parent LEFT JOIN nodes child
+    ON child.depth = parent.depth + 1 AND left(child.prefix, 64 * parent.depth) = parent.prefix GROUP BY parent.prefix
+), counted AS (SELECT nodes.*, children.n AS n_children FROM nodes JOIN children USING (prefix)),
+subtrees AS (
+  SELECT top.prefix, CAST(sum(CASE WHEN below.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+    CAST(sum((below.n_convs - 1) * below.bytes) AS BIGINT) AS saved_tokens
+  FROM counted top JOIN counted below ON below.depth >= top.depth AND left(below.prefix, 64 * top.depth) = top.prefix GROUP BY top.prefix
+)
+SELECT counted.conv_id, CAST(counted.depth AS BIGINT) AS depth, CAST(parent.conv_id AS BIGINT) AS parent_conv_id,
+  CAST(counted.n_convs AS BIGINT) AS n_convs, CAST(counted.n_children AS BIGINT) AS n_children, n_leaves, saved_tokens, sha256(counted.ends) AS ends_sha256
+FROM counted JOIN subtrees USING (prefix)
+LEFT JOIN nodes parent ON parent.depth = counted.depth - 1 AND parent.prefix = left(counted.prefix, 64 * (counted.depth - 1))
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_search, context_mixing, decontamination, jaccard_join, licences, nbsvm, packing, pii, substrings, warc, wavelet
+from skyledger.llm import block_search, context_mixing, conversation_trie, decontamination, jaccard_join, licences, nbsvm, packing, pii, substrings, warc, wavelet
 from skyledger.llm.oracle import ORACLE
 from skyledger.llm.shared import in_bucket
 from skyledger.llm.shipping import ship_package
@@ -93,6 +93,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_bucket("doc_id", 4, 2).alias("held_out"), "score", predicted)
 
 
+@query("op12_prefix_trie")
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_repeated_passages")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
