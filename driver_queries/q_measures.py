@@ -154,6 +154,44 @@ def _(spark, sf):
     return both.withColumn("orders_per_unit", div0(F.col("order_count"), F.col("line_quantity")))
 
 
+# Flights know date and airline; revenue and passenger flow know the date only.
+FLIGHTS_BY_DAY = """(SELECT "date", airline_name, count(*) AS flights, count(*) FILTER (WHERE status = 'On Time') AS on_time
+    FROM fact_flight_operations LEFT JOIN dim_date USING (date_key) LEFT JOIN dim_airline USING (airline_key) GROUP BY ALL)"""
+REVENUE_BY_DAY = """(SELECT "date", sum(amount_cad) AS revenue FROM fact_commercial_transactions
+    LEFT JOIN dim_date USING (date_key) GROUP BY ALL)"""
+FLOW_BY_DAY = """(SELECT "date", sum(passengers_processed) AS passengers FROM fact_passenger_flow
+    LEFT JOIN dim_date USING (date_key) GROUP BY ALL)"""
+
+
+@query(
+    "drill_across_partial",
+    with_tables(f"""SELECT {t('x."date"')} AS "date", airline_name, {n('flights')} AS total_flights,
+        {f('nullif(on_time, 0) / CAST(flights AS DOUBLE)', 4)} AS on_time, {f('revenue', 4)} AS revenue
+        FROM {FLIGHTS_BY_DAY} x LEFT JOIN {REVENUE_BY_DAY} y ON x."date" IS NOT DISTINCT FROM y."date\""""),
+    digits=4,
+)
+def _(spark, sf):
+    names = ["Total Flights", "On-Time Performance %", "Total Commercial Revenue"]
+    by = [("dim_date", "date"), ("dim_airline", "airline_name")]
+    result = evaluate(model(spark, sf), names, by)
+    return result.toDF("date", "airline_name", "total_flights", "on_time", "revenue").withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@query(
+    "drill_across_partial_derived",
+    with_tables(f"""SELECT {t('x."date"')} AS "date", airline_name, {n('flights')} AS total_flights,
+        {n('passengers')} AS passengers, {f('CASE WHEN coalesce(passengers, 0) = 0 THEN 0 ELSE revenue / passengers END', 4)} AS revenue_per_passenger
+        FROM {FLIGHTS_BY_DAY} x LEFT JOIN {REVENUE_BY_DAY} y ON x."date" IS NOT DISTINCT FROM y."date"
+        LEFT JOIN {FLOW_BY_DAY} z ON x."date" IS NOT DISTINCT FROM z."date\""""),
+    digits=4,
+)
+def _(spark, sf):
+    names = ["Total Flights", "Total Passengers Processed", "Revenue per Passenger"]
+    by = [("dim_date", "date"), ("dim_airline", "airline_name")]
+    result = evaluate(model(spark, sf), names, by)
+    return result.toDF("date", "airline_name", "total_flights", "passengers", "revenue_per_passenger")
+
+
 # Targets derived from the parts: one open or closed period per part, a KPI code per brand.
 PART_TARGETS = [
     ("kpi_name", "p_name || ' ' || CAST(p_partkey AS STRING)"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -225,6 +226,17 @@ def drill_across(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return stacked.groupBy(*keys).agg(*[F.max(f"`{name}`").alias(name) for name in values])
 
 
+def repeat_beside(groups: DataFrame, part: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The groups with the values of ``part``, which has one row per group of some of their keys.
+
+    Null keys meet null keys, so the blank group keeps its values. Both sides are aggregated, and
+    the join is on equal keys: no group meets another one's rows.
+    """
+    names = {key: f"__{i}_{key}" for i, key in enumerate(keys)}
+    match = reduce(lambda a, b: a & b, [F.col(f"`{key}`").eqNullSafe(F.col(f"`{name}`")) for key, name in names.items()])
+    return groups.join(part.withColumnsRenamed(names), match, "left").drop(*names.values())
+
+
 def _aggregate_fact(
     model: Model, fact: str, wanted: dict[str, Measure], by: Sequence[tuple[str, str]]
 ) -> list[DataFrame]:
@@ -267,8 +279,11 @@ def evaluate_base(
 
     Measures are grouped by fact, so every fact is scanned once, aggregated to the groups, and
     only then brought together. A fact without a relationship to an attribute gives the same
-    total to each member of it. Where a ratio with alternate 0 is asked for, the members of the
-    dimension without any fact row are groups too.
+    total to each member of it: one that is related to none of the attributes is a single row,
+    one that is related to some is aggregated to those and repeated beside the groups of the
+    other measures that agree on them (blank groups included). The groups themselves come from the
+    measures related to every attribute, and there must be one. Where a ratio with alternate 0 is
+    asked for, the members of the dimension without any fact row are groups too.
     """
     keys = [column for _, column in by]
     needed = with_inputs(measures, registry)
@@ -284,7 +299,7 @@ def evaluate_base(
         tables.add(model.date_dimension)
     model = propagate_filters(restrict(model, tables), filters)
 
-    related, totals = [], []
+    related, totals, partial = [], [], []
     for fact, wanted in base.items():
         reachable = [
             (table, column) for table, column in by if table == fact or model.key_between(fact, table) is not None
@@ -292,7 +307,8 @@ def evaluate_base(
         if len(reachable) == len(by):
             related += _aggregate_fact(model, fact, wanted, by)
         elif reachable:
-            raise ValueError(f"{fact} is related to some of the attributes only: {by}")
+            shared = [column for _, column in reachable]
+            partial += [(part, shared) for part in _aggregate_fact(model, fact, wanted, reachable)]
         else:
             totals += _aggregate_fact(model, fact, wanted, [])
 
@@ -311,6 +327,8 @@ def evaluate_base(
     if not related:
         raise ValueError(f"no measure to evaluate by {by}")
     result = drill_across(related, keys)
+    for part, shared in partial:
+        result = repeat_beside(result, part, shared)
     for part in totals:
         # One scalar subquery per part; its fields are unpacked beside every group.
         row = part.select(F.struct(*[f"`{name}`" for name in part.columns])).scalar()
