@@ -6,6 +6,7 @@ from driver_queries.registry import ORACLE, QUERIES
 
 MODULES = [
     "q_sources",
+    "q_writing",
     "q_quality",
     "q_cleaning",
     "q_dimensions",

@@ -1,23 +1,38 @@
+from skyledger.sources.checked import CheckFailed, observed, write_checked
 from skyledger.sources.readers import (
+    MALFORMED,
     jdbc_options,
     scan_csv_strings,
+    scan_delimited_checked,
     scan_delimited_noheader,
     scan_jdbc,
+    scan_json_checked,
     scan_json_nested,
     scan_layer,
     scan_table,
 )
+from skyledger.sources.versioned import remove_old_versions, replace_table, scan_version, table_log
 from skyledger.sources.writers import literal_rows, sink_overwrite, sink_overwrite_schema
 
 __all__ = [
+    "CheckFailed",
+    "MALFORMED",
     "jdbc_options",
     "literal_rows",
+    "observed",
+    "remove_old_versions",
+    "replace_table",
     "scan_csv_strings",
+    "scan_delimited_checked",
     "scan_delimited_noheader",
     "scan_jdbc",
+    "scan_json_checked",
     "scan_json_nested",
     "scan_layer",
     "scan_table",
+    "scan_version",
     "sink_overwrite",
     "sink_overwrite_schema",
+    "table_log",
+    "write_checked",
 ]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Holds the whole record where a checked scan could not read it as declared, else null.
+MALFORMED = "__malformed_record"
+
 
 def jdbc_options(
     url: str,
@@ -71,6 +74,21 @@ def scan_delimited_noheader(spark: SparkSession, path: str, columns: list[str],
     return spark.read.schema(schema).option("header", False).option("sep", sep).option("encoding", "UTF-8").csv(path)
 
 
+def scan_delimited_checked(
+    spark: SparkSession, path: str, columns: list[str], sep: str = ",", header: bool = False
+) -> DataFrame:
+    """Delimited text, every column a string, with MALFORMED for records of more or fewer fields."""
+    schema = ", ".join(f"`{name}` string" for name in columns) + f", {MALFORMED} string"
+    reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+    return reader.option("escape", "\\").option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+
+
+def scan_json_checked(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines, with MALFORMED for lines that are no JSON or do not fit the schema."""
+    reader = spark.read.schema(f"{schema}, {MALFORMED} string").option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).json(path)
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by name."""
     return spark.read.table(name)
