@@ -99,7 +99,7 @@ def test_checks_are_made_by_the_write_job(spark, tmp_path):
 
     assert jobs_of(spark, write) == 1
     found = {r["check_name"]: r["row_count"] for r in counts[0].collect()}
-    assert found == {"rows": 100, "x small": 37, "a`b": 0, "x is null": 25}
+    assert found == {"rows": 100, "x small": 38, "a`b": 0, "x is null": 25}
     with pytest.raises(ValueError, match="one name"):
         write_checked(rows, str(tmp_path / "t"), {"x is null": F.col("id") > 0}, ["x"])
 
