@@ -106,8 +106,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, length: int =
         task = 0
         for frame in frames:
             rows = []
-            for task, doc_id, text in zip(frame["task"].tolist(), ids_of(frame), frame["text"], strict=True):
-                ids = code.encode(text) + end
+            for task, doc_id, content in zip(frame["task"].tolist(), ids_of(frame), code.encode_all(frame["text"]), strict=True):
+                ids = content + end
                 tokens = len(ids) // 4
                 whole = tokens // length * length
                 for start in range(0, whole, length):

@@ -177,8 +177,8 @@ def write_wavelet_files(docs: DataFrame, folder: str, vocabulary: str, end_id: i
 
         for frame in frames:
             number = int(frame["range"].iloc[0]) if len(frame) else 0
-            for doc_id, text in zip(ids_of(frame), frame["text"], strict=True):
-                ids = code.encode(text) + end
+            for doc_id, content in zip(ids_of(frame), code.encode_all(frame["text"]), strict=True):
+                ids = content + end
                 held.append(ids)
                 doc_ids.append(None if doc_id is pd.NA else doc_id)
                 tokens += len(ids) // 4

@@ -88,17 +88,20 @@ def test_word_hashes_tell_words_apart():
     assert len(word_hashes(encoded(["a.b, c"]), IS_MARK)[0]) == 3
 
 
+@pytest.mark.parametrize("plain_names", [False, True])
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_pieces_give_the_ids_of_whole_texts(file, spark, sf_dir):
+def test_pieces_give_the_ids_of_whole_texts(file, plain_names, spark, sf_dir):
     path = public_tokenizers.path(file)
-    plain, own, rng = Tokenizer.from_file(path), Encoder(path), random.Random(2)
-    plain.encode_special_tokens = True
+    plain, own, rng = Tokenizer.from_file(path), Encoder(path, plain_names), random.Random(2)
+    if plain_names:
+        plain.encode_special_tokens = True
     signs = ["a", "B", " ", "  ", "\n", "\t", "\xa0", " ", "é", "'s", "!", "12", "\x1c", "́", "<|endoftext|>", "Σ", "中", "🙂", "İ", "..."]
+    signs += ["<|ENDOFTEXT|>", "<|", "\nWord", "\n\n", "ab.", "Élan,"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     texts += [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
-    for text in texts:
+    for text, together in zip(texts, own.encode_all(texts), strict=True):
         ids = plain.encode(text, add_special_tokens=False).ids
-        assert own.encode(text) == np.array(ids, dtype="<u4").tobytes(), ascii(text)
+        assert own.encode(text) == together == np.array(ids, dtype="<u4").tobytes(), ascii(text)
 
 
 def test_wavelet_files_keep_every_token(spark, sf_dir, many_ranges):
