@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import block_search, context_mixing, conversation_trie, decontamination, jaccard_join, licences, nbsvm, packing, pii, substrings, warc, wavelet
+from skyledger.llm import alignment, block_search, context_mixing, conversation_trie, decontamination, jaccard_join, licences, nbsvm, packing, pii, substrings, warc, wavelet
 from skyledger.llm.oracle import ORACLE
 from skyledger.llm.shared import in_bucket
 from skyledger.llm.shipping import ship_package
@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -93,6 +94,13 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_bucket("doc_id", 4, 2).alias("held_out"), "score", predicted)
 
 
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256")
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 @query("op12_prefix_trie")
 def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
