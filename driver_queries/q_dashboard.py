@@ -173,12 +173,7 @@ def _cards_sql(measures, where):
 
 @query("card_kpi_target", _cards_sql(list(STATUS_DIRECTION), SLICER_SQL), digits=4)
 def _(spark, sf):
-    m = model(spark, sf)
-    cards = [D.card_kpi_target(m, measure, slicer()) for measure in STATUS_DIRECTION]
-    result = cards[0]
-    for card in cards[1:]:
-        result = result.unionByName(card)
-    return result
+    return D.cards_kpi_target(model(spark, sf), list(STATUS_DIRECTION), slicer())
 
 
 SINGLE = [

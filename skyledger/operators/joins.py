@@ -68,14 +68,15 @@ def _key(column: Column, kind: str, is_float: bool) -> Column:
     return column.cast(kind) + F.lit(0).cast(kind) if is_float else column.cast(kind)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
+def fits_broadcast(df: DataFrame, rows_each: int = 1) -> bool:
     """True if the optimizer's size estimate of ``df`` is below spark.sql.autoBroadcastJoinThreshold.
 
-    Estimates of joins and aggregates are upper bounds, so an unsure case counts as large.
+    Estimates of joins and aggregates are upper bounds, so an unsure case counts as large. They
+    leave out what a row is unrolled to: ``rows_each`` is how many rows become of one at most.
     """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= limit
+    return int(size) * rows_each <= limit
 
 
 def hot_keys(df: DataFrame, on: Sequence[str | Column], share: float = HOT_SHARE) -> DataFrame:

@@ -39,6 +39,21 @@ def card_kpi_target(model: Model, measure: str, filters: Sequence[Filter] = ())
     )
 
 
+def cards_kpi_target(model: Model, measures: Sequence[str], filters: Sequence[Filter] = ()) -> DataFrame:
+    """The target cards of several measures, one row each, from one evaluation."""
+    names = {measure: [measure, *TARGET_CARDS[measure]] for measure in measures}
+    row = evaluate(model, [name for own in names.values() for name in own], filters=filters)
+    cards = [
+        F.struct(
+            F.lit(measure).alias("measure"),
+            *[F.col(f"`{name}`").cast("double").alias(out) for name, out in zip(own[:3], ["actual", "target", "variance"], strict=True)],
+            F.col(f"`{own[3]}`").alias("status"),
+        )
+        for measure, own in names.items()
+    ]
+    return row.select(F.inline(F.array(*cards)))
+
+
 def trend_by_date(model: Model, measures: Sequence[str], filters: Sequence[Filter] = ()) -> DataFrame:
     """Measures per date, ascending. Facts without a date form the blank group."""
     return evaluate(model, measures, by=[DATE], filters=filters).orderBy(F.asc_nulls_first("date"))

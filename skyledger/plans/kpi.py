@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import normalize_text
+from skyledger.plans import daily
 from skyledger.plans.context import Filter, Model, filter_date_between
-from skyledger.plans.measures import derive, evaluate, evaluate_base, long_form
+from skyledger.plans.measures import MEASURES, derive, evaluate, evaluate_base, long_form
 from skyledger.session import materialize
 
 # Metric, page, unit, kind (nonnegative, rate or signed), aliases.
@@ -203,10 +204,16 @@ def _by_period(model: Model, periods: DataFrame) -> Model:
 def kpi_by_period(model: Model, metrics: Sequence[str], periods: DataFrame, filters: Sequence[Filter] = ()) -> DataFrame:
     """Metrics per row of a table of periods (label, start_date, end_date), in long form.
 
-    A period without facts keeps its row: blank, or 0 for a ratio with alternate 0.
+    A period without facts keeps its row: blank, or 0 for a ratio with alternate 0. Each fact is
+    reduced to its days once and the periods are rolled up from those; metrics that cannot be
+    merged over days (targets) are evaluated on a calendar joined to the periods.
     """
-    by = [("dim_date", column) for column in PERIOD_COLUMNS]
-    base = evaluate_base(_by_period(model, periods), metrics, by=by, filters=filters)
+    if daily.can_roll_up(model, metrics, MEASURES):
+        states = daily.daily_states(model, metrics, MEASURES, filters)
+        base = daily.by_period(states, model.dimensions[model.date_dimension], periods, PERIOD_COLUMNS)
+    else:
+        by = [("dim_date", column) for column in PERIOD_COLUMNS]
+        base = evaluate_base(_by_period(model, periods), metrics, by=by, filters=filters)
     wide = derive(periods.join(base, PERIOD_COLUMNS, "left"), metrics)
     return long_form(wide, periods.columns, metrics).drop("text_value")
 

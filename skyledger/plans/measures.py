@@ -21,13 +21,27 @@ SUSTAINABILITY = "fact_sustainability_daily"
 FEEDBACK = "fact_passenger_feedback"
 
 
+@dataclass(frozen=True)
+class Part:
+    """A partial aggregate that can be kept per day and merged over days."""
+
+    build: Callable[[], Column]
+    merge: Callable[[str], Column] = F.sum
+
+
 @dataclass(frozen=True)
 class Aggregate:
-    """An aggregate over one fact. ``columns`` are the fact columns it reads."""
+    """An aggregate over one fact. ``columns`` are the fact columns it reads.
+
+    With ``parts`` it is also ``finish`` of their merged values, so it can be rolled up from
+    partial results instead of rows.
+    """
 
     fact: str
     columns: tuple[str, ...]
     build: Callable[[], Column]
+    parts: tuple[Part, ...] = ()
+    finish: Callable[..., Column] = lambda value: value
 
 
 @dataclass(frozen=True)
@@ -62,19 +76,36 @@ Measure = Aggregate | GroupMean | Derived | AsOfTarget
 
 
 def _rows(fact: str) -> Aggregate:
-    return Aggregate(fact, (), lambda: blank_if_zero(F.count(F.lit(1))))
+    part = Part(lambda: F.count(F.lit(1)))
+    return Aggregate(fact, (), lambda: blank_if_zero(F.count(F.lit(1))), (part,), blank_if_zero)
 
 
 def _sum(fact: str, column: str) -> Aggregate:
-    return Aggregate(fact, (column,), lambda: F.sum(column))
+    return Aggregate(fact, (column,), lambda: F.sum(column), (Part(lambda: F.sum(column)),))
 
 
 def _avg(fact: str, column: str) -> Aggregate:
-    return Aggregate(fact, (column,), lambda: F.avg(column))
+    parts = (Part(lambda: F.sum(column)), Part(lambda: F.count(column)))
+    return Aggregate(fact, (column,), lambda: F.avg(column), parts, F.try_divide)
+
+
+def _max(fact: str, column: str) -> Aggregate:
+    return Aggregate(fact, (column,), lambda: F.max(column), (Part(lambda: F.max(column), F.max),))
+
+
+def _weighted(fact: str, value: str, weight: str) -> Aggregate:
+    parts = (Part(lambda: F.sum(F.col(value) * F.col(weight))), Part(lambda: F.sum(weight)))
+    return Aggregate(fact, (value, weight), lambda: weighted_avg(F.col(value), F.col(weight)), parts, F.try_divide)
+
+
+def _sum_where(fact: str, column: str, condition: Callable[[Column], Column]) -> Aggregate:
+    part = Part(lambda: F.sum(F.when(condition(F.col(column)), F.col(column))))
+    return Aggregate(fact, (column,), part.build, (part,))
 
 
 def _rows_where(fact: str, column: str, condition: Callable[[Column], Column]) -> Aggregate:
-    return Aggregate(fact, (column,), lambda: blank_if_zero(F.count_if(condition(F.col(column)))))
+    part = Part(lambda: F.count_if(condition(F.col(column))))
+    return Aggregate(fact, (column,), lambda: blank_if_zero(part.build()), (part,), blank_if_zero)
 
 
 def _ratio0(numerator: str, denominator: str) -> Derived:
@@ -103,14 +134,8 @@ MEASURES: dict[str, Measure] = {
     "Average Delay Minutes": _avg(FLIGHTS, "delay_minutes"),
     # passenger flow
     "Total Passengers Processed": _sum(FLOW, "passengers_processed"),
-    "Average Security Wait Time": Aggregate(
-        FLOW,
-        ("avg_security_wait_min", "passengers_processed"),
-        lambda: weighted_avg(F.col("avg_security_wait_min"), F.col("passengers_processed")),
-    ),
-    "Maximum Security Wait Time": Aggregate(
-        FLOW, ("avg_security_wait_min",), lambda: F.max("avg_security_wait_min")
-    ),
+    "Average Security Wait Time": _weighted(FLOW, "avg_security_wait_min", "passengers_processed"),
+    "Maximum Security Wait Time": _max(FLOW, "avg_security_wait_min"),
     "Average Passengers per Hour": GroupMean(FLOW, ("date_key", "hour"), "passengers_processed"),
     # baggage
     "Total Bags Processed": _sum(BAGGAGE, "bags_processed"),
@@ -122,9 +147,7 @@ MEASURES: dict[str, Measure] = {
     "Total Commercial Revenue": _sum(COMMERCIAL, "amount_cad"),
     "Total Transactions": _rows(COMMERCIAL),
     "Average Transaction Value": _avg(COMMERCIAL, "amount_cad"),
-    "Refund Adjustment Amount": Aggregate(
-        COMMERCIAL, ("amount_cad",), lambda: F.sum(F.when(F.col("amount_cad") < 0, F.col("amount_cad")))
-    ),
+    "Refund Adjustment Amount": _sum_where(COMMERCIAL, "amount_cad", lambda c: c < 0),
     "Refund Adjustment Transactions": _rows_where(COMMERCIAL, "amount_cad", lambda c: c < 0),
     "Refund Adjustment Rate %": _ratio0("Refund Adjustment Transactions", "Total Transactions"),
     # sustainability

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import normalize_text
 from skyledger.operators.joins import keyed_join
+from skyledger.plans import daily
 from skyledger.plans.context import Model
-from skyledger.plans.kpi import KPI_REGISTRY, kpi_by_period, lookup_column, metric_attributes
-from skyledger.plans.measures import evaluate, long_form
+from skyledger.plans.kpi import KPI_REGISTRY, PERIOD_COLUMNS, kpi_by_period, lookup_column, metric_attributes
+from skyledger.plans.measures import MEASURES, derive, evaluate, long_form
 from skyledger.plans.questions import only_period
 from skyledger.session import materialize
 
@@ -99,12 +100,19 @@ def request_period(df: DataFrame, time_expression: str) -> DataFrame:
 def scenario_baselines(model: Model, metrics: Sequence[str], periods: DataFrame) -> DataFrame:
     """The baselines (metric, period, value) of the metrics over a table of periods and over all dates.
 
-    They are written before they are used: one small row per metric and period stands for whole
+    Each fact is scanned once: its written daily state serves the periods and the whole. The
+    baselines are written before they are used: one small row per metric and period stands for whole
     facts, and its size decides how the assumptions are joined to it.
     """
-    values = kpi_by_period(model, metrics, periods)
+    if daily.can_roll_up(model, metrics, MEASURES):
+        states = [state.written() for state in daily.daily_states(model, metrics, MEASURES)]
+        base = daily.by_period(states, model.dimensions[model.date_dimension], periods, PERIOD_COLUMNS)
+        values = long_form(derive(periods.join(base, PERIOD_COLUMNS, "left"), metrics), periods.columns, metrics)
+        overall = long_form(derive(daily.overall(states), metrics), [], metrics)
+    else:
+        values = kpi_by_period(model, metrics, periods)
+        overall = long_form(evaluate(model, metrics), [], metrics)
     rows = values.select(F.col("measure").alias("metric"), F.col("label").alias("period"), "value")
-    overall = long_form(evaluate(model, metrics), [], metrics)
     overall = overall.select(F.col("measure").alias("metric"), F.lit(ALL_DATES).alias("period"), "value")
     return materialize(rows.unionByName(overall), "baselines")
 

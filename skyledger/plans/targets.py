@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.joins import fits_broadcast
 
 # Blocks of 2^0 to 2^22 days: the last level holds all days that a date can name.
 LEVELS = 23
@@ -21,10 +22,27 @@ COVER = f"""filter(flatten(transform(sequence(0, {LEVELS - 1}), k -> transform(
     x -> x IS NOT NULL)"""
 
 
-def _day_number(column: Column) -> Column:
+def day_number(column: Column) -> Column:
     return F.datediff(column, F.lit(DAY_ZERO).cast("date"))
 
 
+def blocks_of_day(number: Column) -> Column:
+    """The block of each length that holds a day, as an array of (level, block)."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", number, k).alias("block"))
+    )
+
+
+def join_on_blocks(left: DataFrame, right: DataFrame, left_source: DataFrame, right_source: DataFrame) -> DataFrame:
+    """Join two tables of (level, block) rows that were unrolled from their sources.
+
+    The optimizer's estimates leave the unrolling out. Where a source is so small that even all its
+    blocks fit a broadcast, the choice is left to it; else the join is asked not to broadcast.
+    """
+    small = fits_broadcast(left_source, 2 * LEVELS) or fits_broadcast(right_source, 2 * LEVELS)
+    return left.join(right if small else right.hint("merge"), ["level", "block"])
+
+
 def target_asof(
     dates: DataFrame, date_column: str, targets: DataFrame, kpi_codes: Sequence[str] | None = None
 ) -> DataFrame:
@@ -33,8 +51,7 @@ def target_asof(
     A target is in force from its start to its end, both inclusive; an open end has no limit.
     An interval is covered by blocks of 2^k days, at most two of each length, and the targets are
     reduced per block; a day looks up the blocks that hold it, one of each length. So dates and
-    targets meet on equal keys, and no interval is unrolled to its days. The estimate of a table
-    ignores such an unroll, so the join is asked not to broadcast.
+    targets meet on equal keys, and no interval is unrolled to its days.
     """
     days = dates.filter(F.col(date_column).isNotNull()).select(F.col(date_column).cast("date").alias("__day")).distinct()
     first = days.agg(F.min("__day")).scalar()
@@ -45,7 +62,7 @@ def target_asof(
     end = F.least(F.coalesce("effective_end_date", last), last)
     intervals = (
         targets.filter(F.col("effective_start_date").isNotNull())
-        .select("kpi_code", "target_value", _day_number(begin).alias("__begin"), _day_number(end).alias("__end"))
+        .select("kpi_code", "target_value", day_number(begin).alias("__begin"), day_number(end).alias("__end"))
         .filter(F.col("__begin") <= F.col("__end"))
         .groupBy("kpi_code", "__begin", "__end")
         .agg(F.max("target_value").alias("target_value"))
@@ -55,11 +72,8 @@ def target_asof(
         .groupBy("kpi_code", "level", "block")
         .agg(F.max("target_value").alias("target_value"))
     )
-    of_day = days.withColumn("__number", _day_number(F.col("__day"))).select(
-        "__day",
-        F.inline(F.expr(f"transform(sequence(0, {LEVELS - 1}), k -> struct(k AS level, shiftright(__number, k) AS block))")),
-    )
-    found = of_day.join(blocks.hint("merge"), ["level", "block"]).groupBy("__day", "kpi_code")
+    of_day = days.select("__day", F.inline(blocks_of_day(day_number(F.col("__day")))))
+    found = join_on_blocks(of_day, blocks, days, targets).groupBy("__day", "kpi_code")
     return found.agg(F.max("target_value").alias("target_value")).withColumnRenamed("__day", date_column)
 
 
