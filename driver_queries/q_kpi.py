@@ -264,6 +264,37 @@ def _(spark, sf):
     return K.kpi_by_period(model(spark, sf), ["Revenue per Passenger"], periods)
 
 
+# One period per order, of up to 400 days: most overlap.
+DAILY = {
+    "revenue": "SELECT \"date\" AS d, sum(amount_cad) AS v FROM fact_commercial_transactions JOIN dim_date USING (date_key) GROUP BY ALL",
+    "wait": "SELECT \"date\" AS d, max(avg_security_wait_min) AS v FROM fact_passenger_flow JOIN dim_date USING (date_key) GROUP BY ALL",
+}
+
+
+@query(
+    "kpi_overlapping_periods",
+    with_tables(
+        f"""SELECT label, {t('start_date')} AS start_date, {t('end_date')} AS end_date, measure, {f('value', 4)} AS value FROM (
+            SELECT label, start_date, end_date, 'Total Commercial Revenue' AS measure, sum(v) AS value
+            FROM spans LEFT JOIN revenue ON d BETWEEN start_date AND end_date GROUP BY ALL
+            UNION ALL SELECT label, start_date, end_date, 'Maximum Security Wait Time', max(v)
+            FROM spans LEFT JOIN wait ON d BETWEEN start_date AND end_date GROUP BY ALL)""",
+        **DAILY,
+        spans="""SELECT CAST(o_orderkey AS VARCHAR) AS label, CAST(o_orderdate AS DATE) AS start_date,
+            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS end_date FROM orders""",
+    ),
+    digits=4,
+)
+def _(spark, sf):
+    start = F.to_date("o_orderdate")
+    periods = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("label"),
+        start.alias("start_date"),
+        F.date_add(start, (F.col("o_orderkey") % 400).cast("int")).alias("end_date"),
+    )
+    return K.kpi_by_period(model(spark, sf), ["Total Commercial Revenue", "Maximum Security Wait Time"], periods)
+
+
 @query(
     "alias_conflicts",
     """SELECT alias, count(DISTINCT p_type) AS metric_count FROM (SELECT lower(p_name) AS alias, p_type FROM part)
