@@ -31,17 +31,12 @@ ORDERS = (2, 3, 4, 6)
 LONGEST = max(ORDERS)
 RANGES = 32
 
-# Tables of hashed slots, for texts that one process holds.
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
-
 # Stands before and after every text; no UTF-8 text has it.
 END = 0xFF
 
 PRIOR = 0.2
 START_WEIGHT = 0.35
 RATE = 1.0
-SLICES = 4
 SURE = 13.0
 CELLS = 33
 CELL_TRUST = 16.0
@@ -69,16 +64,6 @@ SCORES = (
 )
 
 
-@dataclass(frozen=True)
-class Mixer:
-    """Stretched predictions by order and slot, weights by bit, gate and order, and the refining table."""
-
-    stretched: np.ndarray
-    weights: np.ndarray
-    ones: np.ndarray
-    total: np.ndarray
-
-
 def byte_keys(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The key of every byte and end of the texts, and per text the number of keys up to its end."""
     gap = bytes([END]) * LONGEST
@@ -94,15 +79,6 @@ def byte_keys(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[places], upto
 
 
-def _contexts(keys: np.ndarray) -> list[np.ndarray]:
-    before = keys >> np.uint64(8)
-    with np.errstate(over="ignore"):
-        return [
-            mix((before & np.uint64((1 << 8 * order) - 1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order))
-            for order in ORDERS
-        ]
-
-
 def _nodes(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each bit of the byte: the gate (a 1 and the bits so far), and the bit."""
     byte = keys & np.uint64(0xFF)
@@ -110,19 +86,6 @@ def _nodes(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.uint64(1 << k) | byte >> np.uint64(8 - k), (byte >> np.uint64(7 - k)) & np.uint64(1)
 
 
-def _slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        mixed = (context + node * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xA0761D6478BD642F)
-    return (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def count_bits(keys: np.ndarray, times: np.ndarray, tables: np.ndarray) -> None:
-    """Add how often each key's bits were 0 and 1 to ``tables`` (order, slot * 2 + bit)."""
-    for table, context in zip(tables, _contexts(keys), strict=True):
-        for node, bit in _nodes(keys):
-            np.add.at(table, _slots(context, node) * 2 + bit.astype(np.int64), times)
-
-
 def start_weights() -> np.ndarray:
     """Weights by bit of the byte, gate, and order; the last one is of a constant."""
     weights = np.full((8, len(ORDERS) + 1, len(ORDERS) + 1), START_WEIGHT)
@@ -179,25 +142,6 @@ def _known(counts: list[np.ndarray]) -> np.ndarray:
     return np.sum([n.sum(axis=1) > 0 for n in counts], axis=0, dtype=np.int64)
 
 
-def learn_weights(counts: np.ndarray, weights: np.ndarray, keys: np.ndarray, times: np.ndarray, cells: np.ndarray) -> None:
-    """Move ``weights`` along the keys, slice by slice, and note in ``cells`` what became of each prediction.
-
-    Each bit is predicted from the counts without itself: the counts are of the same texts, and
-    a prediction that knows its own bit would be trusted too much.
-    """
-    pairs = counts.view(np.uint64)[..., 0]
-
-    def known(contexts: list[np.ndarray], part: np.ndarray) -> Iterator[list[np.ndarray]]:
-        for node, bit in _nodes(part):
-            own = np.stack([bit ^ np.uint64(1), bit], axis=1).astype(np.float32)
-            found = [pairs[k][_slots(c, node)].view(np.float32).reshape(-1, 2) for k, c in enumerate(contexts)]
-            yield [np.maximum(n - own, 0) for n in found]
-
-    for first in range(SLICES):
-        part = keys[first::SLICES]
-        _learn_slice(weights, cells, part, times[first::SLICES].astype(np.float32), known(_contexts(part), part))
-
-
 def _log10(weights: np.ndarray, ones: np.ndarray, seen: np.ndarray, keys: np.ndarray, inputs: Iterator[tuple]) -> np.ndarray:
     """log10 of the probability of each key's byte; ``inputs`` has predictions and gate per bit."""
     # Half the mixed prediction and half what the cell has seen, as a slope and a shift per cell.
@@ -212,13 +156,6 @@ def _log10(weights: np.ndarray, ones: np.ndarray, seen: np.ndarray, keys: np.nda
     return np.log10(out)
 
 
-def log10_of_keys(mixer: Mixer, keys: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each key's byte after its context, from tables of hashed slots."""
-    contexts = _contexts(keys)
-    inputs = (_inputs([mixer.stretched[k][_slots(c, node)] for k, c in enumerate(contexts)]) for node, _ in _nodes(keys))
-    return _log10(mixer.weights, mixer.ones, mixer.total, keys, inputs)
-
-
 @dataclass(frozen=True)
 class Learnt:
     """Weights by bit, gate and order, and the refining table."""
@@ -317,23 +254,37 @@ def _edges(ordered: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
 
 
+def _whole_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """The rows of each block of a partition together, however they are cut into batches."""
+    rest: pd.DataFrame | None = None
+    for frame in frames:
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        # A partition has its blocks one after the other; the last one may go on in the next batch.
+        open_block = frame["block"].iloc[-1] if len(frame) else None
+        whole = frame["block"] != open_block
+        yield from frame[whole].groupby("block", sort=False)
+        rest = frame[~whole]
+    if rest is not None:
+        yield from rest.groupby("block", sort=False)
+
+
 def _key_requests(rows: DataFrame, buckets: int) -> DataFrame:
     """Per block and bucket: its distinct keys and how often its training texts have them."""
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for block, part in frame.groupby("block", sort=False):
-                distinct, counts = _tallied_keys(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
-                owner = _owners(distinct, buckets)
-                order = np.argsort(owner, kind="stable")
-                edges = np.searchsorted(owner[order], np.arange(buckets + 1))
-                out = []
-                for k in range(buckets):
-                    chosen = order[edges[k] : edges[k + 1]]
-                    if len(chosen):
-                        own = zlib.compress(counts[chosen].astype("<u4").tobytes(), 1)
-                        out.append((k, block, len(chosen), packed_keys(distinct[chosen]), own))
-                yield pd.DataFrame(out, columns=["bucket", "block", "size", "keys", "counts"])
+        for block, part in _whole_blocks(frames):
+            distinct, counts = _tallied_keys(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
+            owner = _owners(distinct, buckets)
+            order = np.argsort(owner, kind="stable")
+            edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+            out = []
+            for k in range(buckets):
+                chosen = order[edges[k] : edges[k + 1]]
+                if len(chosen):
+                    own = zlib.compress(counts[chosen].astype("<u4").tobytes(), 1)
+                    out.append((k, block, len(chosen), packed_keys(distinct[chosen]), own))
+            yield pd.DataFrame(out, columns=["bucket", "block", "size", "keys", "counts"])
 
     return rows.mapInPandas(ask, KEY_REQUESTS)
 
@@ -439,19 +390,18 @@ def _requests(rows: DataFrame, buckets: int) -> DataFrame:
     """Per block and range of hashes: its distinct words and how often its training texts have them."""
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for block, part in frame.groupby("block", sort=False):
-                distinct, counts = _tally(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
-                owner = (distinct % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(owner, kind="stable")
-                edges = np.searchsorted(owner[order], np.arange(buckets + 1))
-                out = []
-                for k in range(buckets):
-                    chosen = order[edges[k] : edges[k + 1]]
-                    if len(chosen):
-                        own = counts[chosen].astype("<u4")
-                        out.append((k, block, distinct[chosen].astype("<u8").tobytes(), own.tobytes()))
-                yield pd.DataFrame(out, columns=["bucket", "block", "words", "counts"])
+        for block, part in _whole_blocks(frames):
+            distinct, counts = _tally(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
+            owner = (distinct % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(owner, kind="stable")
+            edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+            out = []
+            for k in range(buckets):
+                chosen = order[edges[k] : edges[k + 1]]
+                if len(chosen):
+                    own = counts[chosen].astype("<u4")
+                    out.append((k, block, distinct[chosen].astype("<u8").tobytes(), own.tobytes()))
+            yield pd.DataFrame(out, columns=["bucket", "block", "words", "counts"])
 
     return rows.mapInPandas(ask, REQUESTS)
 

@@ -356,18 +356,6 @@ def test_word_scores_and_mixer(spark, sf_dir):
     assert context_mixing.score_texts(_docs(spark, []), ~queries.in_bucket("doc_id", 5, 1)).collect() == []
 
 
-def test_mixer_is_a_distribution():
-    keys, _ = context_mixing.byte_keys([b"the cat sat on the mat " * 20])
-    counts = np.zeros((len(context_mixing.ORDERS), 2 * context_mixing.SLOTS), np.float32)
-    context_mixing.count_bits(keys, np.ones(len(keys), np.float32), counts)
-    counts = counts.reshape(len(counts), -1, 2)
-    weights, cells = context_mixing.start_weights(), np.zeros((2, 256 * context_mixing.CELLS))
-    context_mixing.learn_weights(counts, weights, keys, np.ones(len(keys)), cells)
-    mixer = context_mixing.Mixer(context_mixing.stretch(counts), weights, cells[0], cells[1])
-    every = (keys[30] >> np.uint64(8) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-    assert math.isclose((10 ** context_mixing.log10_of_keys(mixer, every)).sum(), 1.0, rel_tol=1e-3)
-
-
 def test_contexts_are_counted_one_by_one():
     # More contexts than hashed tables had slots: none shares its counts with another.
     rng = np.random.default_rng(4)
@@ -380,7 +368,7 @@ def test_contexts_are_counted_one_by_one():
         whole = [int(k).to_bytes(7, "big") for k in keys[::997]]
         assert [seen[k[6 - length : 6]] for k in whole] == sums[0, ::997].astype(int).tolist()
     assert (contexts.sums[-1][8] == times).all() and times.sum() == len(text) + 1
-    assert len(keys) * 8 > context_mixing.SLOTS
+    assert len(keys) * 8 > 1 << 20
     at = np.flatnonzero(contexts.keys & np.uint64(0xFF))[:50]
     for place, counts in enumerate(contexts.counts(at, 0)):
         bit = (keys[at] >> np.uint64(7 - place) & np.uint64(1)).astype(int)
@@ -388,6 +376,73 @@ def test_contexts_are_counted_one_by_one():
             assert (n[np.arange(len(at)), bit] == sums[place + 1, at]).all() and (n.sum(axis=1) == sums[place, at]).all()
 
 
+def _plain_log10(text, seen, learnt):
+    """log10 of the probability of a text: contexts looked up in counters, one bit after the other."""
+    padded = bytes([context_mixing.END]) * context_mixing.LONGEST + text + bytes([context_mixing.END])
+    total = 0.0
+    for at in range(context_mixing.LONGEST, len(padded)):
+        for place in range(8):
+            node = 1 << place | padded[at] >> (8 - place)
+            bit = padded[at] >> (7 - place) & 1
+            pairs = [[seen[o, padded[at - o : at], 2 * node + b] for b in (0, 1)] for o in context_mixing.ORDERS]
+            gate = sum(sum(p) > 0 for p in pairs)
+            x = [math.log((p[1] + context_mixing.PRIOR) / (p[0] + context_mixing.PRIOR)) for p in pairs] + [1.0]
+            mixed = sum(w * v for w, v in zip(learnt.weights[place][gate], x, strict=True))
+            mixed = min(max(mixed, -context_mixing.SURE), context_mixing.SURE)
+            cell = node * context_mixing.CELLS + round((mixed + context_mixing.SURE) * (context_mixing.CELLS - 1) / (2 * context_mixing.SURE))
+            p = 1 / (1 + math.exp(-mixed))
+            refined = (learnt.ones[cell] + context_mixing.CELL_TRUST * p) / (learnt.total[cell] + context_mixing.CELL_TRUST)
+            p = 0.5 * p + 0.5 * refined
+            total += math.log10(p if bit else 1 - p)
+    return total
+
+
+def test_scores_equal_a_plain_mixer(spark):
+    rng = random.Random(3)
+    vocabulary = ["the", "cat", "sat", "on", "mats", "é", "und", "x1"]
+    rows = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 12)))) for k in range(60)] + [(70, None), (None, "cat")]
+    docs, training = _docs(spark, rows), ~queries.in_bucket("doc_id", 5, 1)
+    got = {r["doc_id"]: r["score"] for r in context_mixing.score_texts(docs, training).collect()}
+    numbered = context_mixing._numbered(docs, training)
+    buckets = context_mixing.BUCKETS * max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    learnt = context_mixing.train_mixer(context_mixing._key_requests(numbered, buckets))
+    seen = collections.Counter()
+    for doc_id, text in rows:
+        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1:
+            continue
+        padded = bytes([context_mixing.END]) * context_mixing.LONGEST + (text or "").encode() + bytes([context_mixing.END])
+        for at in range(context_mixing.LONGEST, len(padded)):
+            for o in context_mixing.ORDERS:
+                for place in range(8):
+                    node = 1 << place | padded[at] >> (8 - place)
+                    seen[o, padded[at - o : at], 2 * node + (padded[at] >> (7 - place) & 1)] += 1
+    for doc_id, text in rows:
+        assert math.isclose(got[doc_id], _plain_log10((text or "").encode(), seen, learnt), rel_tol=2e-3, abs_tol=1e-3), text
+
+
+@pytest.mark.parametrize("batch", ["60", "10000"])
+def test_blocks_over_the_edges_of_batches(spark, batch):
+    rows = [(k, f"text {k % 97} of {k % 7}") for k in range(12000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = context_mixing.score_texts(docs, ~queries.in_bucket("doc_id", 5, 1)).select("doc_id", "n_tokens", "score").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == 12000 and {r["n_tokens"] for r in got} == {5}
+    scores = {}
+    for r in got:
+        scores.setdefault((r["doc_id"] % 97, r["doc_id"] % 7), []).append(r["score"])
+    assert all(max(x) - min(x) < 1e-6 for x in scores.values())
+    EDGE_SCORES[batch] = sum(x[0] for x in scores.values())
+    if len(EDGE_SCORES) == 2:
+        assert math.isclose(*EDGE_SCORES.values(), rel_tol=1e-6)
+
+
+EDGE_SCORES = {}
+
+
 def test_exact_mixer_is_a_distribution():
     text = b"the cat sat on the mat " * 20
     before = b"cat sa"
