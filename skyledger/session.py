@@ -1,16 +1,25 @@
-"""Session settings and the shared scratch folder.
+"""Session settings, the shared scratch folder and the tables that plans leave in it.
 
 Nothing here is needed when a cluster hands over its own session; the operators only read
 ``spark.checkpoint.dir`` from it.
+
+Intermediate tables lie in a folder of their application. ``intermediates`` removes those of a
+piece of work when it ends, ``remove_intermediates`` all of an application, also of one that is
+gone.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.folders import remove_folder
+
 # Adaptive execution does the run-time part of the scaling work: it coalesces small shuffle
 # partitions, picks broadcast joins by measured size and splits skewed join partitions.
 DEFAULTS = {
@@ -49,9 +58,60 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def application_dir(spark: SparkSession, application_id: str | None = None) -> str:
+    """The folder of an application's intermediate tables, this one's by default."""
+    return f"{shared_dir(spark)}/skyledger/{application_id or spark.sparkContext.applicationId}"
+
+
+class Intermediates:
+    """The paths that a piece of work was given, and those of them that outlive it."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave the tables that ``df`` reads from this scope to the scope around it, or to the session."""
+        read = [file.replace("///", "/") for file in df.inputFiles()]
+        kept = [p for p in self.paths if any(f"{p.replace('///', '/')}/" in file for file in read)]
+        self.paths = [p for p in self.paths if p not in kept]
+        outer = _SCOPES.get()[:-1]
+        if outer:
+            outer[-1].paths += kept
+        return df
+
+
+_SCOPES: ContextVar[tuple[Intermediates, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[Intermediates]:
+    """Remove the tables that are written inside when the block ends, also by an error.
+
+    Plans made inside must have run by then, or be handed to ``keep``. Blocks nest; each owns what
+    was written in it and not in an inner one.
+    """
+    scope = Intermediates()
+    token = _SCOPES.set((*_SCOPES.get(), scope))
+    try:
+        yield scope
+    finally:
+        _SCOPES.reset(token)
+        for path in scope.paths:
+            remove_folder(path)
+
+
+def remove_intermediates(spark: SparkSession, application_id: str | None = None) -> None:
+    """Remove all intermediate tables of an application; none of its plans may run after this."""
+    remove_folder(application_dir(spark, application_id))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/skyledger/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, owned by the innermost ``intermediates`` block if there is one."""
+    path = f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    scopes = _SCOPES.get()
+    if scopes:
+        scopes[-1].paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

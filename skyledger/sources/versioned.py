@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.sources.checked import CheckFailed, observed
-from skyledger.sources.folders import remove_folder
+from skyledger.folders import remove_folder
 
 # Old versions that one call removes at most; the next call goes on.
 MOST_REMOVED = 1000
