@@ -17,9 +17,12 @@ them, so the highest count of an id is known there.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -40,13 +43,22 @@ from skyledger.llm.blocks import (
 )
 from skyledger.llm.perfect_hash import PerfectHash
 from skyledger.llm.shared import for_python, id_and_text, materialize, scratch_path, shuffle_partitions
-from skyledger.llm.tokens import BYTE_LETTERS, encoder
+from skyledger.llm.tokens import BYTE_LETTERS, IS_SPACE, PIECES, encoder
 from skyledger.llm.words import mix
 
 SPACE = "▁"
 
+# Blanks at which the second side's tokens do not always part.
+ODD_BLANK = re.compile(r"[^\S \n]")
+
+# The tables of pieces start anew at this many.
+MOST_KEPT = 500_000
+
+# Pieces that are encoded as one text.
+PIECES_AT_ONCE = 4000
+
 # Bytes of text whose tokens and links a task holds at a time.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 
 # Links that are spread out at a time; a group with more than MOST_OPEN is counted by distinct ids.
 MOST_OPEN = 1 << 12
@@ -91,6 +103,11 @@ class TokenBytes:
         self.b = [self._piece(k) for k in range(self.second.vocab_size())]
         self.a_size = np.array([len(x) for x in self.a], dtype=np.int64)
         self.b_size = np.array([len(x) for x in self.b], dtype=np.int64)
+        self.space = self.second.piece_to_id(SPACE)
+        # Whether no token of the second side reaches over the start of a run of spaces and line feeds.
+        self.parted = not any(re.search(rb"[^ \n][ \n]", x) for x in self.b)
+        self.of_a: dict[str, bytes] = {}
+        self.of_b: dict[str, bytes | None] = {}
         # An id and what follows it: another one of its side in the group, or the other side or the next group.
         texts = [str(k) for k in range(max(len(self.a), len(self.b)))]
         self.written = [[f"{t}{mark}" for t in texts] for mark in ",|;"]
@@ -101,16 +118,77 @@ class TokenBytes:
         return self.second.id_to_piece(number).replace(SPACE, " ").encode()
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The ids of both sides; none where there is no text or a side's bytes are not the text's."""
-        firsts = self.first.encode_all([" " + t for t in texts])
-        for text, first, second in zip(texts, firsts, self.second.encode(texts, num_threads=1), strict=True):
-            whole = b" " + text.encode()
-            a = np.frombuffer(first, dtype="<u4")
-            same = text and b"".join(map(self.a.__getitem__, a.tolist())) == whole
-            if same and b"".join(map(self.b.__getitem__, second)) == whole:
-                yield a, np.array(second, dtype="<u4")
+        """The ids of both sides; none where there is no text or a side's bytes are not the text's.
+
+        Neither side has a token over the start of a run of spaces, as long as the text has no
+        other blanks than space and line feed. Such texts are put together from pieces that came up
+        before; the others are encoded and compared whole.
+        """
+        lists = [PIECES.findall(f" {t}") if t and self.parted and not ODD_BLANK.search(t) else [] for t in texts]
+        if len(self.of_b) > MOST_KEPT:
+            self.of_a.clear()
+            self.of_b.clear()
+        self._learn(set(chain.from_iterable(lists)).difference(self.of_b))
+        for text, pieces in zip(texts, lists, strict=True):
+            found = list(map(self.of_b.__getitem__, pieces))
+            if found and None not in found:
+                first = b"".join(map(self.of_a.__getitem__, pieces))
+                yield np.frombuffer(first, dtype="<u4"), np.frombuffer(b"".join(found), dtype="<u4")
             else:
-                yield a[:0], a[:0]
+                yield self._whole(text)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Keep the ids of new pieces; one whose tokens do not have its bytes is marked by None."""
+        # Spaces at the end of a text are no piece of a longer one.
+        inner = [p for p in pieces if not IS_SPACE(p[-1])]
+        alone = [p for p in pieces if IS_SPACE(p[-1])]
+        for first in range(0, len(inner), PIECES_AT_ONCE):
+            some = inner[first : first + PIECES_AT_ONCE]
+            if not self._learn_together(some):
+                alone += some
+        for piece in alone:
+            a = np.frombuffer(self.first.encode(piece), dtype="<u4").tolist()
+            # The model puts a space before what it is given. A single space it would not see at all.
+            b = self.second.encode(piece[1:] if piece[0] == " " else piece)
+            if piece[0] != " ":
+                b = b[1:] if b and self.b[b[0]] == b" " else [0]
+            elif piece == " ":
+                b = [self.space]
+            whole = piece.encode()
+            same = b"".join(map(self.a.__getitem__, a)) == whole == b"".join(map(self.b.__getitem__, b))
+            self.of_a[piece] = pack(f"<{len(a)}I", *a)
+            self.of_b[piece] = pack(f"<{len(b)}I", *b) if same else None
+
+    def _learn_together(self, pieces: list[str]) -> bool:
+        """Encode pieces as one text, if both sides give it back and have tokens that end where they do."""
+        # A word in front, so that the first piece is cut off as the others are.
+        text = "".join(["a", *pieces])
+        whole = f" {text}".encode()
+        a, b = self.first.ids(f" {text}"), np.array(self.second.encode(text), dtype="<u4")
+        if not b"".join(map(self.a.__getitem__, a.tolist())) == whole == b"".join(map(self.b.__getitem__, b.tolist())):
+            return False
+        ends = 2 + np.cumsum(np.fromiter(map(len, map(str.encode, ["", *pieces])), dtype=np.int64, count=len(pieces) + 1))
+        cuts = []
+        for ids, size in ((a, self.a_size), (b, self.b_size)):
+            upto = np.cumsum(size[ids])
+            last = np.searchsorted(upto, ends)
+            if (upto[last] != ends).any():
+                return False
+            cuts.append((4 * (last + 1)).tolist())
+        content_a, content_b = a.tobytes(), b.tobytes()
+        for k, piece in enumerate(pieces):
+            self.of_a[piece] = content_a[cuts[0][k] : cuts[0][k + 1]]
+            self.of_b[piece] = content_b[cuts[1][k] : cuts[1][k + 1]]
+        return True
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        whole = f" {text}".encode()
+        first = np.frombuffer(self.first.encode(f" {text}"), dtype="<u4")
+        second = self.second.encode(text)
+        same = text and b"".join(map(self.a.__getitem__, first.tolist())) == whole
+        if same and b"".join(map(self.b.__getitem__, second)) == whole:
+            return first, np.array(second, dtype="<u4")
+        return first[:0], first[:0]
 
 
 @cache
@@ -126,13 +204,18 @@ class Alignment:
         self.a, self.b, self.n_a, self.n_b = a.astype(np.int64), b.astype(np.int64), n_a, n_b
         ends_a, ends_b = np.cumsum(sizes.a_size[a]), np.cumsum(sizes.b_size[b])
         # Both sides of a document have the same bytes, so its end is an end of both.
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        self.in_a = np.bincount(self.group_a, minlength=len(common))
-        self.in_b = np.bincount(self.group_b, minlength=len(common))
+        size = int(ends_a[-1]) + 1 if len(ends_a) else 0
+        both = np.zeros(size, dtype=np.int8)
+        both[ends_a] = 1
+        both[ends_b] += 1
+        before = np.cumsum(both == 2, dtype=np.int32) - (both == 2)
+        groups = int(np.count_nonzero(both == 2))
+        self.group_a, self.group_b = before[ends_a].astype(np.int64), before[ends_b].astype(np.int64)
+        self.in_a = np.bincount(self.group_a, minlength=groups)
+        self.in_b = np.bincount(self.group_b, minlength=groups)
         self.start_a, self.start_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
         docs_of_a = np.repeat(np.arange(len(n_a)), n_a)
-        self.doc = docs_of_a[self.start_a] if len(common) else np.zeros(0, np.int64)
+        self.doc = docs_of_a[self.start_a] if groups else np.zeros(0, np.int64)
         self.n_groups = np.bincount(self.doc, minlength=len(n_a))
         self.n_links = self.by_doc(self.doc, self.in_a * self.in_b)
 
@@ -233,11 +316,10 @@ def align_documents(docs: DataFrame, byte_level: str, pieces: str, block_bytes:
             a, b = (np.concatenate([x[k] for x in both]) for k in (0, 1))
             write_arrays(folder, block_name(number, "ids"), [*ids_as_arrays(ids), n_a, n_b, a.astype("<u4"), b.astype("<u4")])
             doc, pair, _ = Alignment(a, b, n_a, n_b, sizes).links(len(sizes.b))
-            order = np.lexsort((doc, pair))
-            doc, pair = doc[order], pair[order]
-            new = np.ones(len(pair), dtype=bool)
-            new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
-            found, counts = np.unique(pair[new], return_counts=True)
+            once = np.sort(pair.astype(np.uint64) * np.uint64(len(ids)) + doc.astype(np.uint64))
+            once = once[np.concatenate([[True], once[1:] != once[:-1]])] if len(once) else once
+            found, counts = np.unique(once // np.uint64(len(ids)), return_counts=True)
+            found = found.astype(np.int64)
             order, shards = _by_shard(found, len(sizes.b), bits)
             found, counts = found[order].astype("<u8"), counts[order].astype("<u4")
             rows = [(number, k, y - x, packed(found[x:y], counts[x:y])) for k, x, y in shards] or [(number, 0, 0, packed())]

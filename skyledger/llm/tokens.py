@@ -29,7 +29,7 @@ IS_SPACE = re.compile(f"[{SPACES}]").match
 WORD = re.compile("[ \\n]?([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 
 # The table of pieces starts anew at this many; longer pieces are not kept.
-MOST_KEPT = 600_000
+MOST_KEPT = 400_000
 LONGEST_KEPT = 64
 
 # Characters of texts that are encoded together, and words that the model is asked about at a time.
@@ -93,8 +93,12 @@ class Encoder:
             self.marks[mark] = next(self._model_ids([mark]))
         return self.marks[mark] if mark else b""
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """The ids of new pieces."""
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of one text that is not worth keeping pieces of."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of pieces (see PIECES), which are not kept here."""
         return self._learn_bytes(pieces) if self.spaced else self._learn_words(pieces)
 
     def _learn_bytes(self, pieces: Iterable[str]) -> dict[str, bytes]:
@@ -161,7 +165,7 @@ class Encoder:
         lists = [[] if whole else PIECES.findall(text) for text, whole in zip(texts, named, strict=True)]
         if len(self.known) > MOST_KEPT:
             self.known.clear()
-        new = self._learn(set(chain.from_iterable(lists)).difference(self.known))
+        new = self.learn(set(chain.from_iterable(lists)).difference(self.known))
         known = self.known
         known.update(new)
         for text, whole, pieces in zip(texts, named, lists, strict=True):
