@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from driver_queries.airport_tables import DIMENSION_BUILDERS, ModelTables, cleaned, with_tables
+from driver_queries.airport_tables import DIMENSION_BUILDERS, ModelTables, cleaned, model, with_tables
 from driver_queries.dirty import dirty, dirty_sql
 from driver_queries.registry import f, n, query, t, table
 from skyledger.operators import facts as FA
+from skyledger.operators.facts import with_date_key
 from skyledger.operators.joins import salted_join
 from skyledger.plans import airport
+from skyledger.plans.context import filter_date_between
+from skyledger.plans.measures import evaluate
+from skyledger.session import scratch_path
+from skyledger.sources import month_of, month_of_day, refresh_months, scan_months
 
 
 @query(
@@ -29,6 +37,63 @@ def _(spark, sf):
     )
 
 
+# The orders as they were before some of them were corrected, cancelled or dated.
+def _orders_before(orders):
+    late = F.col("o_orderdate") >= "1996-06-01"
+    fixed = F.when(late & (F.col("o_orderkey") % 5 == 0), F.lit(0.0)).otherwise(F.col("o_totalprice"))
+    return orders.withColumn("o_totalprice", fixed).filter(~((F.year("o_orderdate") == 1994) & (F.month("o_orderdate") == 3)))
+
+
+def _fact_orders(rows):
+    return with_date_key(rows, "o_orderdate").select("o_orderkey", "date_key", "o_totalprice")
+
+
+def _refreshed(spark, sf):
+    path = scratch_path(spark, "orders-by-month")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    month = month_of_day(F.col("o_orderdate"))
+    refresh_months(_orders_before(orders), path, month, _fact_orders)
+    return path, refresh_months(orders, path, month, _fact_orders)
+
+
+@query(
+    "refresh_months",
+    f"""SELECT o_orderkey, {n("strftime(o_orderdate, '%Y%m%d')")} AS date_key, {f('o_totalprice')} AS o_totalprice,
+        {n("strftime(o_orderdate, '%Y%m')")} AS month_key FROM orders""",
+)
+def _(spark, sf):
+    path, _ = _refreshed(spark, sf)
+    return scan_months(spark, path)
+
+
+@query(
+    "refresh_months_changed",
+    f"""SELECT {n("strftime(o_orderdate, '%Y%m')")} AS month_key, count(*) AS row_count FROM orders GROUP BY ALL
+        HAVING month_key = 199403 OR count(*) FILTER (WHERE o_orderdate >= DATE '1996-06-01' AND o_orderkey % 5 = 0 AND o_totalprice <> 0) > 0""",
+)
+def _(spark, sf):
+    return _refreshed(spark, sf)[1]
+
+
+@query(
+    "month_facts_slicer",
+    with_tables(
+        f"""SELECT revenue_category, count(*) AS transactions, {f('sum(amount_cad)', 4)} AS revenue FROM fact_commercial_transactions
+            JOIN dim_date USING (date_key) WHERE "date" >= DATE '1995-11-01' AND "date" < DATE '1996-02-15' GROUP BY ALL"""
+    ),
+    digits=4,
+)
+def _(spark, sf):
+    path = scratch_path(spark, "commercial-by-month")
+    star = model(spark, sf)
+    refresh_months(star.facts["fact_commercial_transactions"], path, month_of("date_key"))
+    by_month = replace(star, facts={"fact_commercial_transactions": scan_months(spark, path)})
+    slicer = filter_date_between("dim_date", "date", date(1995, 11, 1), date(1996, 2, 15))
+    by = [("fact_commercial_transactions", "revenue_category")]
+    result = evaluate(by_month, ["Total Transactions", "Total Commercial Revenue"], by, [slicer])
+    return result.toDF("revenue_category", "transactions", "revenue").withColumn("revenue", F.col("revenue").cast("double"))
+
+
 # A third of the rows points to one order and some rows to none.
 HOT = "CASE WHEN l_partkey % 3 = 0 THEN 7 WHEN l_partkey % 31 = 0 THEN NULL ELSE l_orderkey END"
 

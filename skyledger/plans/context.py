@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.joins import keyed_join
+from skyledger.sources.monthly import MONTH, month_of
 
 
 @dataclass(frozen=True)
@@ -84,11 +85,28 @@ def restrict(model: Model, tables: Collection[str]) -> Model:
     )
 
 
-def propagate_filters(model: Model, filters: Sequence[Filter]) -> Model:
+def _month_before(key: int) -> int:
+    """The month of the day before a yyyyMMdd key."""
+    if key % 100 > 1:
+        return key // 100
+    year, month = divmod(key // 100, 100)
+    return year * 100 + month - 1 if month > 1 else (year - 1) * 100 + 12
+
+
+def propagate_filters(
+    model: Model, filters: Sequence[Filter], columns: Mapping[str, Collection[str]] | None = None
+) -> Model:
     """The model under a set of filters.
 
+    ``columns`` names per fact what is read of it afterwards: the fact is reduced to those and to its keys
+    after its own filters and before any join, so that a join that hashes rows reads no more.
+
     A dimension filter restricts the dimension and every fact related to it; a fact without
     the relationship is not filtered. A fact filter restricts that fact only.
+
+    A fact with a month column is first restricted to the months that are left of the calendar:
+    bounds of the filter as constants, and the months themselves by a join on the partition
+    column, from which Spark prunes partitions when the query runs.
     """
     facts, dimensions = dict(model.facts), dict(model.dimensions)
     for item in filters:
@@ -96,6 +114,11 @@ def propagate_filters(model: Model, filters: Sequence[Filter]) -> Model:
             facts[item.table] = facts[item.table].filter(item.predicate)
             continue
         dimensions[item.table] = dimensions[item.table].filter(item.predicate)
+    for fact, wanted in (columns or {}).items():
+        keys = {link.key for link in model.relationships if link.fact == fact and link.dimension in dimensions}
+        kept = {*wanted, *keys, MONTH}
+        # A count of a fact without keys reads no column in particular.
+        facts[fact] = facts[fact].select(*([c for c in facts[fact].columns if c in kept] or facts[fact].columns[:1]))
     for name in {item.table for item in filters if item.table in dimensions}:
         for link in model.relationships:
             if link.dimension != name or link.fact not in facts:
@@ -105,6 +128,12 @@ def propagate_filters(model: Model, filters: Sequence[Filter]) -> Model:
                 if item.table == name and item.key_range:
                     low, high = item.key_range
                     fact = fact.filter((F.col(link.key) >= low) & (F.col(link.key) < high))
+                    if MONTH in fact.columns and name == model.date_dimension:
+                        fact = fact.filter(F.col(MONTH).between(low // 100, _month_before(high)))
+            if MONTH in fact.columns and name == model.date_dimension:
+                # The calendar's months: 12 rows for each of its years.
+                months = dimensions[name].select(month_of(link.key).alias(MONTH)).distinct()
+                fact = fact.join(F.broadcast(months), MONTH, "left_semi")
             facts[link.fact] = keyed_join(fact, dimensions[name].select(link.key), [link.key], "left_semi")
     return replace(model, facts=facts, dimensions=dimensions)
 

@@ -1,4 +1,5 @@
 from skyledger.sources.checked import CheckFailed, observed, write_checked
+from skyledger.sources.monthly import MONTH, fingerprints, month_log, month_of, month_of_day, refresh_months, scan_months
 from skyledger.sources.readers import (
     MALFORMED,
     jdbc_options,
@@ -17,9 +18,15 @@ from skyledger.sources.writers import literal_rows, sink_overwrite, sink_overwri
 __all__ = [
     "CheckFailed",
     "MALFORMED",
+    "MONTH",
+    "fingerprints",
     "jdbc_options",
     "literal_rows",
+    "month_log",
+    "month_of",
+    "month_of_day",
     "observed",
+    "refresh_months",
     "remove_old_versions",
     "replace_table",
     "scan_csv_strings",
@@ -29,6 +36,7 @@ __all__ = [
     "scan_json_checked",
     "scan_json_nested",
     "scan_layer",
+    "scan_months",
     "scan_table",
     "scan_version",
     "sink_overwrite",
