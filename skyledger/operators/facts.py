@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import date_key
 from skyledger.functions.numeric import weighted_avg
-from skyledger.operators.joins import keyed_join
+from skyledger.operators.joins import compared_keys, fits_broadcast, hot_keys_of, keyed_join
 
 
 @dataclass(frozen=True)
@@ -32,15 +32,25 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
     The business key must be unique in its dimension; check with duplicate_keys.
     """
-    measured = fact  # a lookup adds columns and keeps the rows, so the keys are measured once, before all joins
-    for lookup in lookups:
-        keys = lookup.dimension.select(
-            F.col(lookup.dimension_key or lookup.business_key).alias(lookup.business_key), lookup.surrogate
-        )
+    members = [
+        lookup.dimension.select(F.col(lookup.dimension_key or lookup.business_key).alias(lookup.business_key), lookup.surrogate)
+        for lookup in lookups
+    ]
+    # A lookup adds columns and keeps the rows, so all keys are measured once, before the joins.
+    large = {
+        lookup.business_key: compared_keys(fact, keys, [lookup.business_key])
+        for lookup, keys in zip(lookups, members, strict=True)
+        if not lookup.unique and lookup.business_key in fact.columns and not fits_broadcast(keys)
+    }
+    hot = hot_keys_of(fact, large) if large else {}
+    measured = fact
+    for lookup, keys in zip(lookups, members, strict=True):
         if lookup.unique:
             fact = fact.join(keys, lookup.business_key, "left")
         else:
-            fact = keyed_join(fact, keys, [lookup.business_key], "left", measured)
+            # A key that an earlier lookup gave is measured on what that made.
+            source = measured if lookup.business_key in measured.columns else None
+            fact = keyed_join(fact, keys, [lookup.business_key], "left", source, hot.get(lookup.business_key))
     return fact
 
 

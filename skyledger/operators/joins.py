@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -21,12 +21,16 @@ from pyspark.sql.types import (
     VariantType,
 )
 
-# A key is hot when it holds more than this share of the rows, so there are at most 1 / share of them.
-HOT_SHARE = 0.005
-SALTS = 64
+from skyledger.session import materialize
 
-# Size of the heavy-hitter sketch and number of slices it is merged in.
-TRACKED_KEYS = 2000
+# A key is hot when it holds more than a share of the rows, so there are at most 1 / share of them.
+# The share is half of what one of the shuffle partitions gets, within these bounds, and a hot key
+# is spread over as many tasks as there are partitions, within those.
+HOT_SHARES = (1 / 4000, 1 / 200)
+SALTS = (64, 1024)
+
+# Keys a heavy-hitter sketch keeps for each hot one, and number of slices it is merged in.
+TRACKED = 10
 SLICES = 256
 
 
@@ -79,26 +83,64 @@ def fits_broadcast(df: DataFrame, rows_each: int = 1) -> bool:
     return int(size) * rows_each <= limit
 
 
-def hot_keys(df: DataFrame, on: Sequence[str | Column], share: float = HOT_SHARE) -> DataFrame:
-    """Hashes (``__hash``) of the keys that hold more than ``share`` of the rows: 1 / share rows at most.
+def hot_share(spark: SparkSession) -> float:
+    """From which share of the rows on a key would make a shuffle task half as large again."""
+    low, high = HOT_SHARES
+    return min(max(1 / (2 * _partitions(spark)), low), high)
+
+
+def salts_for(spark: SparkSession) -> int:
+    """Over how many tasks the rows of a hot key are spread."""
+    low, high = SALTS
+    return min(max(_partitions(spark), low), high)
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    One scan of the key columns with a heavy-hitter sketch per slice of the tasks; no key is
-    shuffled, and what leaves a slice is its top keys. The counts are approximate, which can
-    only cost balance: the joins are right for any set of hot keys.
+
+def hot_keys_of(
+    df: DataFrame, keys: Mapping[str, Sequence[str | Column]], share: float | None = None
+) -> dict[str, DataFrame]:
+    """Per name the hashes (``__hash``) of the keys that hold more than ``share`` of the rows: 1 / share rows at most.
+
+    One scan of all key columns with a heavy-hitter sketch of each key per slice of the tasks; no
+    key is shuffled, and what leaves a slice is its top keys. The slices are written, so any number of
+    joins uses the one scan. The counts are approximate, which can only cost balance: the joins
+    are right for any set of hot keys.
     """
+    share = share or hot_share(df.sparkSession)
     limit = int(1 / share)
+    names = {name: f"__{i}" for i, name in enumerate(keys)}
+    hashes = [F.xxhash64(*on).alias(f"__hash{names[name]}") for name, on in keys.items()]
+    sketches = [F.expr(f"approx_top_k(__hash{at}, {limit}, {TRACKED * limit})").alias(f"__top{at}") for at in names.values()]
     slices = (
-        df.select(F.xxhash64(*on).alias("__hash"), (F.spark_partition_id() % SLICES).alias("__slice"))
+        df.select(*hashes, (F.spark_partition_id() % SLICES).alias("__slice"))
         .groupBy("__slice")
-        .agg(
-            F.expr(f"approx_top_k(__hash, {limit}, {TRACKED_KEYS})").alias("__top"),
-            F.count(F.lit(1)).alias("__rows"),
-        )
+        .agg(F.count(F.lit(1)).alias("__rows"), *sketches)
     )
+    if len(keys) > 1:
+        slices = materialize(slices, "hot-keys")
     total = slices.agg(F.sum("__rows")).scalar()
-    counts = slices.select(F.inline("__top")).groupBy("item").agg(F.sum("count").alias("__rows"))
-    hot = counts.filter(F.col("__rows") > total * share)
-    return hot.orderBy(F.desc("__rows")).limit(limit).select(F.col("item").alias("__hash"))
+    found = {}
+    for name, at in names.items():
+        counts = slices.select(F.inline(f"__top{at}")).groupBy("item").agg(F.sum("count").alias("__rows"))
+        hot = counts.filter(F.col("__rows") > total * share)
+        found[name] = hot.orderBy(F.desc("__rows")).limit(limit).select(F.col("item").alias("__hash"))
+    return found
+
+
+def hot_keys(df: DataFrame, on: Sequence[str | Column], share: float | None = None) -> DataFrame:
+    """``hot_keys_of`` for one key."""
+    return hot_keys_of(df, {"key": on}, share)["key"]
+
+
+def compared_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[Column]:
+    """The keys in the type in which the two sides compare them."""
+    kinds = common_keys(left, right, on)
+    floats = {k for k in on if any(isinstance(df.schema[k].dataType, FractionalType) for df in (left, right))}
+    floats = {k for k in floats if not kinds[k].startswith("decimal")}
+    return [_key(F.col(k), kinds[k], k in floats) for k in on]
 
 
 def keyed_join(
@@ -107,6 +149,7 @@ def keyed_join(
     on: Sequence[str],
     how: str = "left",
     measured: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a possibly skewed ``left`` to keyed rows.
 
@@ -116,7 +159,7 @@ def keyed_join(
     common_keys(left, right, on)
     if fits_broadcast(right):
         return left.join(right, list(on), how)
-    return salted_join(left, right, on, how, measured)
+    return salted_join(left, right, on, how, measured, hot=hot)
 
 
 def salted_join(
@@ -125,8 +168,9 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     measured: DataFrame | None = None,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    share: float | None = None,
+    salts: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large skewed ``left`` to a ``right`` that is too large to broadcast.
 
@@ -135,20 +179,20 @@ def salted_join(
     inner, left, left_semi or left_anti, each of which visits every left row once.
 
     ``measured`` has the same keys as ``left`` but is cheaper to scan, for instance the fact
-    before its earlier lookups. The salt is a hash of the row, so a task that runs again deals
+    before its earlier lookups; ``hot`` has the hashes of its hot keys where they are known (hot_keys_of). The salt is a hash of the row, so a task that runs again deals
     its rows to the same places; exact copies of a row are left to adaptive skew splitting.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    kinds = common_keys(left, right, on)
-    floats = {k for k in on if any(isinstance(df.schema[k].dataType, FractionalType) for df in (left, right))}
-    floats = {k for k in floats if not kinds[k].startswith("decimal")}
     # Both sides hash and meet in the common type, so a hot key is marked alike on both.
-    keys = [_key(F.col(k), kinds[k], k in floats) for k in on]
+    keys = compared_keys(left, right, on)
     names = [f"__key{i}" for i in range(len(on))]
-    # At most 1 / hot_share rows (200 by default), whatever the size of the tables.
-    hot = F.broadcast(hot_keys(left if measured is None else measured, keys, hot_share).withColumn("__hot", F.lit(True)))
+    salts = salts or salts_for(left.sparkSession)
+    if hot is None:
+        hot = hot_keys(left if measured is None else measured, keys, share)
+    # At most 1 / share rows (4000 by the bounds), whatever the size of the tables.
+    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
     salt = F.pmod(row_hash(left), F.lit(salts)).cast("int")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.plans.context import Filter, Model, propagate_filters, restrict
-from skyledger.plans.measures import Aggregate, AsOfTarget, Derived, GroupMean, Measure, Part, drill_across, with_inputs
+from skyledger.plans.measures import Aggregate, AsOfTarget, Derived, GroupMean, Measure, Part, columns_of, drill_across, with_inputs
 from skyledger.plans.targets import COVER, blocks_of_day, day_number, join_on_blocks
 from skyledger.session import materialize
 
@@ -98,7 +98,7 @@ def daily_states(
         if isinstance(registry[name], (Aggregate, GroupMean)):
             base.setdefault(registry[name].fact, {})[name] = registry[name]
     tables = {*base, model.date_dimension, *(item.table for item in filters)}
-    model = propagate_filters(restrict(model, tables), filters)
+    model = propagate_filters(restrict(model, tables), filters, {f: columns_of(f, m) for f, m in base.items()})
     return [_state(model, fact, wanted) for fact, wanted in base.items()]
 
 

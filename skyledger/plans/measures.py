@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -260,6 +260,14 @@ def repeat_beside(groups: DataFrame, part: DataFrame, keys: Sequence[str]) -> Da
     return groups.join(part.withColumnsRenamed(names), match, "left").drop(*names.values())
 
 
+def columns_of(fact: str, wanted: Mapping[str, Measure], by: Sequence[tuple[str, str]] = ()) -> set[str]:
+    """The columns of a fact that its measures and its own attributes read."""
+    columns = {column for table, column in by if table == fact}
+    for measure in wanted.values():
+        columns.update((*measure.group, measure.column) if isinstance(measure, GroupMean) else measure.columns)
+    return columns
+
+
 def _aggregate_fact(
     model: Model, fact: str, wanted: dict[str, Measure], by: Sequence[tuple[str, str]]
 ) -> list[DataFrame]:
@@ -320,7 +328,7 @@ def evaluate_base(
     tables = {*base, *by_tables, *(item.table for item in filters)}
     if targets:
         tables.add(model.date_dimension)
-    model = propagate_filters(restrict(model, tables), filters)
+    model = propagate_filters(restrict(model, tables), filters, {f: columns_of(f, m, by) for f, m in base.items()})
 
     related, totals, partial = [], [], []
     for fact, wanted in base.items():

@@ -87,3 +87,60 @@ def test_overwrite_of_a_table_by_itself(spark, tmp_path):
     sink_overwrite(spark.range(10), path)
     sink_overwrite(spark.read.parquet(path).filter("id < 3"), path, reads_target=True)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_any_number_of_lookups_scans_the_fact_once_more(spark, tmp_path, no_broadcast):
+    from skyledger.operators.facts import Lookup, lookup_keys
+
+    path = str(tmp_path / "fact")
+    spark.range(500).selectExpr("id", "id % 3 AS a", "if(id % 2 = 0, 7, id) AS b", "cast(id % 5 as string) AS c", "id * 2 AS big").write.parquet(path)
+    members = {k: spark.range(600).selectExpr(f"cast(id as {kind}) AS {k}", f"id + 1 AS {k}_key") for k, kind in (("a", "int"), ("b", "bigint"), ("c", "string"))}
+    lookups = [Lookup(df, k, f"{k}_key") for k, df in members.items()]
+    spark.sparkContext.setJobGroup("lookups", "lookups")
+    try:
+        joined = lookup_keys(spark.read.parquet(path), lookups)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    # The sketches of all keys were written by one scan; the plan itself scans the fact once.
+    assert plan(joined).count(f"{path}]") == 1
+    got = joined.selectExpr("count(*)", "sum(a_key)", "sum(b_key)", "sum(c_key)").first()
+    want = spark.read.parquet(path).selectExpr("count(*)", "sum(a + 1)", "sum(b + 1)", "sum(cast(c as bigint) + 1)").first()
+    assert tuple(got) == tuple(want)
+
+
+def test_shares_and_salts_follow_the_partitions(spark):
+    from skyledger.operators.joins import hot_share, salts_for
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        seen = []
+        for partitions in ("8", "1000", "100000"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            seen.append((hot_share(spark), salts_for(spark)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [(1 / 200, 64), (1 / 2000, 1000), (1 / 4000, 1024)]
+
+
+def test_a_filtered_fact_reads_the_same_columns_on_both_paths(spark, tmp_path):
+    from skyledger.plans.context import Filter, Model, Relationship
+    from skyledger.plans.measures import Aggregate
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "fact")
+    spark.range(50).selectExpr("id % 7 AS key", "id AS x", "id AS y", "'long text' AS note").write.parquet(path)
+    dim = spark.range(7).selectExpr("id AS key", "id % 2 AS odd")
+    star = Model({"f": spark.read.parquet(path)}, {"d": dim}, (Relationship("f", "key", "d"),))
+    measures = {"sum x": Aggregate("f", ("x",), lambda: F.sum("x"))}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    schemas, totals = [], []
+    for limit in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            df = evaluate(star, ["sum x"], filters=[Filter("d", F.col("odd") == 1)], registry=measures)
+            totals.append(df.first()[0])
+            schemas.append({re.search(r"ReadSchema: struct<(.*)>", line)[1] for line in plan(df).splitlines() if path in line})
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert totals[0] == totals[1] == sum(i for i in range(50) if i % 7 % 2)
+    assert max(schemas[0], key=len) == max(schemas[1], key=len) == "key:bigint,x:bigint"
