@@ -11,6 +11,7 @@ from driver_queries.q_measures import FACT_SQL, _ratio0, totals_sql
 from driver_queries.registry import f, n, query, t, table
 from skyledger.functions.dates import PERIOD_KINDS, make_period
 from skyledger.plans import kpi as K
+from skyledger.plans import requests as R
 
 MONTH = K.Period("March 1996", date(1996, 3, 1), date(1996, 3, 31))
 WEEK = K.Period("First week of March 1996", date(1996, 3, 1), date(1996, 3, 7))
@@ -264,6 +265,65 @@ def _(spark, sf):
     return K.kpi_by_period(model(spark, sf), ["Revenue per Passenger"], periods)
 
 
+# A request per order: each asks for a metric, some by airline or gate, over a period of its own.
+ASKED = [
+    ("request_id", "o_orderkey"),
+    ("period_no", "1"),
+    ("intent", "CASE o_orderkey % 4 WHEN 0 THEN 'breakdown' WHEN 1 THEN 'lookup' WHEN 2 THEN 'ranking' ELSE 'lookup' END"),
+    ("metric", "CASE o_orderkey % 3 WHEN 0 THEN 'total flights' WHEN 1 THEN 'Load Factor %' ELSE 'Total Commercial Revenue' END"),
+    ("dimension", "CASE WHEN o_orderkey % 2 = 0 THEN 'airline' END"),
+    ("start_date", "CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS DATE) END"),
+    ("end_date", "CASE WHEN o_orderkey % 7 > 0 THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) END"),
+    ("size", "CASE WHEN o_orderkey % 8 = 2 THEN 2 END"),
+    ("ascending", "o_orderkey % 5 = 0"),
+]
+DAYS_OF = {
+    "asked": f"SELECT {', '.join(f'{e} AS {c}' for c, e in ASKED)} FROM orders",
+    "days": """SELECT "date" AS d, airline_name AS member, count(*) AS flights, sum(passenger_count) AS seated, sum(seat_capacity) AS seats
+        FROM fact_flight_operations LEFT JOIN dim_date USING (date_key) LEFT JOIN dim_airline USING (airline_key) GROUP BY ALL""",
+    "money": """SELECT "date" AS d, sum(amount_cad) AS v FROM fact_commercial_transactions LEFT JOIN dim_date USING (date_key) GROUP BY ALL""",
+    "periods": "SELECT DISTINCT start_date, end_date FROM asked",
+    "by_airline": """SELECT start_date, end_date, member, sum(flights) AS flights, sum(seated) AS seated, sum(seats) AS seats
+        FROM periods JOIN days ON start_date IS NULL OR d BETWEEN start_date AND end_date GROUP BY ALL""",
+    "everything": """SELECT start_date, end_date, sum(flights) AS flights, sum(seated) AS seated, sum(seats) AS seats FROM by_airline GROUP BY ALL""",
+    "revenue": """SELECT start_date, end_date, sum(v) AS v FROM periods JOIN money ON start_date IS NULL OR d BETWEEN start_date AND end_date GROUP BY ALL""",
+    "airlines": "SELECT DISTINCT airline_name AS member FROM dim_airline",
+    "single": f"""SELECT a.*, CAST(NULL AS VARCHAR) AS member, CASE metric WHEN 'total flights' THEN CAST(e.flights AS DOUBLE)
+            WHEN 'Load Factor %' THEN CASE WHEN coalesce(seats, 0) = 0 THEN 0 ELSE seated / CAST(seats AS DOUBLE) END ELSE v END AS value
+        FROM asked a LEFT JOIN everything e ON a.start_date IS NOT DISTINCT FROM e.start_date AND a.end_date IS NOT DISTINCT FROM e.end_date
+        LEFT JOIN revenue r ON a.start_date IS NOT DISTINCT FROM r.start_date AND a.end_date IS NOT DISTINCT FROM r.end_date
+        WHERE dimension IS NULL""",
+    "split": """SELECT a.*, b.member, CASE metric WHEN 'total flights' THEN CAST(flights AS DOUBLE)
+            ELSE CASE WHEN coalesce(seats, 0) = 0 THEN 0 ELSE seated / CAST(seats AS DOUBLE) END END AS value
+        FROM asked a JOIN (
+            SELECT p.start_date, p.end_date, m.member, flights, seated, seats FROM periods p CROSS JOIN airlines m
+            LEFT JOIN by_airline b ON p.start_date IS NOT DISTINCT FROM b.start_date AND p.end_date IS NOT DISTINCT FROM b.end_date AND m.member = b.member
+            UNION ALL SELECT * FROM by_airline WHERE member IS NULL) b
+        ON a.start_date IS NOT DISTINCT FROM b.start_date AND a.end_date IS NOT DISTINCT FROM b.end_date
+        WHERE dimension IS NOT NULL AND metric <> 'Total Commercial Revenue'
+        UNION ALL SELECT a.*, m.member, r.v FROM asked a CROSS JOIN airlines m
+        JOIN revenue r ON a.start_date IS NOT DISTINCT FROM r.start_date AND a.end_date IS NOT DISTINCT FROM r.end_date
+        WHERE dimension IS NOT NULL AND metric = 'Total Commercial Revenue'""",
+    "placed": """SELECT *, rank() OVER (PARTITION BY request_id ORDER BY CASE WHEN ascending THEN value ELSE -value END) AS place
+        FROM split WHERE value IS NOT NULL""",
+}
+
+
+@query(
+    "kpi_request_batch",
+    with_tables(
+        f"""SELECT request_id, {n('period_no')} AS period_no, CASE metric WHEN 'total flights' THEN 'Total Flights' ELSE metric END AS metric,
+            member, {f('value', 4)} AS value, CAST(NULL AS VARCHAR) AS reason FROM (
+            SELECT request_id, period_no, metric, member, value FROM single
+            UNION ALL SELECT request_id, period_no, metric, member, value FROM placed WHERE intent = 'breakdown' OR place <= coalesce(size, 1))""",
+        **DAYS_OF,
+    ),
+    digits=4,
+)
+def _(spark, sf):
+    return R.answer_requests(model(spark, sf), table(spark, sf, "orders").selectExpr(*[f"{e} AS {c}" for c, e in ASKED]))
+
+
 # One period per order, of up to 400 days: most overlap.
 DAILY = {
     "revenue": "SELECT \"date\" AS d, sum(amount_cad) AS v FROM fact_commercial_transactions JOIN dim_date USING (date_key) GROUP BY ALL",

@@ -34,11 +34,7 @@ class DailyState:
         return [part.merge(name).alias(name) for name, part in self.columns.items()]
 
     def finished(self) -> list[Column]:
-        out = []
-        for name, (measure, columns) in self.measures.items():
-            finish = measure.finish if isinstance(measure, Aggregate) else F.try_divide
-            out.append(finish(*[F.col(column) for column in columns]).alias(name))
-        return out
+        return finished(self.measures)
 
     def written(self) -> DailyState:
         """The same state read from the shared folder, for use in several plans."""
@@ -59,31 +55,47 @@ def can_roll_up(model: Model, measures: Sequence[str], registry: Mapping[str, Me
     return True
 
 
-def _state(model: Model, fact: str, wanted: Mapping[str, Measure]) -> DailyState:
-    """The state of one fact from one scan.
+def parts_of(
+    wanted: Mapping[str, Measure], key: str
+) -> tuple[set[str], dict[str, Part], dict[str, Part], dict[str, tuple[Measure, tuple[str, ...]]]]:
+    """The columns read, the partial results of rows, those merged to a day, and which of them a measure is made of.
 
-    A mean over groups of a day needs sums per group first; the plain aggregates are then merged
-    from the same finer rows.
+    A mean over groups of a day is summed per group first; merged, it is a sum and a number of groups.
     """
-    key = model.key_between(fact, model.date_dimension)
-    inner = {tuple(c for c in m.group if c != key) for m in wanted.values() if isinstance(m, GroupMean)}
-    if len(inner) > 1:
-        raise ValueError(f"{fact} has means over groups of several kinds")
-    grain = [key, *(inner.pop() if inner else ())]
-    read, fine, columns, measures = {*grain}, {}, {}, {}
+    read, fine, merged, measures = set(), {}, {}, {}
     for i, (name, measure) in enumerate(wanted.items()):
         if isinstance(measure, GroupMean):
             read.add(measure.column)
             fine[f"g{i}"] = Part(lambda column=measure.column: F.sum(column))
-            columns |= {f"g{i}": Part(lambda at=f"g{i}": F.sum(at)), f"n{i}": Part(lambda at=f"g{i}": F.count(at))}
+            merged |= {f"g{i}": Part(lambda at=f"g{i}": F.sum(at)), f"n{i}": Part(lambda at=f"g{i}": F.count(at))}
             measures[name] = (measure, (f"g{i}", f"n{i}"))
             continue
         read.update(measure.columns)
         own = {f"p{i}_{j}": part for j, part in enumerate(measure.parts)}
         fine |= own
-        columns |= {at: Part(lambda at=at, part=part: part.merge(at), part.merge) for at, part in own.items()}
+        merged |= {at: Part(lambda at=at, part=part: part.merge(at), part.merge) for at, part in own.items()}
         measures[name] = (measure, tuple(own))
-    rows = model.facts[fact].select(*sorted(read)).groupBy(*grain).agg(*[p.build().alias(at) for at, p in fine.items()])
+    return read, fine, merged, measures
+
+
+def finished(measures: Mapping[str, tuple[Measure, tuple[str, ...]]]) -> list[Column]:
+    """The measures from their merged partial results."""
+    out = []
+    for name, (measure, columns) in measures.items():
+        finish = measure.finish if isinstance(measure, Aggregate) else F.try_divide
+        out.append(finish(*[F.col(column) for column in columns]).alias(name))
+    return out
+
+
+def _state(model: Model, fact: str, wanted: Mapping[str, Measure]) -> DailyState:
+    """The state of one fact from one scan; where means over groups are asked for, by way of the groups."""
+    key = model.key_between(fact, model.date_dimension)
+    inner = {tuple(c for c in m.group if c != key) for m in wanted.values() if isinstance(m, GroupMean)}
+    if len(inner) > 1:
+        raise ValueError(f"{fact} has means over groups of several kinds")
+    grain = [key, *(inner.pop() if inner else ())]
+    read, fine, columns, measures = parts_of(wanted, key)
+    rows = model.facts[fact].select(*sorted({*read, *grain})).groupBy(*grain).agg(*[p.build().alias(at) for at, p in fine.items()])
     if len(grain) > 1:
         rows = rows.groupBy(key).agg(*[p.build().alias(at) for at, p in columns.items()])
     return DailyState(rows, key, columns, measures)
