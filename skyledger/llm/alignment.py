@@ -52,13 +52,13 @@ SPACE = "▁"
 ODD_BLANK = re.compile(r"[^\S \n]")
 
 # The tables of pieces start anew at this many.
-MOST_KEPT = 500_000
+MOST_KEPT = 200_000
 
 # Pieces that are encoded as one text.
 PIECES_AT_ONCE = 4000
 
 # Bytes of text whose tokens and links a task holds at a time.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 # Links that are spread out at a time; a group with more than MOST_OPEN is counted by distinct ids.
 MOST_OPEN = 1 << 12
