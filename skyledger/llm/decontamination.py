@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.shared import for_python, id_and_text, ids_of
+from skyledger.llm.shared import for_python, id_and_text, ids_of, with_row_keys
 from skyledger.llm.words import IS_MARK, batches, encoded, shingle_hashes, word_hashes
 
 PART = 32
@@ -248,6 +248,10 @@ def _short_runs(near: np.ndarray, item: Item) -> np.ndarray:
 
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in whose text no test item is found; all columns stay."""
-    bad = find_items(docs, items).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("__bad"), "left_anti")
+    """The rows of ``docs`` in whose own text no test item is found; all columns stay.
+
+    Rows without id are searched as well, and of rows that share an id each is judged by itself.
+    """
+    keyed = with_row_keys(docs, "__key")
+    bad = find_items(keyed.select(F.col("__key").alias("doc_id"), "text"), items)
+    return keyed.join(bad.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*[keyed[f"`{c}`"] for c in docs.columns])

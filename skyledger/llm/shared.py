@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skyledger.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "for_python", "ids_of"]
+__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "with_row_keys", "for_python", "ids_of"]
 
 # rows_of_ids broadcasts one bit for each of so many hash slots: 2 MB, whatever the number of ids.
 ID_SLOTS = 1 << 24
@@ -30,6 +30,21 @@ def in_bucket(doc_id: str | Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def with_row_keys(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a long that names a row: its ``doc_id``, or where that is null or shared, a hash of id and text.
+
+    Rows with equal id and text have one key. Hashes are at 2^62 and above. Only the ids that
+    several rows share are joined to the rows, and they are written first, so their size is known.
+    """
+    ids = docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__shared"))
+    shared = materialize(ids.agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("__shared"), "shared-ids")
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    alone = F.col("doc_id").isNotNull() & F.col("__shared").isNull()
+    key = F.when(alone, F.col("doc_id").cast("long")).otherwise(own).alias(name)
+    joined = docs.join(shared, docs["doc_id"].cast("long") == F.col("__shared"), "left")
+    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], key)
+
+
 def rows_of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``rows`` whose ``doc_id`` is among ``ids`` (``doc_id``).
 
