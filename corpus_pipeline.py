@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontamination, jaccard_join, nbsvm, packing, pii
-from skyledger.llm.shared import in_bucket, materialize
+from skyledger.llm.shared import in_bucket, materialize, with_row_keys
 from skyledger.llm.shipping import ship_package
 
 
@@ -30,30 +30,34 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that share an id, one.
+    """One document of each group: that with the smallest id, one without id only where no other is there.
 
-    Rows without id are kept only where their text is empty or no row with an id has its set.
+    Rows that share an id are documents of their own; those that share id and text are one. A document
+    without words is in no group and stays.
     """
     ship_package(spark)
-    found = jaccard_join.near_duplicates(docs.filter("doc_id IS NOT NULL"))
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    one = docs.join(kept, docs["doc_id"].cast("long") == F.col("__kept")).select(*_columns(docs))
-    return one.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    keyed = with_row_keys(docs, "__key")
+    found = jaccard_join.near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")).distinct()
+    ids = keyed.select("__key", F.col("doc_id").cast("long").alias("__id")).distinct()
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key"))
+    kept = groups.join(ids, "__key").groupBy("__group").agg(first.alias("first")).select(F.col("first.__key").alias("__key"))
+    return keyed.join(kept, "__key").dropDuplicates(["__key"]).select(*_columns(docs))
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no test item is found."""
+    """Documents in which no test item is found, each row judged by its own text; repeated rows stay."""
     ship_package(spark)
     return decontamination.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*_columns(docs))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each span of personal data replaced by its kind."""
+    """All documents, with each span of personal data replaced by its kind; null texts stay null."""
     return pii.redact(docs).select(*_columns(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all documents in sequences of at most 2048 tokens; a null text is empty, every row counts."""
     ship_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
