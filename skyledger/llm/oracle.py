@@ -57,17 +57,17 @@ ORACLE["op13_repeated_passages"] = r"""
 WITH split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
 ), windows AS (
-  SELECT doc_id, unnest(range(1, len(w) - 18)) AS at, unnest(list_transform(range(1, len(w) - 18), lambda i: sha256(array_to_string(w[i:i + 19], ' ')))) AS h
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS pos, unnest(list_transform(range(1, len(w) - 18), lambda i: sha256(array_to_string(w[i:i + 19], ' ')))) AS h
   FROM split WHERE len(w) >= 20
 ), later AS (
-  SELECT doc_id, at FROM (SELECT doc_id, at, row_number() OVER (PARTITION BY h ORDER BY doc_id, at) AS n FROM windows) WHERE n > 1
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY h ORDER BY doc_id, pos) AS n FROM windows) WHERE n > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, at + k AS at FROM later, (SELECT unnest(range(20)) AS k)
-), lists AS (SELECT doc_id, list(at) AS ats, count(*) AS n FROM gone GROUP BY doc_id),
-words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM split),
+  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range(20)) AS k)
+), lists AS (SELECT doc_id, list(pos) AS ats, count(*) AS n FROM gone GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM split),
 left_over AS (
-  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.at) AS kept FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.at = words.at
-  WHERE gone.at IS NULL GROUP BY words.doc_id
+  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.pos) AS kept FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.pos = words.pos
+  WHERE gone.pos IS NULL GROUP BY words.doc_id
 )
 SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(lists.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM split LEFT JOIN lists USING (doc_id) LEFT JOIN left_over USING (doc_id)
