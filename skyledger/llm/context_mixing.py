@@ -9,7 +9,8 @@ A byte and the bytes before it that matter are one key. Blocks of texts send the
 to the bucket of the last two bytes before, the shortest context: every longer one ends with it, so a
 bucket has the counts of all its contexts of all orders, one for each context seen, without hashing.
 Each bucket moves the weights along its own training keys and fills the refining table; the
-buckets' weights are averaged by text size and the tables added. Then each bucket answers the
+buckets' moves are added, each by the curvature it was made with, and so are the tables, so that the
+weights hardly depend on the number of buckets. Then each bucket answers the
 blocks with the probabilities of the keys they asked for; equal keys are worked out once.
 """
 
@@ -36,7 +37,7 @@ END = 0xFF
 
 PRIOR = 0.2
 START_WEIGHT = 0.35
-RATE = 1.0
+RIDGE = 16.0
 SURE = 13.0
 CELLS = 33
 CELL_TRUST = 16.0
@@ -118,11 +119,30 @@ def stretch(counts: np.ndarray) -> np.ndarray:
     return np.log((counts[..., 1] + np.float32(PRIOR)) / (counts[..., 0] + np.float32(PRIOR)))
 
 
+def start_curves() -> np.ndarray:
+    """Curvature by bit, gate, and two orders before any key: how firmly the weights stay where they start."""
+    size = len(ORDERS) + 1
+    return np.broadcast_to(RIDGE * np.eye(size), (8, size, size, size)).copy()
+
+
+def joined_weights(curves: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The weights from the sums over buckets of curvature, less the start's, and of curvature times move."""
+    return start_weights() + np.linalg.solve(curves + start_curves(), moves[..., None])[..., 0]
+
+
 def _learn_slice(
-    weights: np.ndarray, cells: np.ndarray, keys: np.ndarray, times: np.ndarray, counts: Iterator[list[np.ndarray]]
+    weights: np.ndarray,
+    curves: np.ndarray,
+    cells: np.ndarray,
+    keys: np.ndarray,
+    times: np.ndarray,
+    counts: Iterator[list[np.ndarray]],
 ) -> None:
-    """One step of ``weights`` along the keys; ``counts`` has per bit the (0, 1) counts of each order without the bit itself."""
-    gates = np.eye(weights.shape[1], dtype=np.float32)
+    """One step of ``weights`` along the keys; ``counts`` has per bit the (0, 1) counts of each order without the bit itself.
+
+    A step is the slope over the curvature of all keys so far, so steps get shorter. A squared error counts as
+    curvature where it is the larger: a prediction that is sure and wrong has next to none of its own.
+    """
     for place, ((node, bit), known) in enumerate(zip(_nodes(keys), counts, strict=True)):
         x, _ = _inputs([stretch(n) for n in known])
         gate = _known(known)
@@ -131,10 +151,14 @@ def _learn_slice(
         cell = _cells(node, total)
         cells[1] += np.bincount(cell, times, len(cells[1]))
         cells[0] += np.bincount(cell, times * bit, len(cells[0]))
-        chosen = gates[gate]
-        slope = chosen.T @ ((times * (bit - p))[:, None] * x)
-        curve = chosen.T @ ((times * p * (1 - p))[:, None] * x * x)
-        weights[place] += RATE / len(ORDERS) * slope / (curve + 1.0)
+        error = bit - p
+        slope, curve = times * error, times * np.maximum(p * (1 - p), error * error)
+        for k in range(weights.shape[1]):
+            at = np.flatnonzero(gate == k)
+            if len(at):
+                own = x[at].astype(np.float64)
+                curves[place, k] += (own * curve[at, None]).T @ own
+                weights[place, k] += np.linalg.solve(curves[place, k], own.T @ slope[at])
 
 
 def _known(counts: list[np.ndarray]) -> np.ndarray:
@@ -199,10 +223,12 @@ class Contexts:
         count = max(STEPS, -(-len(at) // SLICE_KEYS))
         yield from (at[k::count] for k in range(count) if k < len(at))
 
-    def learn(self, weights: np.ndarray, cells: np.ndarray) -> None:
-        """Move ``weights`` along the keys that training texts have, and note in ``cells`` what became of each."""
+    def learn(self, weights: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Move ``weights`` along the keys that training texts have, note in ``cells`` what became of each; the curvature."""
+        curves = start_curves()
         for at in self.slices(np.flatnonzero(self.times)):
-            _learn_slice(weights, cells, self.keys[at], self.times[at].astype(np.float32), self.counts(at, 1))
+            _learn_slice(weights, curves, cells, self.keys[at], self.times[at].astype(np.float32), self.counts(at, 1))
+        return curves
 
     def log10(self, learnt: Learnt) -> np.ndarray:
         """log10 of the probability of each key's byte after its context."""
@@ -338,15 +364,15 @@ def _summed(tables: DataFrame) -> dict[tuple[int, int], np.ndarray]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for frame in frames:
             for kind, part, content in zip(frame["kind"], frame["range"], frame["content"], strict=True):
-                own = np.frombuffer(zlib.decompress(content), dtype="<f4").astype(np.float64)
+                own = np.frombuffer(zlib.decompress(content), dtype="<f8")
                 sums[kind, part] = sums[kind, part] + own if (kind, part) in sums else own
         for (kind, part), total in sums.items():
-            packed = zlib.compress(total.astype("<f4").tobytes(), 1)
+            packed = zlib.compress(total.astype("<f8").tobytes(), 1)
             yield pd.DataFrame([(kind, part, packed)], columns=["kind", "range", "content"])
 
     parts = min(shuffle_partitions(tables.sparkSession), RANGES * len(ORDERS))
     rows = tables.repartition(parts, "kind", "range").mapInPandas(add, TABLES).collect()
-    return {(r["kind"], r["range"]): np.frombuffer(zlib.decompress(r["content"]), dtype="<f4") for r in rows}
+    return {(r["kind"], r["range"]): np.frombuffer(zlib.decompress(r["content"]), dtype="<f8") for r in rows}
 
 
 def train_mixer(requests: DataFrame) -> Learnt:
@@ -358,18 +384,19 @@ def train_mixer(requests: DataFrame) -> Learnt:
     def weigh(frame: pd.DataFrame) -> pd.DataFrame:
         contexts, _ = _gathered(frame)
         weights, cells = start_weights(), np.zeros((2, 256 * CELLS))
-        contexts.learn(weights, cells)
+        curves = contexts.learn(weights, cells)
+        moves = (curves @ (weights - start_weights())[..., None])[..., 0]
         size = float(contexts.times.sum())
-        arrays = (weights.ravel() * size, np.array([size]), cells[0], cells[1])
-        rows = [(kind, 0, zlib.compress(a.astype("<f4").tobytes(), 1)) for kind, a in enumerate(arrays)]
+        arrays = (moves.ravel(), np.array([size]), cells[0], cells[1], (curves - start_curves()).ravel())
+        rows = [(kind, 0, zlib.compress(a.astype("<f8").tobytes(), 1)) for kind, a in enumerate(arrays)]
         return pd.DataFrame(rows, columns=["kind", "range", "content"])
 
     learnt = _summed(requests.groupBy("bucket").applyInPandas(weigh, TABLES))
     if not learnt or not learnt[1, 0][0]:
         none = np.zeros(256 * CELLS)
         return Learnt(start_weights(), none, none)
-    weights = learnt[0, 0].astype(np.float64).reshape(8, len(ORDERS) + 1, -1) / float(learnt[1, 0][0])
-    return Learnt(weights, learnt[2, 0].astype(np.float64), learnt[3, 0].astype(np.float64))
+    curves = learnt[4, 0].reshape(start_curves().shape)
+    return Learnt(joined_weights(curves, learnt[0, 0].reshape(start_weights().shape)), learnt[2, 0], learnt[3, 0])
 
 
 END_WORD = np.uint64(0)

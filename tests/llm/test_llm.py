@@ -460,6 +460,21 @@ def test_exact_mixer_is_a_distribution():
     assert (context_mixing.unpacked_keys(packed, len(joined)) == joined).all()
 
 
+def test_weights_do_not_depend_on_the_number_of_buckets(spark, sf_dir):
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(120).collect()]
+    docs = _docs(spark, list(enumerate(texts)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    bits = []
+    for partitions in ("4", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            got = context_mixing.score_texts(docs, ~queries.in_bucket("doc_id", 5, 1)).filter("held_out").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        bits.append(-sum(r["score"] for r in got) * math.log2(10) / sum(r["n_bytes"] for r in got))
+    assert math.isclose(*bits, rel_tol=0.02), bits
+
+
 # Vector search
 
 
