@@ -1,10 +1,11 @@
 """A table of KPI requests answered in one plan.
 
-All requests together decide what is computed: each fact is scanned once and reduced to partial
-results per date and member, once without a dimension and once for each dimension it is related
-to. Periods are covered by blocks of 2^k days; a day meets a period through the one block that
-holds it, so dates and periods join on equal keys however many periods overlap. The values are
-then looked up by metric, dimension and period, and rankings are cut per request.
+All requests together decide what is computed: each fact that an asked metric needs is scanned
+once and reduced to partial results per date and member, once without a dimension and once for each
+asked dimension it is related to. Periods are covered by blocks of 2^k days; a day meets a period
+through the one block that holds it, so dates and periods join on equal keys however many periods
+overlap. Members are placed once per metric, dimension and period, and the requests look up the
+values and places, however many ask for the same.
 """
 
 from __future__ import annotations
@@ -155,22 +156,40 @@ def answer_requests(model: Model, requests: DataFrame) -> DataFrame:
     """
     asked = materialize(validated(requests), "requests")
     taken = asked.filter("reason IS NULL")
-    metrics = [row[0] for row in KPI_REGISTRY]
-    axes = [NO_AXIS, *AXES]
+    # One row of approved names, so the plan is of what is asked: no more of them than the registry has.
+    named = taken.agg(F.collect_set("metric").alias("metrics"), F.collect_set("axis").alias("axes")).first()
+    metrics = [row[0] for row in KPI_REGISTRY if row[0] in named["metrics"]]
+    axes = [axis for axis in (NO_AXIS, *AXES) if axis == NO_AXIS or axis in named["axes"]]
+    refused = asked.filter("reason IS NOT NULL").select(
+        "request_id", "period_no", "metric", F.lit(None).cast("string").alias("member"), F.lit(None).cast("double").alias("value"), "reason"
+    )
+    if not metrics:
+        return refused.select(*ANSWER)
     needs = materialize(taken.select(*NEED).distinct(), "needs")
     facts = {MEASURES[x].fact for x in with_inputs(metrics, MEASURES) if isinstance(MEASURES[x], (Aggregate, GroupMean))}
-    model = restrict(model, {*facts, model.date_dimension, *(table for table, _ in AXES.values())})
-    values = _values(model, needs, metrics, axes)
-    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*NEED, "metric")]
-    named = values.withColumnsRenamed({c: f"of_{c}" for c in (*NEED, "metric")})
-    joined = taken.join(named, reduce(lambda a, b: a & b, same))
-    by_member = F.col("axis") != NO_AXIS
-    joined = joined.filter(~by_member | F.col("value").isNotNull())
+    model = restrict(model, {*facts, model.date_dimension, *(AXES[axis][0] for axis in axes if axis != NO_AXIS)})
+    values = materialize(_placed(_values(model, needs, metrics, axes)), "answers")
+    values = values.withColumnsRenamed({c: f"of_{c}" for c in (*NEED, "metric")})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*NEED, "metric")])
+    rankings = taken.filter("intent = 'ranking'")
+    own = Window.partitionBy("request_id", "period_no")
+    rankings = rankings.withColumn("is_alone", F.count(F.lit(1)).over(own) == 1)
+    kept = [taken.filter("intent <> 'ranking'").join(values, same)]
+    # The places are those of the need, whatever the number of requests for it.
+    place = F.when(F.col("ascending"), F.col("place_up")).otherwise(F.col("place_down"))
+    kept.append(rankings.filter("is_alone").join(values, same).filter(place <= F.coalesce("size", F.lit(1))))
+    # Rankings of one request and period compete for its places.
     order = F.when(F.col("ascending"), F.col("value")).otherwise(-F.col("value"))
-    place = F.rank().over(Window.partitionBy("request_id", "period_no").orderBy(order))
-    ranked = joined.withColumn("place", F.when(F.col("intent") == "ranking", place))
-    kept = ranked.filter(F.col("place").isNull() | (F.col("place") <= F.coalesce("size", F.lit(1))))
-    refused = asked.filter("reason IS NOT NULL").select(
-        "request_id", "period_no", "metric", F.lit(None).cast("string").alias("member"), F.lit(None).cast("double").alias("value"), "reason"
+    together = rankings.filter("NOT is_alone").join(values, same).withColumn("place", F.rank().over(own.orderBy(order)))
+    kept.append(together.filter(F.col("place") <= F.coalesce("size", F.lit(1))))
+    return reduce(DataFrame.unionByName, [rows.select(*ANSWER) for rows in [*kept, refused]])
+
+
+def _placed(values: DataFrame) -> DataFrame:
+    """The values of ``_values`` with their places among the members of a need, from below and from above; none without a value."""
+    group = Window.partitionBy(*NEED, "metric")
+    # A lookup has one value, blank or not.
+    values = values.filter((F.col("axis") == NO_AXIS) | F.col("value").isNotNull())
+    return values.withColumns(
+        {"place_up": F.rank().over(group.orderBy("value")), "place_down": F.rank().over(group.orderBy(-F.col("value")))}
     )
-    return kept.select(*ANSWER).unionByName(refused.select(*ANSWER))

@@ -113,3 +113,34 @@ def test_reasons_and_comparisons(spark, star):
 
 def test_no_requests(spark, star):
     assert requests.answer_requests(star, spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_only_what_is_asked_for_is_read(spark, star):
+    # Tables that no asked metric or dimension needs are not there at all.
+    named = {"fact_flight_operations", "dim_date", "dim_airline"}
+    facts, dimensions = ({k: v for k, v in tables.items() if k in named} for tables in (star.facts, star.dimensions))
+    rows = [(1, 1, "ranking", "Total Flights", "airline", None, None, None, False), (2, 1, "lookup", "Total Flights", None, *SPANS[1], None, None)]
+    asked = spark.createDataFrame(rows, SCHEMA)
+    few = requests.answer_requests(Model(facts, dimensions, star.relationships), asked).collect()
+    assert few and sorted(map(str, few)) == sorted(map(str, requests.answer_requests(star, asked).collect()))
+
+
+def test_rankings_are_cut_by_shared_places(spark, star):
+    spans = [(None, None), SPANS[1]]
+    rows = [(k, 1, "ranking", "Total Flights", "airline", *spans[k % 2], 1 + k % 3, k % 4 < 2) for k in range(24)]
+    rows += [(99, 1, "ranking", "Total Flights", "airline", *span, 2, False) for span in spans]
+    got = {}
+    for r in requests.answer_requests(star, spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault(r["request_id"], []).append((r["member"], r["value"]))
+    every = []
+    for k, _, _, metric, _, *span, size, ascending in rows:
+        period = kpi.Period("p", *span) if span[0] else None
+        found = [(r["member"], r["value"]) for r in kpi.kpi_breakdown(star, metric, "airline", period).collect()]
+        if k == 99:
+            every += found
+            continue
+        values = sorted((v for _, v in found), reverse=not ascending)
+        assert _rounded(got[k]) == _rounded([(m, v) for m, v in found if values.index(v) < size]), k
+    # Two rankings with one request and period compete for its places.
+    values = sorted((v for _, v in every), reverse=True)
+    assert _rounded(got[99]) == _rounded([(m, v) for m, v in every if values.index(v) < 2])
