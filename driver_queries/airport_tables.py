@@ -307,6 +307,15 @@ FACT_BUILDERS = {
     "fact_sustainability_daily": lambda c, m: airport.build_fact_sustainability(c["sustainability_daily"]),
     "fact_passenger_feedback": lambda c, m: airport.build_fact_feedback(c["passenger_feedback"]),
 }
+# Columns that no measure, attribute or relationship of the model reads: its facts do without them, so
+# they are in no join and no file.
+UNREAD = {
+    "fact_flight_operations": ["scheduled_time", "actual_time", "gate_in_time", "gate_out_time"],
+    "fact_baggage_operations": ["bag_event_id"],
+}
+MEASURED_BUILDERS = FACT_BUILDERS | {
+    name: lambda c, m, name=name, unread=unread: FACT_BUILDERS[name](c, m).drop(*unread) for name, unread in UNREAD.items()
+}
 DIMENSION_BUILDERS = {
     "dim_date": lambda c, m: airport.build_dim_date(c),
     "dim_airline": lambda c, m: airport.build_dim_airline(c["airlines"]),
@@ -315,8 +324,8 @@ DIMENSION_BUILDERS = {
     "dim_terminal_zone": lambda c, m: airport.build_dim_terminal_zone(c["gates"]),
 }
 
-# Tables of the model that were already written to the shared folder, by application, input and name.
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+# Tables of the model that were already written to the shared folder, by application, input, name and builder.
+_WRITTEN: dict[tuple, DataFrame] = {}
 
 
 class ModelTables(Mapping):
@@ -330,7 +339,7 @@ class ModelTables(Mapping):
         self.spark, self.sf_dir, self.builders = spark, sf_dir, builders
 
     def __getitem__(self, name: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name, self.builders[name])
         if key not in _WRITTEN:
             clean = CleanTables(self.spark, self.sf_dir)
             dimensions = ModelTables(self.spark, self.sf_dir, DIMENSION_BUILDERS)
@@ -350,7 +359,7 @@ class ModelTables(Mapping):
 def model(spark: SparkSession, sf_dir: str, revenue_by_zone: bool = False) -> Model:
     extra = (airport.REVENUE_ZONE,) if revenue_by_zone else ()
     return Model(
-        facts=ModelTables(spark, sf_dir, FACT_BUILDERS),
+        facts=ModelTables(spark, sf_dir, MEASURED_BUILDERS),
         dimensions=ModelTables(spark, sf_dir, DIMENSION_BUILDERS),
         relationships=airport.RELATIONSHIPS + extra,
         targets=airport.clean_targets(landed(spark, sf_dir, "operational_targets")),

@@ -46,7 +46,8 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     measured = fact
     for lookup, keys in zip(lookups, members, strict=True):
         if lookup.unique:
-            fact = fact.join(keys, lookup.business_key, "left")
+            # Unsorted on both sides: a dimension has one row per key, so partitions of them are even and small.
+            fact = fact.join(keys if fits_broadcast(keys) else keys.hint("shuffle_hash"), lookup.business_key, "left")
         else:
             # A key that an earlier lookup gave is measured on what that made.
             source = measured if lookup.business_key in measured.columns else None

@@ -209,6 +209,7 @@ def salted_join(
         .withColumn("__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
         .drop("__hash", "__hot", *on)
     )
-    joined = salted_left.join(salted_right, [*names, "__salt"], how).drop(*names, "__salt")
+    # A table of each partition's right rows: the large left side is neither sorted nor spilled.
+    joined = salted_left.join(salted_right.hint("shuffle_hash"), [*names, "__salt"], how).drop(*names, "__salt")
     others = [F.col(f"`{c}`") for c in joined.columns if c not in on]
     return joined.select(*on, *others)

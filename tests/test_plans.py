@@ -144,3 +144,20 @@ def test_a_filtered_fact_reads_the_same_columns_on_both_paths(spark, tmp_path):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert totals[0] == totals[1] == sum(i for i in range(50) if i % 7 % 2)
     assert max(schemas[0], key=len) == max(schemas[1], key=len) == "key:bigint,x:bigint"
+
+
+def test_large_lookups_are_not_sorted_and_unread_columns_not_written(spark, sf_dir):
+    from driver_queries.airport_tables import FACT_BUILDERS, ModelTables, model
+    from skyledger.operators.facts import Lookup, lookup_keys
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, dim = spark.range(40).selectExpr("id AS a", "id % 3 AS b"), spark.range(40).selectExpr("id AS a", "id AS a_key")
+        for unique in (True, False):
+            joined = lookup_keys(fact, [Lookup(dim, "a", "a_key", unique=unique)])
+            assert "SortMergeJoin" not in plan(joined) and joined.filter("a = a_key").count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "bag_event_id" not in model(spark, sf_dir).facts["fact_baggage_operations"].columns
+    assert "bag_event_id" in ModelTables(spark, sf_dir, FACT_BUILDERS)["fact_baggage_operations"].columns
