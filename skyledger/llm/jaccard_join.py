@@ -10,8 +10,10 @@ and verified on the whole texts.
 
 A shingle with more than SHORT_LIST groups would make a number of pairs that grows with its
 square. Such a list is joined in three steps. First its members are compared with a few of them,
-its hubs, the same ones for all lists that hold them; then, in some orders by hash, with one
-member of another component. That links nearly all that belongs together.
+its hubs, the same ones for all lists that hold them; then, in some orders by hash and in ROUNDS
+rounds, with one member of another component. That links nearly all that belongs together, so
+that few pairs are left for the third step. A list is cut for these steps only where it has more
+than LONGEST members, and each round deals them anew.
 Then, exactly, all pairs of the list that are not yet in one component. Long lists are cut to
 blocks, and each pair of blocks is a task's work of its own. No pair is left out: two classes
 of one component need no further link to be in it, and a group whose classes are in several
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, united
@@ -42,16 +44,17 @@ WIDTH = 5
 PERCENT = 75
 
 # Groups of one list that are paired at once, hubs of a longer list, orders in which its members
-# meet their neighbours, and members of a block.
+# meet their neighbours in a round, rounds, and members of a block.
 SHORT_LIST = 16
 HUBS = 2
 TURNS = 2
+ROUNDS = 2
 BLOCK = 512
 
 # Classes that share a group; a larger one is left as single classes.
 LARGEST_GROUP = 16
 
-# Groups in a list of the first step.
+# Groups of one list that are in one task in the first two steps.
 LONGEST = 4096
 
 # Bits of a sketch: the power of two from the size of the set on, within these.
@@ -63,10 +66,14 @@ TOKEN_BYTES = 6
 # Bytes of prefixes that are opened at once.
 POSTED = 1 << 20
 
-# Bytes of sketches that are compared at once, and distinct pairs that a task holds before it passes them on.
+# Bytes of sketches that are compared at once, pairs that wait for it, and distinct pairs that a task holds before it passes them on.
 COMPARED = 1 << 23
+MOST_WAITING = 1 << 18
 MOST_HELD = 1 << 20
 
+# Pairs of texts that are opened at once.
+VERIFIED = 256
+
 SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, prefix_sig long, prefix binary, sketch binary"
 POSTINGS = "token long, list long, gid long, size int, place int"
 FOUND = f"a long, b long, {POSTINGS}"
@@ -276,6 +283,19 @@ def _lists(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
+def cut_lists(long_lists: DataFrame, *by: str | Column) -> DataFrame:
+    """The postings with ``list``: the token, with a piece of about LONGEST members where it has more.
+
+    Members are dealt to the pieces by a hash of ``by``. Only longer lists are broadcast, 16 bytes
+    for each LONGEST postings at most.
+    """
+    lengths = long_lists.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > LONGEST)
+    pieces = lengths.select("token", F.ceil(F.col("members") / LONGEST).alias("pieces"))
+    piece = F.xxhash64("token", F.pmod(F.xxhash64(*by), F.col("pieces")))
+    dealt = long_lists.join(F.broadcast(pieces), "token", "left")
+    return dealt.withColumn("list", F.when(F.col("pieces").isNull(), F.col("token")).otherwise(piece)).drop("pieces")
+
+
 def short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of the short lists: ``a, b``.
 
@@ -373,7 +393,7 @@ def hub_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                     found.append((at[keep], others[keep]))
             yield _near_pairs(frame, found, percent)
 
-    return _by_list(long_lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
+    return _by_list(cut_lists(long_lists, "gid")).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
 def _across(names: np.ndarray, component: np.ndarray) -> np.ndarray:
@@ -390,8 +410,11 @@ def _across(names: np.ndarray, component: np.ndarray) -> np.ndarray:
     return begin + (np.arange(len(names)) - begin + np.repeat(largest, length)) % np.repeat(length, length)
 
 
-def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of long lists across their components, one a member in each of TURNS orders by hash."""
+def neighbour_pairs(long_lists: DataFrame, percent: int, done: int = 0) -> DataFrame:
+    """Pairs of long lists across their components, one a member in each of TURNS orders by hash.
+
+    After ``done`` rounds the orders and the pieces of a list are others.
+    """
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _lists(frames):
@@ -399,7 +422,7 @@ def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
             component = frame["component"].to_numpy(np.int64)
             size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
             found = []
-            for turn in range(1, TURNS + 1):
+            for turn in range(TURNS * done + 1, TURNS * (done + 1) + 1):
                 with np.errstate(over="ignore"):
                     dealt = mix(mix(gid.astype(np.uint64) + np.uint64(turn)) + names.astype(np.uint64))
                 order = np.lexsort((dealt, component, names))
@@ -410,7 +433,8 @@ def neighbour_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                 found.append((x[keep], y[keep]))
             yield _near_pairs(frame, found, percent)
 
-    return _by_list(long_lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
+    lists = cut_lists(long_lists, "gid", "token", F.lit(done))
+    return _by_list(lists).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
 
 
 def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
@@ -436,7 +460,7 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
             component = frame["component"].to_numpy(np.int64)
             size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
             own, alone = frame["own"].to_numpy(), frame["alone"].to_numpy()
-            found = []
+            found, waiting = [], 0
             for first, last in zip(edges[:-1], edges[1:], strict=True):
                 for x in range(first, last - 1):
                     y = np.arange(x + 1, last)
@@ -444,6 +468,10 @@ def block_pairs(long_lists: DataFrame, percent: int) -> DataFrame:
                     y = y[_room(size, place, np.full(len(y), x), y, percent)]
                     if len(y):
                         found.append((np.full(len(y), x), y))
+                        waiting += len(y)
+                    if waiting >= MOST_WAITING:
+                        yield _near_pairs(frame, found, percent)
+                        found, waiting = [], 0
             yield _near_pairs(frame, found, percent)
 
     return _by_list(dealt).mapInPandas(lambda frames: _once(pair(frames)), PAIRS).distinct()
@@ -508,11 +536,13 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             kept = []
-            left = shingle_sets(encoded(frame["text_a"]), width)
-            right = shingle_sets(encoded(frame["text_b"]), width)
-            for x, y in zip(left, right, strict=True):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            for first in range(0, len(frame), VERIFIED):
+                part = frame.iloc[first : first + VERIFIED]
+                left = shingle_sets(encoded(part["text_a"]), width)
+                right = shingle_sets(encoded(part["text_b"]), width)
+                for x, y in zip(left, right, strict=True):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    kept.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield frame.loc[kept, ["a", "b"]]
 
     return pairs.join(one, "a").join(two, "b").mapInPandas(check, PAIRS)
@@ -534,7 +564,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     sets = materialize(described_sets(texts, hot, width, percent), "sets")
     classes = grouped(sets)
     found = materialize(short_pairs(_by_list(postings(sets, classes, hot)), percent), "found")
-    long_lists = found.filter("token IS NOT NULL").select("token", "list", "gid", "size", "place")
+    long_lists = found.filter("token IS NOT NULL").select("token", "gid", "size", "place")
     long_lists = materialize(sketched(long_lists, sets, classes), "long")
     own = texts.filter("doc_id IS NOT NULL")
     paired = found.filter("token IS NULL").select("a", "b").union(hub_pairs(long_lists, percent)).distinct()
@@ -542,10 +572,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     first = near_pairs(materialize(first.distinct(), "pairs"), sets, percent)
     links = materialize(verified(materialize(first, "near"), own, width, percent).distinct(), "links")
     labels = components(links)
-    for candidates in (neighbour_pairs, block_pairs):
+    for done in range(ROUNDS + 1):
         split = several_components(sets, classes, labels)
         labelled = with_components(long_lists, split, labels)
-        rest = expanded(candidates(labelled, percent), ungrouped(classes, split))
+        candidates = neighbour_pairs(labelled, percent, done) if done < ROUNDS else block_pairs(labelled, percent)
+        rest = expanded(candidates, ungrouped(classes, split))
         rest = rest.join(links, ["a", "b"], "left_anti").distinct()
         rest = near_pairs(materialize(rest, "pairs"), sets, percent)
         more = materialize(verified(materialize(rest, "near"), own, width, percent).distinct(), "links")

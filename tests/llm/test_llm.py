@@ -267,6 +267,27 @@ def test_near_duplicates_of_groups_in_several_components(spark):
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_neighbours_meet_in_whole_lists(spark, monkeypatch):
+    # Links through hot shingles only: few pairs may be left for the exact step, however many documents there are.
+    monkeypatch.setattr(jaccard_join, "LONGEST", 64)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    left = []
+    exact = jaccard_join.block_pairs
+    monkeypatch.setattr(jaccard_join, "block_pairs", lambda *a: left.append(exact(*a).count()) or exact(*a))
+    rng = random.Random(11)
+    body = [f"b{k}" for k in range(100)]
+    rows = []
+    for i in range(48):
+        words = list(body)
+        words[rng.randrange(100)] = f"u{i}"
+        rows.append((i, " ".join(words)))
+    for i in range(1500):
+        rows.append((100 + i, " ".join(f"r{rng.randrange(10**6)}" for _ in range(10))))
+    got = jaccard_join.near_duplicates(_docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == _brute_components(rows)
+    assert left == [0]
+
+
 def test_sketches_bound_the_difference_of_sets():
     rng = np.random.default_rng(5)
     for size, common in [(40, 30), (300, 240), (3000, 2000), (20000, 17000), (300, 0)]:
