@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, united
 from skyledger.llm.hot_shingles import hot_shingles
-from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, rows_of_ids, shuffle_partitions
+from skyledger.llm.shared import batches_of_bytes, for_python, id_and_text, ids_of, materialize, rows_of_ids, shuffle_partitions
 from skyledger.llm.words import batches, encoded, mix, shingle_sets
 
 WIDTH = 5
@@ -71,7 +71,8 @@ COMPARED = 1 << 23
 MOST_WAITING = 1 << 18
 MOST_HELD = 1 << 20
 
-# Pairs of texts that are opened at once.
+# Bytes of rows that go to a worker at once, and pairs of texts that are opened at once.
+SENT = 1 << 23
 VERIFIED = 256
 
 SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, prefix_sig long, prefix binary, sketch binary"
@@ -560,29 +561,31 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """
     texts = id_and_text(docs)
     spark = docs.sparkSession
-    hot = spark.sparkContext.broadcast(hot_shingles(texts, width, shuffle_partitions(spark)))
-    sets = materialize(described_sets(texts, hot, width, percent), "sets")
-    classes = grouped(sets)
-    found = materialize(short_pairs(_by_list(postings(sets, classes, hot)), percent), "found")
-    long_lists = found.filter("token IS NOT NULL").select("token", "gid", "size", "place")
-    long_lists = materialize(sketched(long_lists, sets, classes), "long")
-    own = texts.filter("doc_id IS NOT NULL")
-    paired = found.filter("token IS NULL").select("a", "b").union(hub_pairs(long_lists, percent)).distinct()
-    first = expanded(paired, classes).union(inner_pairs(classes))
-    first = near_pairs(materialize(first.distinct(), "pairs"), sets, percent)
-    links = materialize(verified(materialize(first, "near"), own, width, percent).distinct(), "links")
-    labels = components(links)
-    for done in range(ROUNDS + 1):
-        split = several_components(sets, classes, labels)
-        labelled = with_components(long_lists, split, labels)
-        candidates = neighbour_pairs(labelled, percent, done) if done < ROUNDS else block_pairs(labelled, percent)
-        rest = expanded(candidates, ungrouped(classes, split))
-        rest = rest.join(links, ["a", "b"], "left_anti").distinct()
-        rest = near_pairs(materialize(rest, "pairs"), sets, percent)
-        more = materialize(verified(materialize(rest, "near"), own, width, percent).distinct(), "links")
-        labels = united(labels, components(_lifted(more, labels)))
-        links = links.union(more)
-    return _labelled(sets, labels)
+    # All that runs in Python is written here, so the limit need not outlive this call.
+    with batches_of_bytes(spark, SENT):
+        hot = spark.sparkContext.broadcast(hot_shingles(texts, width, shuffle_partitions(spark)))
+        sets = materialize(described_sets(texts, hot, width, percent), "sets")
+        classes = grouped(sets)
+        found = materialize(short_pairs(_by_list(postings(sets, classes, hot)), percent), "found")
+        long_lists = found.filter("token IS NOT NULL").select("token", "gid", "size", "place")
+        long_lists = materialize(sketched(long_lists, sets, classes), "long")
+        own = texts.filter("doc_id IS NOT NULL")
+        paired = found.filter("token IS NULL").select("a", "b").union(hub_pairs(long_lists, percent)).distinct()
+        first = expanded(paired, classes).union(inner_pairs(classes))
+        first = near_pairs(materialize(first.distinct(), "pairs"), sets, percent)
+        links = materialize(verified(materialize(first, "near"), own, width, percent).distinct(), "links")
+        labels = components(links)
+        for done in range(ROUNDS + 1):
+            split = several_components(sets, classes, labels)
+            labelled = with_components(long_lists, split, labels)
+            candidates = neighbour_pairs(labelled, percent, done) if done < ROUNDS else block_pairs(labelled, percent)
+            rest = expanded(candidates, ungrouped(classes, split))
+            rest = rest.join(links, ["a", "b"], "left_anti").distinct()
+            rest = near_pairs(materialize(rest, "pairs"), sets, percent)
+            more = materialize(verified(materialize(rest, "near"), own, width, percent).distinct(), "links")
+            labels = united(labels, components(_lifted(more, labels)))
+            links = links.union(more)
+        return _labelled(sets, labels)
 
 
 def _lifted(links: DataFrame, labels: DataFrame) -> DataFrame:

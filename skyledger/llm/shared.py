@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "with_row_keys", "for_python", "ids_of"]
+__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "with_row_keys", "for_python", "ids_of", "batches_of_bytes"]
 
 # rows_of_ids broadcasts one bit for each of so many hash slots: 2 MB, whatever the number of ids.
 ID_SLOTS = 1 << 24
 SLOTS_IN_MAP = 1 << 15
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -71,3 +76,17 @@ def for_python(rows: DataFrame) -> DataFrame:
 def ids_of(frame: pd.DataFrame) -> pd.Series:
     """The ids of a batch of ``for_python`` with its nulls."""
     return frame["doc_id"].astype("Int64").mask(frame["no_id"].astype(bool))
+
+
+@contextmanager
+def batches_of_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Rows that go to Python while the block runs go in batches of about ``limit`` bytes.
+
+    A batch lies whole in the executor's direct memory, which is kept for the next one, and in the worker.
+    """
+    before = spark.conf.get(BATCH_LIMIT)
+    spark.conf.set(BATCH_LIMIT, f"{limit}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_LIMIT, before)

@@ -31,6 +31,7 @@ from skyledger.llm import (
     warc,
     wavelet,
 )
+from skyledger.llm import shared
 from skyledger.llm.shipping import ship_package
 from skyledger.llm.tokens import Encoder
 from skyledger.llm.words import IS_MARK, encoded, shingle_sets, word_hashes
@@ -288,6 +289,19 @@ def test_neighbours_meet_in_whole_lists(spark, monkeypatch):
     assert left == [0]
 
 
+def test_batches_are_bounded_by_bytes_and_the_limit_is_put_back(spark, monkeypatch):
+    limits = []
+    found = jaccard_join.described_sets
+    monkeypatch.setattr(jaccard_join, "described_sets", lambda *a: limits.append(spark.conf.get(shared.BATCH_LIMIT)) or found(*a))
+    before = spark.conf.get(shared.BATCH_LIMIT)
+    jaccard_join.near_duplicates(_docs(spark, [(1, "a b c")])).collect()
+    assert limits == [f"{jaccard_join.SENT}b"] and spark.conf.get(shared.BATCH_LIMIT) == before
+    rows = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('x', 1000) AS text")
+    with shared.batches_of_bytes(spark, 1 << 18):
+        sizes = rows.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()
+    assert max(r["n"] for r in sizes) < 1000 and sum(r["n"] for r in sizes) == 4000
+
+
 def test_sketches_bound_the_difference_of_sets():
     rng = np.random.default_rng(5)
     for size, common in [(40, 30), (300, 240), (3000, 2000), (20000, 17000), (300, 0)]:
