@@ -32,12 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components, united
 from skyledger.llm.hot_shingles import hot_shingles
-from skyledger.llm.shared import batches_of_bytes, for_python, id_and_text, ids_of, materialize, rows_of_ids, shuffle_partitions
+from skyledger.llm.shared import batches_of_bytes, for_python, id_and_text, ids_of, materialize, plans_not_compiled, rows_of_ids, shuffle_partitions
 from skyledger.llm.words import batches, encoded, mix, shingle_sets
 
 WIDTH = 5
@@ -482,9 +482,10 @@ def several_components(sets: DataFrame, classes: DataFrame, labels: DataFrame) -
     """``gid, rep, size, component, sketch`` of the classes of groups that are not in one component."""
     of_class = labels.select(F.col("node").alias("rep"), "component")
     own = classes.filter("NOT single").join(of_class, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    own = materialize(own.select("gid", "rep", "size", "component"), "members")
-    parted = own.groupBy("gid").agg(F.min("component").alias("one"), F.max("component").alias("other"))
-    split = materialize(own.join(parted.filter("one <> other").select("gid"), "gid"), "split")
+    # A group has at most LARGEST_GROUP classes.
+    group = Window.partitionBy("gid")
+    parted = own.withColumns({"one": F.min("component").over(group), "other": F.max("component").over(group)})
+    split = materialize(parted.filter("one <> other").select("gid", "rep", "size", "component"), "split")
     if split.isEmpty():
         return split.withColumn("sketch", F.lit(None).cast("binary"))
     reps = split.select(F.col("rep").alias("doc_id")).distinct()
@@ -562,7 +563,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     texts = id_and_text(docs)
     spark = docs.sparkSession
     # All that runs in Python is written here, so the limit need not outlive this call.
-    with batches_of_bytes(spark, SENT):
+    with batches_of_bytes(spark, SENT), plans_not_compiled(spark):
         hot = spark.sparkContext.broadcast(hot_shingles(texts, width, shuffle_partitions(spark)))
         sets = materialize(described_sets(texts, hot, width, percent), "sets")
         classes = grouped(sets)

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from skyledger.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "with_row_keys", "for_python", "ids_of", "batches_of_bytes"]
+__all__ = ["materialize", "scratch_path", "shuffle_partitions", "id_and_text", "in_bucket", "rows_of_ids", "with_row_keys", "for_python", "ids_of", "batches_of_bytes", "plans_not_compiled"]
 
 # rows_of_ids broadcasts one bit for each of so many hash slots: 2 MB, whatever the number of ids.
 ID_SLOTS = 1 << 24
 SLOTS_IN_MAP = 1 << 15
 
 BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+WHOLE_STAGE = "spark.sql.codegen.wholeStage"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -90,3 +91,17 @@ def batches_of_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(BATCH_LIMIT, before)
+
+
+@contextmanager
+def plans_not_compiled(spark: SparkSession) -> Iterator[None]:
+    """Stages that run inside the block are not made into classes of their own.
+
+    The driver compiles and keeps those classes, which many small plans do not earn back.
+    """
+    before = spark.conf.get(WHOLE_STAGE)
+    spark.conf.set(WHOLE_STAGE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(WHOLE_STAGE, before)
