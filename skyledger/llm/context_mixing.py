@@ -22,10 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, shuffle_partitions
+from skyledger.llm.blocks import cut, read_arrays, write_arrays
+from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, scratch_path, shuffle_partitions
 from skyledger.llm.words import batches, encoded, mix, word_hashes
 
 ORDERS = (2, 3, 4, 6)
@@ -58,7 +60,7 @@ LOOKUP_ROWS = 2048
 TABLES = "kind int, range int, content binary"
 REQUESTS = "bucket int, block long, words binary, counts binary"
 KEY_REQUESTS = "bucket int, block long, size int, keys binary, counts binary"
-REPLIES = "block long, bucket int, words binary, counts binary"
+REPLIES = "block long, bucket int, counts binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
     "n_bytes long"
@@ -182,11 +184,13 @@ def _log10(weights: np.ndarray, ones: np.ndarray, seen: np.ndarray, keys: np.nda
 
 @dataclass(frozen=True)
 class Learnt:
-    """Weights by bit, gate and order, and the refining table."""
+    """Weights by bit, gate and order, the refining table, and the buckets whose requests lie in ``folder``."""
 
     weights: np.ndarray
     ones: np.ndarray
     total: np.ndarray
+    folder: str = ""
+    buckets: frozenset[int] = frozenset()
 
 
 class Contexts:
@@ -324,18 +328,34 @@ def _gathered(frame: pd.DataFrame) -> tuple[Contexts, list[np.ndarray]]:
     return Contexts(distinct, times), np.split(place, np.cumsum(frame["size"].to_numpy(np.int64))[:-1])
 
 
-def _key_replies(requests: DataFrame, learnt) -> DataFrame:
+def _store_requests(folder: str, bucket: int, frame: pd.DataFrame) -> None:
+    """The requests of a bucket as one file, so that they are shuffled once for learning and answering."""
+    sizes = [np.array([len(x) for x in frame[c]], dtype="<i8") for c in ("keys", "counts")]
+    numbers = [frame["block"].to_numpy("<i8"), frame["size"].to_numpy("<i8"), *sizes]
+    write_arrays(folder, _bucket_name(bucket), [*numbers, b"".join(frame["keys"]), b"".join(frame["counts"])])
+
+
+def _stored_requests(folder: str, bucket: int) -> pd.DataFrame:
+    *numbers, keys, counts = read_arrays(folder, _bucket_name(bucket))
+    block, size, of_keys, of_counts = (np.frombuffer(x, dtype="<i8") for x in numbers)
+    return pd.DataFrame({"block": block, "size": size, "keys": cut(keys, of_keys), "counts": cut(counts, of_counts)})
+
+
+def _bucket_name(bucket: int) -> str:
+    return f"{bucket:08x}.requests"
+
+
+def _key_replies(spark: SparkSession, learnt: Broadcast, buckets: int) -> DataFrame:
     """The probabilities (log10) that each block asked for, in the order of its keys; buckets count from -1 down."""
 
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        contexts, places = _gathered(frame)
-        logs = contexts.log10(learnt.value).astype("<f4")
-        out = frame[["block"]].copy()
-        out["bucket"], out["words"] = -1 - frame["bucket"], b""
-        out["counts"] = [logs[p].tobytes() for p in places]
-        return out
+    def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bucket in (k for frame in frames for k in frame["id"].tolist() if k in learnt.value.buckets):
+            asked = _stored_requests(learnt.value.folder, bucket)
+            contexts, places = _gathered(asked)
+            logs = contexts.log10(learnt.value).astype("<f4")
+            yield pd.DataFrame({"block": asked["block"], "bucket": -1 - bucket, "counts": [logs[p].tobytes() for p in places]})
 
-    return requests.groupBy("bucket").applyInPandas(answer, REPLIES)
+    return spark.range(0, buckets, 1, shuffle_partitions(spark)).mapInPandas(answer, REPLIES)
 
 
 def log10_of_texts(texts: Sequence[bytes], buckets: int, replies: dict[int, np.ndarray]) -> np.ndarray:
@@ -378,10 +398,14 @@ def _summed(tables: DataFrame) -> dict[tuple[int, int], np.ndarray]:
 def train_mixer(requests: DataFrame) -> Learnt:
     """Learn from the counts of all key requests. What reaches the driver has a fixed size.
 
-    Without any text all predictions are even.
+    Without any text all predictions are even. Each bucket leaves its requests in a file, to be answered from it.
     """
+    folder = scratch_path(requests.sparkSession, "key-requests")
 
     def weigh(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("block", ignore_index=True)
+        bucket = int(frame["bucket"].iloc[0])
+        _store_requests(folder, bucket, frame)
         contexts, _ = _gathered(frame)
         weights, cells = start_weights(), np.zeros((2, 256 * CELLS))
         curves = contexts.learn(weights, cells)
@@ -389,14 +413,17 @@ def train_mixer(requests: DataFrame) -> Learnt:
         size = float(contexts.times.sum())
         arrays = (moves.ravel(), np.array([size]), cells[0], cells[1], (curves - start_curves()).ravel())
         rows = [(kind, 0, zlib.compress(a.astype("<f8").tobytes(), 1)) for kind, a in enumerate(arrays)]
+        rows.append((len(arrays), bucket, zlib.compress(b"", 1)))
         return pd.DataFrame(rows, columns=["kind", "range", "content"])
 
     learnt = _summed(requests.groupBy("bucket").applyInPandas(weigh, TABLES))
+    stored = frozenset(bucket for kind, bucket in learnt if kind == 5)
     if not learnt or not learnt[1, 0][0]:
         none = np.zeros(256 * CELLS)
-        return Learnt(start_weights(), none, none)
+        return Learnt(start_weights(), none, none, folder, stored)
     curves = learnt[4, 0].reshape(start_curves().shape)
-    return Learnt(joined_weights(curves, learnt[0, 0].reshape(start_weights().shape)), learnt[2, 0], learnt[3, 0])
+    weights = joined_weights(curves, learnt[0, 0].reshape(start_weights().shape))
+    return Learnt(weights, learnt[2, 0], learnt[3, 0], folder, stored)
 
 
 END_WORD = np.uint64(0)
@@ -413,15 +440,20 @@ def _numbered(docs: DataFrame, training: Column) -> DataFrame:
     return rows.withColumn("block", F.floor(F.monotonically_increasing_id() / LOOKUP_ROWS))
 
 
+def _by_owner(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of sorted words by the bucket that counts them, and where each bucket begins."""
+    owner = (words % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    return order, np.searchsorted(owner[order], np.arange(buckets + 1))
+
+
 def _requests(rows: DataFrame, buckets: int) -> DataFrame:
     """Per block and range of hashes: its distinct words and how often its training texts have them."""
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block, part in _whole_blocks(frames):
             distinct, counts = _tally(encoded(part["text"]), part["training"].to_numpy(dtype=bool))
-            owner = (distinct % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(owner, kind="stable")
-            edges = np.searchsorted(owner[order], np.arange(buckets + 1))
+            order, edges = _by_owner(distinct, buckets)
             out = []
             for k in range(buckets):
                 chosen = order[edges[k] : edges[k + 1]]
@@ -447,7 +479,7 @@ def _tally(texts: list[bytes], training: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _replies(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What each block asked for with the counts of the whole corpus, and totals per bucket."""
+    """The counts in the whole corpus of what each block asked for, in its order, and totals per bucket."""
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(x, dtype="<u8") for x in frame["words"]]
@@ -455,10 +487,10 @@ def _replies(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         distinct, place = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(place, counts, len(distinct)).astype("<i8")
         ends = np.cumsum([len(x) for x in words])[:-1]
-        out = frame[["block", "bucket", "words"]].copy()
+        out = frame[["block", "bucket"]].copy()
         out["counts"] = [total[p].tobytes() for p in np.split(place, ends)]
         sums = np.array([total.sum(), np.count_nonzero(total)], dtype="<i8")
-        own = pd.DataFrame([(-1, int(frame["bucket"].iloc[0]), b"", sums.tobytes())], columns=list(out.columns))
+        own = pd.DataFrame([(-1, int(frame["bucket"].iloc[0]), sums.tobytes())], columns=list(out.columns))
         return pd.concat([out, own], ignore_index=True)
 
     answered = materialize(requests.groupBy("bucket").applyInPandas(answer, REPLIES), "word-counts")
@@ -480,22 +512,21 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
     sums = [np.frombuffer(r["counts"], dtype="<i8") for r in totals.select("counts").collect()]
     tokens, distinct = (int(x) for x in np.sum([*sums, np.zeros(2, np.int64)], axis=0))
     key_buckets = BUCKETS * buckets
-    key_requests = materialize(_key_requests(rows, key_buckets), "key-requests")
-    learnt = docs.sparkSession.sparkContext.broadcast(train_mixer(key_requests))
-    replies = replies.select("block", "bucket", "words", "counts").union(_key_replies(key_requests, learnt))
+    learnt = docs.sparkSession.sparkContext.broadcast(train_mixer(_key_requests(rows, key_buckets)))
+    replies = replies.select("block", "bucket", "counts").union(_key_replies(docs.sparkSession, learnt, key_buckets))
 
     def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         of_keys = found[found["bucket"] < 0]
         logs_of = {-1 - b: np.frombuffer(x, dtype="<f4") for b, x in zip(of_keys["bucket"], of_keys["counts"], strict=True)}
-        found = found[found["bucket"] >= 0]
-        words = np.concatenate([np.frombuffer(x, dtype="<u8") for x in found["words"]])
-        counts = np.concatenate([np.frombuffer(x, dtype="<i8") for x in found["counts"]])
-        order = np.argsort(words)
-        words, counts = words[order], counts[order]
+        found = found[found["bucket"] >= 0].sort_values("bucket")
         coded = encoded(texts["text"])
+        tables = [_word_table(*word_hashes(coded[first:last])) for first, last in batches(coded)]
+        # The block's own words, in the order in which they were asked for.
+        words = np.unique(np.concatenate([np.unique(own) for own, _ in tables]))
+        counts = np.empty(len(words), dtype=np.int64)
+        counts[_by_owner(words, buckets)[0]] = np.concatenate([np.frombuffer(x, dtype="<i8") for x in found["counts"]])
         parts = []
-        for first, last in batches(coded):
-            own, upto = _word_table(*word_hashes(coded[first:last]))
+        for own, upto in tables:
             c = counts[np.searchsorted(words, own)]
             logs = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
             begins = np.concatenate([[0], upto[:-1]])
