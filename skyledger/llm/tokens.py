@@ -148,14 +148,14 @@ class Encoder:
             found[piece] = ids + self._mark(mark)
         return found
 
-    def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
-        """The ids of each text."""
+    def encode_all(self, texts: Sequence[str], characters: int = BATCH_CHARACTERS) -> Iterator[bytes]:
+        """The ids of each text; a batch is closed at so many characters, and larger ones repeat more of their pieces."""
         batch: list[str] = []
         size = 0
         for text in texts:
             batch.append(text)
             size += len(text)
-            if size > BATCH_CHARACTERS:
+            if size > characters:
                 yield from self._encode_batch(batch)
                 batch, size = [], 0
         yield from self._encode_batch(batch)

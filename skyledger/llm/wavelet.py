@@ -5,7 +5,7 @@ stable-sorted by the bits above. The number of zeros of a level and a count of o
 512 bits are all that rank needs, and select is a search over rank. From one file one can read
 any token, count an id in a range of positions, and find its k-th occurrence.
 
-File: magic, levels, tokens, documents, then as zlib streams the document table (id, place of the
+File: magic, levels, tokens, documents, then as zstd frames the document table (id, place of the
 first token within the range of documents, tokens) and for each level its zeros and packed bits.
 """
 
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from skyledger.llm.files import SharedFolder
 from skyledger.llm.shared import for_python, id_and_text, ids_of, scratch_path, shuffle_partitions
 from skyledger.llm.tokens import encoder
 
-MAGIC = b"WVMX0001"
+MAGIC = b"WVMX0002"
 HEADER = struct.Struct("<8sIQQ")
 LEVEL = struct.Struct("<QQ")
 BLOCK_BITS = 512
@@ -32,12 +33,19 @@ BLOCK_BITS = 512
 # A shard is closed at this many tokens; a document stays whole, so one may be longer.
 SHARD_TOKENS = 1 << 22
 
+# Characters of texts that are encoded together.
+BATCH_CHARACTERS = 1 << 22
+
 WRITTEN = "range int, shard int, tokens long"
 READ = "range int, doc_id long, place long, n_tokens long, ids_crc32 long"
 
 
-def _packed(content: np.ndarray | bytes) -> bytes:
-    return zlib.compress(content if isinstance(content, bytes) else content.tobytes(), 1)
+def _packed(content: np.ndarray) -> bytes:
+    return pa.compress(content.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(content: bytes, size: int) -> bytes:
+    return pa.decompress(content, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
 
 
 def encode_shard(ids: np.ndarray, doc_ids: np.ndarray, doc_null: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -54,7 +62,8 @@ def encode_shard(ids: np.ndarray, doc_ids: np.ndarray, doc_null: np.ndarray, pla
         plane = _packed(np.packbits(ones, bitorder="little"))
         out += [LEVEL.pack(len(left) - int(np.count_nonzero(ones)), len(plane)), plane]
         if level:
-            left = np.concatenate([left[~ones], left[ones]])
+            # Much faster than a mask as an index.
+            left = np.concatenate([np.compress(~ones, left), np.compress(ones, left)])
     return b"".join(out)
 
 
@@ -67,7 +76,7 @@ class WaveletShard:
             raise ValueError("not a wavelet matrix file")
         at = HEADER.size
         (size,) = struct.unpack_from("<Q", content, at)
-        table = np.frombuffer(zlib.decompress(content[at + 8 : at + 8 + size]), dtype="<i8").reshape(4, documents)
+        table = np.frombuffer(_unpacked(content[at + 8 : at + 8 + size], 32 * documents), dtype="<i8").reshape(4, documents)
         self.doc_ids, self.doc_null, self.places, self.sizes = table[0], table[1].astype(bool), table[2], table[3]
         at += 8 + size
         self.zeros, self.planes = [], []
@@ -75,7 +84,7 @@ class WaveletShard:
             zeros, size = LEVEL.unpack_from(content, at)
             at += LEVEL.size
             self.zeros.append(zeros)
-            self.planes.append(np.frombuffer(zlib.decompress(content[at : at + size]), dtype=np.uint8))
+            self.planes.append(np.frombuffer(_unpacked(content[at : at + size], -(-self.tokens // 8)), dtype=np.uint8))
             at += size
         self._blocks: list[np.ndarray] | None = None
 
@@ -89,8 +98,8 @@ class WaveletShard:
         for level in range(self.levels - 1, -1, -1):
             ones = self._bits(level)
             values = np.empty(self.tokens, dtype=kind)
-            values[~ones] = right[: self.zeros[level]]
-            values[ones] = right[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
+            values[np.flatnonzero(~ones)] = right[: self.zeros[level]]
+            values[np.flatnonzero(ones)] = right[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
             right = values
         return right.astype("<u4")
 
@@ -177,7 +186,7 @@ def write_wavelet_files(docs: DataFrame, folder: str, vocabulary: str, end_id: i
 
         for frame in frames:
             number = int(frame["range"].iloc[0]) if len(frame) else 0
-            for doc_id, content in zip(ids_of(frame), code.encode_all(frame["text"]), strict=True):
+            for doc_id, content in zip(ids_of(frame), code.encode_all(frame["text"], BATCH_CHARACTERS), strict=True):
                 ids = content + end
                 held.append(ids)
                 doc_ids.append(None if doc_id is pd.NA else doc_id)
