@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import deque
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -43,7 +44,7 @@ from skyledger.llm.blocks import (
 )
 from skyledger.llm.perfect_hash import PerfectHash
 from skyledger.llm.shared import for_python, id_and_text, materialize, scratch_path, shuffle_partitions
-from skyledger.llm.tokens import BYTE_LETTERS, IS_SPACE, PIECES, encoder
+from skyledger.llm.tokens import BYTE_LETTERS, IS_SPACE, LONGEST_KEPT, PIECES, encoder
 from skyledger.llm.words import mix
 
 SPACE = "▁"
@@ -51,8 +52,9 @@ SPACE = "▁"
 # Blanks at which the second side's tokens do not always part.
 ODD_BLANK = re.compile(r"[^\S \n]")
 
-# The tables of pieces start anew at this many.
-MOST_KEPT = 200_000
+# The tables of pieces start anew at this many, with those of the last batches; longer ones than LONGEST_KEPT are not kept.
+MOST_KEPT = 500_000
+LAST_BATCHES = 4
 
 # Pieces that are encoded as one text.
 PIECES_AT_ONCE = 4000
@@ -108,6 +110,7 @@ class TokenBytes:
         self.parted = not any(re.search(rb"[^ \n][ \n]", x) for x in self.b)
         self.of_a: dict[str, bytes] = {}
         self.of_b: dict[str, bytes | None] = {}
+        self.last: deque[set[str]] = deque(maxlen=LAST_BATCHES)
         # An id and what follows it: another one of its side in the group, or the other side or the next group.
         texts = [str(k) for k in range(max(len(self.a), len(self.b)))]
         self.written = [[f"{t}{mark}" for t in texts] for mark in ",|;"]
@@ -126,9 +129,15 @@ class TokenBytes:
         """
         lists = [PIECES.findall(f" {t}") if t and self.parted and not ODD_BLANK.search(t) else [] for t in texts]
         if len(self.of_b) > MOST_KEPT:
-            self.of_a.clear()
-            self.of_b.clear()
-        self._learn(set(chain.from_iterable(lists)).difference(self.of_b))
+            kept = set().union(*self.last)
+            if len(kept) > MOST_KEPT:
+                kept = set()
+                self.last.clear()
+            self.of_a = {p: self.of_a[p] for p in kept}
+            self.of_b = {p: self.of_b[p] for p in kept}
+        own = set(chain.from_iterable(lists))
+        new = own.difference(self.of_b)
+        self._learn(new)
         for text, pieces in zip(texts, lists, strict=True):
             found = list(map(self.of_b.__getitem__, pieces))
             if found and None not in found:
@@ -136,6 +145,10 @@ class TokenBytes:
                 yield np.frombuffer(first, dtype="<u4"), np.frombuffer(b"".join(found), dtype="<u4")
             else:
                 yield self._whole(text)
+        long = {p for p in new if len(p) > LONGEST_KEPT}
+        for piece in long:
+            del self.of_a[piece], self.of_b[piece]
+        self.last.append(own - long)
 
     def _learn(self, pieces: set[str]) -> None:
         """Keep the ids of new pieces; one whose tokens do not have its bytes is marked by None."""

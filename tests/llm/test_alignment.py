@@ -122,3 +122,22 @@ def test_empty_table_and_query(spark, sf_dir):
 
 def test_vocabularies_are_where_the_query_looks():
     assert public_tokenizers.path("piece_bpe_32k.model") == B_PATH
+
+
+def test_pieces_of_the_last_batches_outlive_a_full_table(monkeypatch):
+    monkeypatch.setattr(alignment, "MOST_KEPT", 30)
+    tables, fresh = alignment.TokenBytes(A_PATH, B_PATH), alignment.TokenBytes(A_PATH, B_PATH)
+    learnt = collections.Counter()
+    learn = tables._learn
+    monkeypatch.setattr(tables, "_learn", lambda pieces: (learnt.update(pieces), learn(pieces)))
+    for k in range(12):
+        texts = [f"the same words and also {'x' * 300} number{k} number{k}th, bit{k}", "", "ends in  ", "a\tb"]
+        monkeypatch.setattr(fresh, "of_a", {})
+        monkeypatch.setattr(fresh, "of_b", {})
+        fresh.last.clear()
+        for got, want in zip(tables.encode(texts), fresh.encode(texts), strict=True):
+            assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, want, strict=True))
+        assert not any(len(p) > 64 for p in tables.of_b)
+    # The table was full and started anew, without forgetting what every batch has.
+    assert len(tables.of_b) < sum(1 for p in learnt if len(p) <= 64)
+    assert learnt[" same"] == learnt[" words"] == 1 and tables.of_a.keys() == tables.of_b.keys()
