@@ -16,17 +16,19 @@ blocks with the probabilities of the keys they asked for; equal keys are worked
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.blocks import cut, read_arrays, write_arrays
+from skyledger.llm.blocks import arrays_as_ids, cut, ids_as_arrays, read_arrays, write_arrays
 from skyledger.llm.shared import for_python, id_and_text, ids_of, materialize, scratch_path, shuffle_partitions
 from skyledger.llm.words import batches, encoded, mix, word_hashes
 
@@ -54,12 +56,13 @@ SLICE_KEYS = 1 << 17
 # Buckets of keys for each shuffle partition.
 BUCKETS = 2
 
-# Rows whose words and keys are looked up together.
-LOOKUP_ROWS = 2048
+# Rows whose words and keys are looked up together: more have fewer distinct keys to ask for.
+LOOKUP_ROWS = 4096
 
 TABLES = "kind int, range int, content binary"
 REQUESTS = "bucket int, block long, words binary, counts binary"
 KEY_REQUESTS = "bucket int, block long, size int, keys binary, counts binary"
+TEXTS = "block long, part int, rows int, content binary"
 REPLIES = "block long, bucket int, counts binary"
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
@@ -440,6 +443,38 @@ def _numbered(docs: DataFrame, training: Column) -> DataFrame:
     return rows.withColumn("block", F.floor(F.monotonically_increasing_id() / LOOKUP_ROWS))
 
 
+def _packed_texts(rows: DataFrame) -> DataFrame:
+    """The rows of each block as a few compressed ones, since whole texts are shuffled to their replies."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = pa.Codec("zstd", compression_level=1)
+        for block, part in _whole_blocks(frames):
+            ids, texts = [None if x is pd.NA else x for x in ids_of(part)], encoded(part["text"])
+            training = part["training"].to_numpy(dtype=bool)
+            for k, (first, last) in enumerate(batches(texts, BATCH_BYTES)):
+                own = texts[first:last]
+                sizes = np.array([len(t) for t in own], dtype="<i8")
+                numbers = [*ids_as_arrays(ids[first:last]), training[first:last], sizes]
+                raw = b"".join([*(x.tobytes() for x in numbers), *own])
+                content = struct.pack("<Q", len(raw)) + codec.compress(raw, asbytes=True)
+                yield pd.DataFrame([(block, k, len(own), content)], columns=["block", "part", "rows", "content"])
+
+    return rows.mapInPandas(pack, TEXTS)
+
+
+def _unpacked_texts(frame: pd.DataFrame) -> tuple[pd.Series, np.ndarray, list[bytes]]:
+    """Ids, whether they are learnt from, and texts of a block."""
+    ids, training, texts = [], [], []
+    frame = frame.sort_values("part")
+    for rows, content in zip(frame["rows"].tolist(), frame["content"], strict=True):
+        (size,) = struct.unpack_from("<Q", content)
+        raw = pa.decompress(memoryview(content)[8:], decompressed_size=size, codec="zstd", asbytes=True)
+        ids.append(arrays_as_ids(raw[: 8 * rows], raw[8 * rows : 9 * rows]))
+        training.append(np.frombuffer(raw, dtype=bool, count=rows, offset=9 * rows))
+        texts += cut(raw[18 * rows :], np.frombuffer(raw, dtype="<i8", count=rows, offset=10 * rows))
+    return pd.concat(ids, ignore_index=True), np.concatenate(training), texts
+
+
 def _by_owner(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of sorted words by the bucket that counts them, and where each bucket begins."""
     owner = (words % np.uint64(buckets)).astype(np.int64)
@@ -519,7 +554,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
         of_keys = found[found["bucket"] < 0]
         logs_of = {-1 - b: np.frombuffer(x, dtype="<f4") for b, x in zip(of_keys["bucket"], of_keys["counts"], strict=True)}
         found = found[found["bucket"] >= 0].sort_values("bucket")
-        coded = encoded(texts["text"])
+        ids, training, coded = _unpacked_texts(texts)
         tables = [_word_table(*word_hashes(coded[first:last])) for first, last in batches(coded)]
         # The block's own words, in the order in which they were asked for.
         words = np.unique(np.concatenate([np.unique(own) for own, _ in tables]))
@@ -534,8 +569,8 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
         sizes, known, base = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pd.DataFrame(
             {
-                "doc_id": ids_of(texts),
-                "held_out": ~texts["training"].astype(bool),
+                "doc_id": ids,
+                "held_out": ~training,
                 "n_tokens": sizes,
                 "n_known": known,
                 "train_tokens": tokens,
@@ -545,7 +580,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
             }
         )
 
-    asked = rows.groupBy("block").cogroup(replies.groupBy("block"))
+    asked = _packed_texts(rows).groupBy("block").cogroup(replies.groupBy("block"))
     scored = asked.applyInPandas(score, SCORES)
     bits = -F.col("score") * float(np.log2(10)) / F.greatest(F.col("n_bytes"), F.lit(1))
     return scored.withColumn("bits_per_byte", bits)
